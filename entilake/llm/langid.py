@@ -160,7 +160,7 @@ def training_sample(docs: DataFrame, names: dict[str, int]) -> list[tuple[str, i
     """TRAIN_DOCUMENTS documents, in expectation, whose label names a language; drawn by a hash of their id."""
     labelled = docs.select("doc_id", "text", declared(F.col("lang"), names).alias("_label")).where("_label is not null and text is not null")
     n = labelled.select("doc_id").count()
-    part = F.shiftrightunsigned(F.xxhash64(F.lit(11), "doc_id"), 1) < int(2**63 * min(1.0, TRAIN_DOCUMENTS / max(n, 1)))
+    part = F.shiftrightunsigned(F.xxhash64(F.lit(11), "doc_id"), 1) < min(2**63 - 1, int(2**63 * (TRAIN_DOCUMENTS / max(n, 1))))
     rows = (labelled.where(part) if n > TRAIN_DOCUMENTS else labelled).limit(2 * TRAIN_DOCUMENTS).collect()
     return [(r["text"], r["_label"]) for r in sorted(rows, key=lambda r: r["doc_id"])]
 
