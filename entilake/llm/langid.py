@@ -11,10 +11,10 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +28,8 @@ KEEP_WITHIN = 40.0
 FLOOR = 1e-4
 #: How often a label that names a language is right, and the weight of a parent in host smoothing, in documents.
 LABEL_RIGHT, HOST_WEIGHT = 0.85, 20.0
+#: Words of the whole sample in each language's model while the sentences of the sample are given to languages.
+BACKGROUND = 1_000.0
 #: A sentence needs so many known words (letters, in scripts without blanks) and this posterior to speak for a language.
 LEAST_WORDS, LEAST_LETTERS, SURE = 2, 3, 0.9
 
@@ -85,13 +87,9 @@ def units(text: str, start: int, end: int) -> list[str]:
 class WordModel:
     """P(word | language) for the words of the sample; words it does not know say nothing."""
 
-    def __init__(self, counts: dict[str, Counter], languages: list[str]) -> None:
-        self.languages = languages
-        totals = [sum(c[k] for c in counts.values()) for k in range(len(languages))]
-        self.live = [k for k, n in enumerate(totals) if n > 0]
-        size, few = len(counts) + 1, 0.02
-        self.rows = {w: [(k, math.log((c[k] + few) / (totals[k] + few * size))) for k in self.live] for w, c in counts.items()}
-        self.rows = {w: [v for _, v in r] for w, r in self.rows.items()}
+    def __init__(self, words: list[str], counts: np.ndarray) -> None:
+        self.live = np.flatnonzero(counts.sum(axis=0)).tolist()
+        self.rows = dict(zip(words, _log_rates(counts, 0.0)[:, self.live].tolist()))
 
     def score(self, words: list[str]) -> tuple[int, list[float]]:
         """Number of known words, and the log likelihood of each live language."""
@@ -99,42 +97,68 @@ class WordModel:
         return len(known), [sum(x) for x in zip(*known)] if known else [0.0] * len(self.live)
 
 
-def fit(documents: list[tuple[str, int]], n_languages: int, rounds: int = 2) -> dict[str, Counter]:
-    """Word counts by language from (text, label) with some wrong labels. First each word votes for its labels, so that a
-    label that is mostly a mistake for a larger language loses that language's words to it; the sentences are given to the
-    winners, and the counts of the sentences so labelled are the model, refined in `rounds`."""
-    texts = []
-    for text, label in documents:
+#: Added to every count of a word in a language.
+FEW = 0.02
+
+
+def _log_rates(counts: np.ndarray, background: float) -> np.ndarray:
+    """Log rates of words (rows) in languages (columns), with so many words of the whole sample added to each."""
+    usual = counts.sum(axis=1, keepdims=True) / max(1.0, counts.sum())
+    return np.log((counts + FEW + background * usual) / (counts.sum(axis=0) + FEW * (len(counts) + 1) + background))
+
+
+def fit(documents: list[tuple[str, int]], n_languages: int, rounds: int = 2) -> WordModel:
+    """Word model from (text, label) with some wrong labels. First each word votes for its labels, so that a label that is
+    mostly a mistake for a larger language loses that language's words to it; the sentences are given to the winners, and
+    the counts of the sentences so labelled are the model, refined in `rounds`. There a sentence is judged by what the other
+    documents say and by its label, so that no document is a language of its own."""
+    words: dict[str, int] = {}
+    ids: list[int] = []
+    starts, sentence_doc = [], []
+    for d, (text, _) in enumerate(documents):
         clean = blanked(text)
-        texts += [(units(clean, a, b), label) for a, b in sentences(clean)]
-    votes: dict[str, Counter] = defaultdict(Counter)
-    for words, label in texts:
-        for w in set(words):
-            votes[w][label] += 1
-    share = {w: {k: math.log((n + 0.05) / (c.total() + 0.05 * n_languages)) for k, n in c.items()} for w, c in votes.items()}
-    least = {w: math.log(0.05 / (c.total() + 0.05 * n_languages)) for w, c in votes.items()}
-    given: list[int] = []
-    for words, label in texts:
-        scores = {k: sum(share[w].get(k, least[w]) for w in words) for k in {x for w in words for x in share[w]}}
-        given.append(max(scores, key=lambda k: (scores[k], k == label, -k)) if scores else label)
+        for a, b in sentences(clean):
+            found = units(clean, a, b)
+            if found:
+                starts.append(len(ids))
+                sentence_doc.append(d)
+                ids += [words.setdefault(w, len(words)) for w in found]
+    v, n_sentences = len(words), len(starts)
+    if not n_sentences:
+        return WordModel([], np.zeros((0, n_languages)))
+    token = np.array(ids, dtype=np.int64)
+    start, doc = np.array(starts), np.array(sentence_doc, dtype=np.int64)
+    of_sentence = np.repeat(np.arange(n_sentences), np.diff(np.append(start, len(token))))
+    label = np.array([k for _, k in documents], dtype=np.int64)[doc]
+
+    def counted(given: np.ndarray) -> np.ndarray:
+        return np.bincount(token * n_languages + given[of_sentence], minlength=v * n_languages).reshape(v, n_languages).astype(np.float64)
+
+    def summed(rates: np.ndarray) -> np.ndarray:
+        return np.stack([np.bincount(of_sentence, rates[token, k], n_sentences) for k in range(n_languages)], axis=1)
+
+    votes = counted(label)
+    vote = np.log((votes + 0.05) / (votes.sum(axis=1, keepdims=True) + 0.05 * n_languages))
+    declares = math.log(LABEL_RIGHT * max(1, n_languages - 1) / (1 - LABEL_RIGHT))
+    every = np.arange(n_sentences)
+    scores = summed(vote)
+    scores[every, label] += 1.0  # where the words of a sentence are in few documents, its own label decides
+    given = scores.argmax(axis=1)
     for _ in range(rounds):
-        counts: dict[str, Counter] = defaultdict(Counter)
-        for (words, _), k in zip(texts, given):
-            for w in words:
-                counts[w][k] += 1
-        sizes = Counter(given)
-        model = WordModel(counts, [""] * n_languages)
-        prior = [math.log(sizes[k] + 1) for k in model.live]
-        again = []
-        for words, _ in texts:
-            _, ll = model.score(words)
-            again.append(model.live[max(range(len(ll)), key=lambda i: ll[i] + prior[i])])
-        given = again
-    counts = defaultdict(Counter)
-    for (words, _), k in zip(texts, given):
-        for w in words:
-            counts[w][k] += 1
-    return counts
+        counts = counted(given)
+        scores = summed(_log_rates(counts, BACKGROUND))
+        # The document's own counts of each word, and in all, in the language its sentence is given to.
+        _, at, own = np.unique((doc[of_sentence] * n_languages + given[of_sentence]) * v + token, return_inverse=True, return_counts=True)
+        _, group, size = np.unique((doc * n_languages + given)[of_sentence], return_inverse=True, return_counts=True)
+        k = given[of_sentence]
+        usual = counts.sum(axis=1)[token] / max(1.0, counts.sum())
+        rest = counts.sum(axis=0)[k] - size[group] + FEW * (v + 1) + BACKGROUND
+        scores[every, given] = np.bincount(of_sentence, np.log((counts[token, k] - own[at] + FEW + BACKGROUND * usual) / rest), n_sentences)
+        scores += np.log(np.bincount(given, minlength=n_languages) + 1.0)
+        scores[every, label] += declares
+        scores[:, np.bincount(given, minlength=n_languages) == 0] = -np.inf
+        given = scores.argmax(axis=1)
+    return WordModel(list(words), counted(given))
 
 
 def label_index(languages: DataFrame) -> tuple[list[str], dict[str, int]]:
@@ -260,7 +284,7 @@ def identify(docs: DataFrame, languages: DataFrame) -> tuple[DataFrame, list[str
     NULL, empty or without a known sentence get no segment; whole texts are read, whatever their length. Languages
     without a name in any label of the sample cannot be found."""
     codes, names = label_index(languages)
-    model = WordModel(fit(training_sample(docs, names), len(codes)), codes)
+    model = fit(training_sample(docs, names), len(codes))
     keyed = docs.select("doc_id", F.lower(F.trim(F.coalesce("source", F.lit("")))).alias("source"), F.coalesce("page_title", F.lit("")).alias("page"), declared(F.col("lang"), names).alias("label"), "text")
     priors = host_priors(keyed.drop("text"), len(codes))
     return segments(fused(scored_sentences(keyed, model), priors, len(codes)), codes), codes
