@@ -1 +1 @@
-
+"""Ingest of daily increments as a stream."""
