@@ -13,6 +13,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ KEEP_WITHIN = 40.0
 FLOOR = 1e-4
 #: How often a label that names a language is right, and the weight of a parent in host smoothing, in documents.
 LABEL_RIGHT, HOST_WEIGHT = 0.85, 20.0
+#: Sentences scored at once; a batch ends after the document that exceeds it.
+BATCH_SENTENCES = 5_000
 #: Words of the whole sample in each language's model while the sentences of the sample are given to languages.
 BACKGROUND = 1_000.0
 #: A sentence needs so many known words (letters, in scripts without blanks) and this posterior to speak for a language.
@@ -88,13 +91,14 @@ class WordModel:
     """P(word | language) for the words of the sample; words it does not know say nothing."""
 
     def __init__(self, words: list[str], counts: np.ndarray) -> None:
-        self.live = np.flatnonzero(counts.sum(axis=0)).tolist()
-        self.rows = dict(zip(words, _log_rates(counts, 0.0)[:, self.live].tolist()))
+        self.live = np.flatnonzero(counts.sum(axis=0)).astype(np.int32)
+        self.ids = {w: i for i, w in enumerate(words)}
+        self.rates = np.ascontiguousarray(_log_rates(counts, 0.0)[:, self.live])
 
-    def score(self, words: list[str]) -> tuple[int, list[float]]:
-        """Number of known words, and the log likelihood of each live language."""
-        known = [r for r in map(self.rows.get, words) if r is not None]
-        return len(known), [sum(x) for x in zip(*known)] if known else [0.0] * len(self.live)
+    def score(self, sentences: list[list[int]]) -> np.ndarray:
+        """Log likelihood of each live language (columns) for sentences of known words, none of them empty."""
+        starts = np.cumsum([0] + [len(s) for s in sentences[:-1]])
+        return np.add.reduceat(self.rates[np.fromiter(chain.from_iterable(sentences), np.int64)], starts, axis=0)
 
 
 #: Added to every count of a word in a language.
@@ -190,9 +194,9 @@ def training_sample(docs: DataFrame, names: dict[str, int]) -> list[tuple[str, i
 
 
 def scored_sentences(docs: DataFrame, model: WordModel) -> DataFrame:
-    """doc_id, source, page, label, and sentences ARRAY<STRUCT<start, stop, n_known, lang ARRAY<INT>, ll ARRAY<FLOAT>>>:
+    """doc_id, source, page, label, and sentences ARRAY<STRUCT<start, stop, lang ARRAY<INT>, ll ARRAY<FLOAT>>>:
     the languages whose log likelihood is within KEEP_WITHIN of the best. No shuffle; texts go no further."""
-    item = T.StructType().add("start", "integer").add("stop", "integer").add("n_known", "integer").add("lang", T.ArrayType(T.IntegerType())).add("ll", T.ArrayType(T.FloatType()))
+    item = T.StructType().add("start", "integer").add("stop", "integer").add("lang", T.ArrayType(T.IntegerType())).add("ll", T.ArrayType(T.FloatType()))
     source = docs.select("doc_id", "source", "page", "label", "text")
     out = T.StructType([*source.schema.fields[:4], T.StructField("sentences", T.ArrayType(item))])
 
@@ -200,19 +204,39 @@ def scored_sentences(docs: DataFrame, model: WordModel) -> DataFrame:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         schema = to_arrow_schema(out)
+        known = model.ids.get
         for batch in batches:
-            rows = []
-            for text in batch.column(4):
-                clean, found = blanked(text.as_py() or ""), []
+            done = 0
+            per_doc, starts, stops, words = [0], [], [], []
+
+            def flush(upto: int, batch: pa.RecordBatch = batch) -> pa.RecordBatch:
+                ll = model.score(words) if words else np.zeros((0, len(model.live)))
+                ll -= ll.max(axis=1, keepdims=True, initial=-np.inf) if len(ll) else 0
+                row, column = np.nonzero(ll >= -KEEP_WITHIN)
+                offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(ll)))]).astype(np.int32))
+                kind = schema.field("sentences").type.value_type
+                columns = [pa.array(starts, pa.int32()), pa.array(stops, pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(model.live[column])), pa.ListArray.from_arrays(offsets, pa.array(ll[row, column].astype(np.float32)))]
+                each = pa.StructArray.from_arrays([c.cast(f.type) for c, f in zip(columns, kind)], fields=list(kind))
+                found = pa.ListArray.from_arrays(pa.array(per_doc, pa.int32()), each).cast(schema.field("sentences").type)
+                kept = batch.slice(done, upto - done)
+                return pa.RecordBatch.from_arrays([*kept.columns[:4], found], schema=schema)
+
+            for i, text in enumerate(batch.column(4)):
+                clean = blanked(text.as_py() or "")
                 for a, b in sentences(clean):
-                    words = units(clean, a, b)
-                    n, ll = model.score(words)
-                    if n >= (LEAST_LETTERS if words and _UNSPACED.match(words[0]) else LEAST_WORDS):
-                        best = max(ll)
-                        near = [i for i, x in enumerate(ll) if x >= best - KEEP_WITHIN]
-                        found.append({"start": a, "stop": b, "n_known": n, "lang": [model.live[i] for i in near], "ll": [ll[i] - best for i in near]})
-                rows.append(found)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(rows, schema.field("sentences").type)], schema=schema)
+                    told = units(clean, a, b)
+                    ids = [k for k in map(known, told) if k is not None]
+                    if len(ids) >= (LEAST_LETTERS if told and _UNSPACED.match(told[0]) else LEAST_WORDS):
+                        starts.append(a)
+                        stops.append(b)
+                        words.append(ids)
+                per_doc.append(len(words))
+                if len(words) >= BATCH_SENTENCES:
+                    yield flush(i + 1)
+                    done = i + 1
+                    per_doc, starts, stops, words = [0], [], [], []
+            if done < batch.num_rows:
+                yield flush(batch.num_rows)
 
     return source.mapInArrow(run, out)
 
