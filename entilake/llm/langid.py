@@ -141,7 +141,10 @@ def fit(documents: list[tuple[str, int]], n_languages: int, rounds: int = 2) ->
     def summed(rates: np.ndarray) -> np.ndarray:
         return np.stack([np.bincount(of_sentence, rates[token, k], n_sentences) for k in range(n_languages)], axis=1)
 
-    votes = counted(label)
+    # A document's vote on a word grows with the logarithm of its uses, so that a very long one does not outvote the rest.
+    once, uses = np.unique(doc[of_sentence] * v + token, return_counts=True)
+    voter = np.array([k for _, k in documents], dtype=np.int64)[once // v]
+    votes = np.bincount(once % v * n_languages + voter, 1 + np.log(uses), minlength=v * n_languages).reshape(v, n_languages)
     vote = np.log((votes + 0.05) / (votes.sum(axis=1, keepdims=True) + 0.05 * n_languages))
     declares = math.log(LABEL_RIGHT * max(1, n_languages - 1) / (1 - LABEL_RIGHT))
     every = np.arange(n_sentences)
