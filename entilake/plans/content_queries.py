@@ -219,11 +219,13 @@ def _misfit_sql() -> str:
 
 
 def _refs(name: str) -> str:
-    return f"""SELECT DISTINCT '{name}' AS src_table, id AS src_id, target_kind, CAST(n AS BIGINT) AS missing_id FROM (WITH {claims_cte(name)}, {_DECODED} SELECT id, CASE tag WHEN 'R' THEN 'item' ELSE lower(trim(json_extract_string(s, '$[3]."entity-type"'))) END AS target_kind,
+    return f"""SELECT DISTINCT '{name}' AS src_table, id AS src_id, rev AS src_rev, target_kind, CAST(n AS BIGINT) AS missing_id FROM (WITH {claims_cte(name)}, {_DECODED} SELECT id, rev, CASE tag WHEN 'R' THEN 'item' ELSE lower(trim(json_extract_string(s, '$[3]."entity-type"'))) END AS target_kind,
  CASE tag WHEN 'R' THEN json_extract_string(s, '$[2]') ELSE json_extract_string(s, '$[3]."numeric-id"') END AS n FROM decoded WHERE vtype = 'wikibase-entityid') WHERE regexp_full_match(n, '\\s*\\d+\\s*') AND target_kind IN ('item', 'property')""".replace("\\\\", "\\")
 
 
 _GONE = "gone AS (SELECT entity_id FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY logged_at DESC, log_id DESC) AS k FROM deletion_log) WHERE k = 1 AND lower(trim(log_action)) = 'delete')"
+_MISSING = f"""{_GONE}, r AS ({_refs('wb_items')} UNION ALL {_refs('wb_properties')}), missing AS (SELECT * FROM r
+ WHERE NOT CASE target_kind WHEN 'item' THEN missing_id IN (SELECT id FROM wb_items) AND missing_id NOT IN (SELECT entity_id FROM gone) ELSE missing_id IN (SELECT id FROM wb_properties) END)"""
 _P1 = """o AS (SELECT id, wd_day, max(rev) AS rev FROM itemrevstats WHERE stat_num IS NOT NULL AND id IS NOT NULL AND wd_day IS NOT NULL GROUP BY ALL),
  v AS (SELECT id, wd_day, max(stat_num) AS stat_num FROM o JOIN itemrevstats USING (id, wd_day, rev) GROUP BY ALL),
  s AS (SELECT id, wd_day, stat_num FROM (SELECT *, lag(stat_num) OVER (PARTITION BY id ORDER BY wd_day) AS p FROM v) WHERE p IS DISTINCT FROM stat_num),
@@ -248,7 +250,10 @@ def oracle_sql() -> dict[str, str]:
         "p5_found": f"WITH {claims_cte()} SELECT id, claim_no, snak_place, group_no, snak_no FROM snaks",
         "p5_claims": f"WITH {claims_cte()} SELECT id, CAST(claim_no AS VARCHAR) AS claim_label, json_extract_string(c, '$.g') AS guid, json_extract_string(c, '$.rank') AS rank FROM claims",
         "p5_references": f"WITH {claims_cte()} SELECT id, claim_no || '.2.' || group_no AS reference_label, CAST(claim_no AS VARCHAR) AS claim_label FROM groups",
-        "p6_found": f"WITH {_GONE}, r AS ({_refs('wb_items')} UNION ALL {_refs('wb_properties')}) SELECT src_table, src_id, target_kind, missing_id FROM r WHERE NOT CASE target_kind WHEN 'item' THEN missing_id IN (SELECT id FROM wb_items) AND missing_id NOT IN (SELECT entity_id FROM gone) ELSE missing_id IN (SELECT id FROM wb_properties) END",
+        "p6_found": f"WITH {_MISSING} SELECT DISTINCT src_table, src_id, target_kind, missing_id FROM missing",
+        "p6_by_month": rf"""WITH {_MISSING}, stamps AS (SELECT rev_id, delivered_at, CASE WHEN regexp_full_match(rev_timestamp, '\d{{4}}-\d\d-\d\d[T ]\d\d:\d\d:\d\d(Z|\+00:00)?') THEN try_cast(replace(substr(rev_timestamp, 1, 19), 'T', ' ') AS TIMESTAMP) END AS ts FROM revision),
+ months AS (SELECT rev_id AS src_rev, strftime(min(ts) FILTER (ts <= delivered_at), '%Y-%m') AS ref_month FROM stamps GROUP BY 1)
+ SELECT src_table, coalesce(ref_month, 'unknown') AS ref_month, target_kind, count(*) AS n_references, count(DISTINCT missing_id) AS n_missing FROM missing LEFT JOIN months USING (src_rev) GROUP BY ALL""",
         "terms": f"WITH {_TERMS} SELECT id, term_kind, lang, {_TAG} AS tag, text FROM terms WHERE text IS NOT NULL AND {_TAG} IS NOT NULL",
         "term_literals": f"WITH {_TERMS} SELECT id, term_kind, lang, {_LITERAL.format(x='text')} || '@' || {_TAG} AS literal FROM terms WHERE text IS NOT NULL AND {_TAG} IS NOT NULL",
         "language_filter": f"WITH {_TERMS} SELECT lang, term_kind, count(*) AS n_terms, count(text) AS n_texts FROM terms WHERE lang IN ({', '.join(repr(x) for x in LANGUAGES)}) GROUP BY ALL",
