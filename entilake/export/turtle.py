@@ -188,6 +188,22 @@ def statistics(found: DataFrame) -> DataFrame:
     )
 
 
+def usage(found: DataFrame, types: DataFrame) -> DataFrame:
+    """property_id, datatype, main, qualifiers, references: uses in exported snaks, a reference counting once per entity;
+    every property met has a row."""
+    pattern = r"w:P(\d+)([vqr])\b"
+    where = F.when(F.col("p").rlike(r"^w:P\d+[vqr]$"), F.col("p")).when(F.col("o").rlike(r"^\[ a o:(Restriction|Class);"), F.col("o"))
+    used = found.select(F.regexp_extract(where, pattern, 1).try_cast("int").alias("property_id"), F.regexp_extract(where, pattern, 2).alias("_c")).where("property_id is not null")
+    n = lambda c: F.count_if(F.col("_c") == c)
+    counts = used.groupBy("property_id").agg(n("v").alias("main"), n("q").alias("qualifiers"), n("r").alias("references"))
+    return counts.join(types.select("property_id", "datatype"), "property_id", "left").select("property_id", "datatype", "main", "qualifiers", "references").orderBy(F.desc("main"), "property_id")
+
+
+def type_usage(used: DataFrame) -> DataFrame:
+    """datatype, main, qualifiers, references over all properties of `usage`."""
+    return used.groupBy(F.coalesce("datatype", F.lit("unknown")).alias("datatype")).agg(*[F.sum(c).alias(c) for c in ("main", "qualifiers", "references")])
+
+
 def write_turtle(found: DataFrame, types: DataFrame, spec: ExportSpec, path: str) -> None:
     """A folder of gzip files in name order: header, entities by range of titles, declarations, statistics."""
     spark = found.sparkSession
@@ -199,3 +215,6 @@ def write_turtle(found: DataFrame, types: DataFrame, spec: ExportSpec, path: str
     counts = statistics(found)
     lines = F.explode(F.array(*[F.concat(F.lit(f"# {c}: "), F.col(c).cast("string")) for c in counts.columns]))
     text_of(counts.select(lines), "3-statistics")
+    if spec.statements:
+        used = usage(found, types)
+        text_of(used.coalesce(1).select(F.concat_ws(",", F.concat(F.lit("# P"), F.col("property_id").cast("string")), F.coalesce("datatype", F.lit("unknown")), *[F.col(c).cast("string") for c in ("main", "qualifiers", "references")])), "4-properties-used")

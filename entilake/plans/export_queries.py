@@ -56,6 +56,18 @@ def export_statistics(spark: SparkSession, d: str) -> DataFrame:
     return turtle.statistics(_triples(spark, d, ExportSpec())).select("entities", "statements", "articles", "triples_actual", "triples_reported", "references", "distinct_references")
 
 
+def export_property_usage(spark: SparkSession, d: str) -> DataFrame:
+    """Uses of properties in the items' statements and qualifiers as exported."""
+    found = _triples(spark, d, ExportSpec(languages=(), sites=(), references=False)).where("title like 'Q%'")
+    return turtle.usage(found, c.property_types(spark, d)).select("property_id", "main", "qualifiers")
+
+
+def known_types(spark: SparkSession, d: str) -> DataFrame:
+    """Properties with a known datatype, in the order of their titles."""
+    rows = c.property_types(spark, d).where("datatype is not null")
+    return rows.select(F.concat(F.lit("P"), F.col("property_id").cast("string")).alias("property_title"), "datatype").orderBy("property_title")
+
+
 def kb_lines(spark: SparkSession, d: str) -> DataFrame:
     return kb.kb_lines(_entities(spark, d), F.col("title")).select("title", "part", "ord", "line")
 
@@ -71,11 +83,12 @@ def oracle_sql() -> dict[str, str]:
         "label_triples": f"WITH t AS ({c.oracle_sql()['term_literals'].replace('SELECT id, term_kind', 'SELECT id, term_kind')}) SELECT 'w:Q' || id AS s, {predicate} AS p, literal AS o FROM t",
         "link_triples": f"WITH l AS ({links}) SELECT '<' || url || '>' AS s, 'a' AS p, 'so:Article' AS o FROM l UNION ALL SELECT '<' || url || '>', 'so:about', 'w:Q' || id FROM l UNION ALL SELECT '<' || url || '>', 'so:inLanguage', '\"' || language || '\"' FROM l WHERE language IS NOT NULL",
         "item_triples": f"WITH {c._SNAKS}, x AS (SELECT 'w:P' || property_id || context AS p, trim(CASE tag WHEN 'R' THEN json_extract_string(s, '$[2]') ELSE json_extract_string(s, '$[3].\"numeric-id\"') END) AS o FROM full_snaks WHERE snak_type = 'wikibase-item' AND tag IN ('R', 'value') AND context <> 'r') SELECT p, count(*) AS n_triples, count(DISTINCT o) AS n_objects FROM x WHERE regexp_full_match(o, '[0-9]+') AND p IS NOT NULL GROUP BY 1",
+        "known_types": f"WITH {c._TYPED} SELECT 'P' || property_id AS property_title, datatype FROM types WHERE datatype IS NOT NULL ORDER BY 1",
         "kb_term_lines": f"WITH {c._TERMS} SELECT 'Q' || id AS title, 'Q' || id || ' ' || term_kind || ' {{' || lang || ':' || text || '}} .' AS line FROM terms WHERE text IS NOT NULL".replace("{{", "{").replace("}}", "}"),
     }
 
 
 def queries() -> dict:
-    return {n: globals()[n] for n in ("triples", "label_triples", "link_triples", "item_triples", "turtle_blocks", "property_declarations", "export_statistics", "kb_lines", "kb_term_lines")}
+    return {n: globals()[n] for n in ("triples", "label_triples", "link_triples", "item_triples", "turtle_blocks", "property_declarations", "export_statistics", "export_property_usage", "known_types", "kb_lines", "kb_term_lines")}
 
 

@@ -11,6 +11,7 @@ from entilake.export import kb, turtle
 from entilake.export.spec import ExportSpec, preset, result_name
 from entilake.functions import days, dims, text, times
 from entilake.operators import edits, entities, revisions, snapshots, store
+from entilake.operators.registry import Registry
 from entilake.session import cut
 from entilake.sources import dump
 from entilake.sources.claims import claim_list
@@ -166,6 +167,8 @@ def test_triples_of_one_entity(spark):
     assert sum(p == "a" and o == "wo:Reference" for _, p, o in triple) == 1
     counts = turtle.statistics(found).first()
     assert (counts["entities"], counts["statements"], counts["references"], counts["distinct_references"]) == (1, 4, 2, 1)
+    assert rows(turtle.usage(found, types)) == sorted([(1, "commonsMedia", 1, 0, 0), (2, None, 0, 1, 0), (3, None, 0, 0, 1), (4, None, 1, 0, 0), (5, "string", 1, 0, 0), (6, "wikibase-item", 1, 0, 0)], key=repr)
+    assert rows(turtle.type_usage(turtle.usage(found, types)).where("datatype = 'unknown'")) == [("unknown", 1, 1, 1)]
     declared = rows(turtle.property_declarations(found, types), "s", "o")
     assert ("w:P1v", "o:ObjectProperty") in declared and len([d for d in declared if d[0].startswith("w:P4")]) == 4
     only = turtle.triples(df, "title", types, ExportSpec(property_types=("wikibase-item",), languages=(), sites=(), references=False))
@@ -250,6 +253,16 @@ def test_stream_equals_batch_and_resumes(spark, data, tmp_path):
     assert rows(ingest.latest_state(spark, args[1]), "entity", "rev_id") == rows(batch, "entity", "rev_id")
 
 
+def test_consumers_share_a_scan(spark):
+    registry = Registry()
+    registry.register("n", lambda df: df.agg(F.count("*").alias("n")))
+    registry.register("even", lambda df: df.where("id % 2 = 0"))
+    with pytest.raises(ValueError):
+        registry.register("n", lambda df: df)
+    found = registry.run(spark.range(5))
+    assert rows(found["n"]) == [(5,)] and rows(found["even"]) == [(0,), (2,), (4,)]
+
+
 def test_checkpoints_cut_the_plan(spark):
     df = cut(spark.range(5).where("id > 1"))
     assert df.count() == 3 and "Filter" not in df._jdf.queryExecution().executedPlan().toString()
