@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from entilake.export.spec import ExportSpec
@@ -83,18 +84,19 @@ def snak_object(spec: ExportSpec) -> Column:
 def statement_snaks(df: DataFrame, title: str, types: DataFrame, spec: ExportSpec) -> DataFrame:
     """Snaks of included statements: title, claim_no, stmt (name), context v, q or r, group_no, snak_no, p, o, included and
     the decoded value. A statement is left out where its main datatype is."""
-    nodes = claim_nodes(df, [title], only=["claim", *SNAK_PATHS]).withColumnRenamed(title, "title").withColumn("claim_no", F.get("dewey", F.lit(0)))
-    guids = nodes.where("path = 'claim'").select("title", "claim_no", F.coalesce(text.guid_suffix(F.col("guid")), F.col("claim_no").cast("string")).alias("_g"))
+    nodes = claim_nodes(df, [title], only=["claim", *SNAK_PATHS] if spec.references else ["claim", "main", "qualifier"])
+    nodes = nodes.withColumnRenamed(title, "title").withColumn("claim_no", F.get("dewey", F.lit(0)))
     path = F.col("path")
     at = lambda i: F.get("dewey", F.lit(i))
-    snaks = nodes.where("path <> 'claim'").withColumn("context", F.when(path == "main", "v").when(path == "qualifier", "q").otherwise("r"))
-    snaks = snaks.withColumn("group_no", F.when(path == "reference_snak", at(2)).otherwise(0)).withColumn("snak_no", F.when(path == "main", 0).when(path == "qualifier", at(2)).otherwise(at(3)))
-    if not spec.references:
-        snaks = snaks.where("context <> 'r'")
-    typed = snak_types(snaks, types).withColumn("_po", snak_object(spec))
-    kept = typed.where("context = 'v'").where(spec.includes_type(F.col("datatype"))).select("title", "claim_no")
-    named = guids.join(kept, ["title", "claim_no"], "left_semi").select("title", "claim_no", F.concat(F.lit("w:"), "title", F.lit("S"), "_g").alias("stmt"))
-    return typed.join(named, ["title", "claim_no"]).select("*", "_po.*").drop("_po")
+    placed = nodes.withColumn("context", F.when(path == "main", "v").when(path == "qualifier", "q").when(path == "reference_snak", "r"))
+    placed = placed.withColumn("group_no", F.when(path == "reference_snak", at(2)).otherwise(0)).withColumn("snak_no", F.when(path == "main", 0).when(path == "qualifier", at(2)).otherwise(at(3)))
+    # One shuffle brings the nodes of a claim together: its name and whether it is included go to all its snaks.
+    claim = W.partitionBy("title", "claim_no")
+    guid = F.max(F.when(path == "claim", text.guid_suffix(F.col("guid")))).over(claim)
+    included = F.max(F.when(path == "main", spec.includes_type(F.col("datatype")))).over(claim)
+    typed = snak_types(placed, types).withColumn("_g", guid).withColumn("_in", included).where("path <> 'claim' and _in")
+    stmt = F.concat(F.lit("w:"), "title", F.lit("S"), F.coalesce("_g", F.col("claim_no").cast("string")))
+    return typed.withColumn("stmt", stmt).withColumn("_po", snak_object(spec)).select("*", "_po.*").drop("_po", "_g", "_in")
 
 
 def _value_triples(snaks: DataFrame) -> DataFrame:
