@@ -35,16 +35,19 @@ def merge_versions(dimension: DataFrame | None, seen: DataFrame | None, updates:
 
     The open version of each key stands for the observation before the batch: equal hashes leave it as it is, another
     hash closes it on the day before and inserts a new open version; new keys are inserted. A batch may hold many days
-    of a key. Keys with a late observation (not after the start of their open version), which can split or replace
-    closed versions, are rebuilt from `seen`, the observations merged so far, without touching other keys.
+    of a key. Keys with a late observation (not after their last day in `seen`, the observations merged so far) are
+    rebuilt from `seen`, without touching other keys: a late row can split or replace closed versions, and also the open
+    one, whose confirming days are in `seen` only.
 
-    dimension and seen: None for the first load. Result: the new dimension, one row per version, gap-free and without
+    dimension and seen: None for the first load, both needed after it. Result: the new dimension, one row per version, gap-free and without
     overlap per key between its first day and now."""
     if dimension is None:
         return versions(updates, key, day, attributes)
-    latest = dimension.where("is_current").select(key, F.col("from_day").alias("_open"))
+    if seen is None:
+        raise ValueError("a merge into a dimension needs the observations merged so far")
+    latest = seen.groupBy(key).agg(F.max(day).alias("_last"))
     first = updates.groupBy(key).agg(F.min(day).alias("_first"))
-    touched = first.join(latest, key, "left").select(key, (F.col("_first") <= F.col("_open")).alias("_late"))
+    touched = first.join(latest, key, "left").select(key, (F.col("_first") <= F.col("_last")).alias("_late"))
     in_order = touched.where(~F.coalesce("_late", F.lit(False))).select(key)
     late = touched.where("_late").select(key)
     columns = [key, *attributes, "attr_hash", "from_day", "to_day", "is_current"]
@@ -54,12 +57,10 @@ def merge_versions(dimension: DataFrame | None, seen: DataFrame | None, updates:
     seed = kept.where("is_current").join(in_order, key, "left_semi").select(key, F.col("from_day").alias(day), *attributes, "attr_hash")
     fresh = updates.join(in_order, key, "left_semi").select(key, day, *attributes, "attr_hash")
     moved = versions(seed.unionByName(fresh), key, day, attributes)
-    parts = [closed, idle, moved]
-    if seen is not None:
-        again = updates.join(late, key, "left_semi").withColumn("_new", F.lit(1)).unionByName(seen.join(late, key, "left_semi").withColumn("_new", F.lit(0)))
-        one = F.max(F.struct("_new", *attributes, "attr_hash")).alias("_o")
-        parts.append(versions(again.groupBy(key, day).agg(one).select(key, day, *[f"_o.{a}" for a in attributes], "_o.attr_hash"), key, day, attributes))
-    out = parts[0].select(columns)
-    for p in parts[1:]:
+    again = updates.join(late, key, "left_semi").withColumn("_new", F.lit(1)).unionByName(seen.join(late, key, "left_semi").withColumn("_new", F.lit(0)))
+    one = F.max(F.struct("_new", *attributes, "attr_hash")).alias("_o")
+    rebuilt = versions(again.groupBy(key, day).agg(one).select(key, day, *[f"_o.{a}" for a in attributes], "_o.attr_hash"), key, day, attributes)
+    out = closed.select(columns)
+    for p in (idle, moved, rebuilt):
         out = out.unionByName(p.select(columns))
     return out

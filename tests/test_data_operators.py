@@ -49,6 +49,17 @@ def test_merge_in_batches_equals_one_load(spark, seed):
     assert rows(merged, "id", "v", "from_day", "to_day") == versions_by_hand(observed)
 
 
+def test_late_row_between_confirming_days(spark):
+    observed = [(1, 1, 1, 7), (1, 5, 1, 7), (2, 1, 1, 7), (2, 5, 1, 7), (1, 3, 1, 8), (2, 6, 1, 8)]
+    obs = lambda x: history.observations(spark.createDataFrame(x, "id int, day int, rev int, v int"), "id", "day", "rev", ["v"])
+    first, second = obs(observed[:4]), obs(observed[4:])
+    dim = history.merge_versions(None, None, first, "id", "day", ["v"])
+    merged = history.merge_versions(dim, first, second, "id", "day", ["v"])
+    assert rows(merged, "id", "v", "from_day", "to_day") == versions_by_hand(observed) == [(1, 7, 1, 2), (1, 7, 5, None), (1, 8, 3, 4), (2, 7, 1, 5), (2, 8, 6, None)]
+    with pytest.raises(ValueError):
+        history.merge_versions(dim, None, second, "id", "day", ["v"])
+
+
 def test_history_of_nothing_and_clashing_columns(spark):
     empty = spark.createDataFrame([], "id int, day int, rev int, v int, attr_hash string, from_day int, _best int")
     obs = history.observations(empty, "id", "day", "rev", ["v"])
