@@ -74,12 +74,14 @@ def p2_wide(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_set_apart(spark: SparkSession, d: str) -> DataFrame:
-    """The values that are in no cell of the wide table: misfits, and fitting values after the first of a cell."""
+    """The values that are in no cell of the wide table: misfits, fitting values after the first of a cell, and values
+    whose property has no column (datatype NULL, they fit nowhere)."""
     from pyspark.sql import Window as W
 
     attributes = _attributes(spark, d)
     listed = F.broadcast(spark.createDataFrame(attributes or [(None, "string")], "property_id int, datatype string"))
-    values = _main_snaks(spark, d).join(listed, "property_id").withColumn("fits", wide.fits(F.col("datatype")))
+    fits = F.col("datatype").isNotNull() & wide.fits(F.col("datatype"))
+    values = _main_snaks(spark, d).join(listed, "property_id", "left").withColumn("fits", fits)
     first = F.min(F.when(F.col("fits"), F.col("claim_no"))).over(W.partitionBy("id", "property_id"))
     return values.withColumn("_first", first).where(~F.col("fits") | (F.col("claim_no") > F.col("_first"))).select("id", "property_id", "claim_no", "datatype", "fits", "kind", "vtype", "value")
 

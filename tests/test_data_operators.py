@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from entilake.operators import frequent, history, merkle, orphans, wide
 from entilake.operators.shred import with_parent
+from entilake.plans import data_queries
 from entilake.sources.claims import CLAIM_TREE, SNAK_PATHS, claim_labels, claim_list, claim_nodes, entity_references
 from entilake.sources.tables import current_rows
 
@@ -139,6 +140,27 @@ def test_attributes_read_loosely_and_empty(spark):
     assert rows(wide.misfits(wide.attribute_grid(none, "id", "property_id", "claim_no", [], ["value"]), "id", [])) == []
 
 
+@pytest.fixture
+def wide_tables(spark, tmp_path):
+    """Items with values of a string (1), of other and missing datatypes (2, 3), of no property at all (9), without claims
+    (empty, cut off, missing); the folder."""
+    main = lambda *snaks: json.dumps([{"m": s} for s in snaks])
+    items = [
+        (1, main(["S", 1, "a"], ["S", 1, "b"], ["value", 1, "quantity", {"amount": "1"}], ["S", 2, "c"], ["novalue", 3])),
+        (2, main(["S", 9, "d"], "text")),
+        (3, "[]"), (4, "{}"), (5, "[{"), (6, None), (7, ""), (8, main(["somevalue", 3])),
+    ]
+    spark.createDataFrame([(i, 2, c) for i, c in items] + [(3, 1, main(["S", 1, "old"]))], "id int, rev int, claims string").write.parquet(f"{tmp_path}/wb_items.parquet")
+    spark.createDataFrame([(1, 1, " String"), (2, 1, "monolingualtext"), (3, 1, None)], "id int, rev int, datatype string").write.parquet(f"{tmp_path}/wb_properties.parquet")
+    return str(tmp_path)
+
+
+def test_no_main_value_is_lost(spark, wide_tables):
+    apart = rows(data_queries.p2_set_apart(spark, wide_tables), "id", "claim_no", "property_id", "datatype", "fits", "value")
+    assert apart == sorted([(1, 1, 1, "string", True, "b"), (1, 2, 1, "string", False, '{"amount": "1"}'), (1, 3, 2, None, False, "c"), (1, 4, 3, None, False, None), (2, 0, 9, None, False, "d"), (2, 1, None, None, False, None), (8, 0, 3, None, False, None)], key=repr)
+    assert (1, "a") in rows(data_queries.p2_wide(spark, wide_tables), "id", "p1")
+
+
 # Increments
 
 
