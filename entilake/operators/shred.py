@@ -23,6 +23,8 @@ from pyspark.sql import types as T
 
 #: Nodes in one output batch; a batch ends after the record that exceeds it.
 BATCH_NODES = 20_000
+#: Path of a record itself, above its nodes; returned only where `only` asks for it.
+ROOT = "root"
 
 
 @dataclass(frozen=True)
@@ -106,7 +108,8 @@ def dewey_nodes(
     """One row per node: `keys`, path STRING, dewey ARRAY<INT>, and `fields`.
 
     roots(text) gives the top-level nodes of a record, None if it has none to give (missing, cut off); decode(path,
-    value) gives the values of `fields`, or None for a node to leave out. only: node types to return. Parents precede children in `spec`. A NULL or blank
+    value) gives the values of `fields`, or None for a node to leave out. only: node types to return; with ROOT, each record
+    for which `roots` gives a list, an empty one too, has a row of its own, with an empty label. Parents precede children in `spec`. A NULL or blank
     text, a missing or NULL member and a member of another shape give no nodes; an empty table gives an empty one.
     Other columns of `df` never reach Python, whatever their names. The result keeps all nodes of a record; memory is
     bounded by the longest record and BATCH_NODES."""
@@ -136,6 +139,11 @@ def dewey_nodes(
 
             for i, t in enumerate(texts):
                 nodes = roots(t.as_py())
+                if nodes is not None and ROOT in wanted:
+                    row.append(i)
+                    paths.append(ROOT)
+                    labels.append([])
+                    values.append(decode(ROOT, None))
                 if not nodes:
                     continue
                 for name, found in zip(names, walk(nodes, spec)):

@@ -85,8 +85,9 @@ def attribute_grid(values: DataFrame, entity: str, attribute: str, order: str, a
     order of `attributes`; cells without a value have counts 0 and first NULL. `first` is the payload of the fitting
     value with the least `order`, so a cell never grows with the number of values.
 
-    values: entity, attribute, order, the columns `fits` reads. Values of other attributes are left out. An entity in
-    `values` without any listed attribute gets no row; repeated rows count as often as they are there.
+    values: entity, attribute, order, the columns `fits` reads. Values of other attributes are left out, but an entity in
+    `values` without any listed attribute, or with a NULL one only, gets a row of empty cells; repeated rows count as
+    often as they are there.
 
     The cells combine before the shuffle by (entity, position), so an entity or a property with a third of all rows is no
     hot task. An entity then has at most one cell per attribute; the grid is completed inside its row, by position, which
@@ -95,14 +96,14 @@ def attribute_grid(values: DataFrame, entity: str, attribute: str, order: str, a
         attributes = [(None, "string")]
     spark = values.sparkSession
     listed = F.broadcast(spark.createDataFrame([(a, k, d) for k, (a, d) in enumerate(attributes)], "_attribute long, _pos int, _datatype string"))
-    at = values.join(listed, F.col(attribute) == F.col("_attribute")).withColumn("_fits", fits(F.col("_datatype")))
+    at = values.join(listed, F.col(attribute) == F.col("_attribute"), "left").withColumn("_fits", fits(F.col("_datatype")))
     ranked = F.struct(F.col(order).alias("_order"), *payload)
     cells = at.groupBy(entity, "_pos").agg(
         F.count_if("_fits").alias("n_fit"),
         F.count_if(~F.col("_fits")).alias("n_misfit"),
         F.min(F.when(F.col("_fits"), ranked)).alias("first"),
     )
-    found = F.map_from_entries(F.collect_list(F.struct("_pos", F.struct("n_fit", "n_misfit", "first")))).alias("_found")
+    found = F.map_from_entries(F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.struct("n_fit", "n_misfit", "first"))))).alias("_found")
     empty = F.struct(F.lit(0).cast("bigint").alias("n_fit"), F.lit(0).cast("bigint").alias("n_misfit"), F.lit(None).cast(cells.schema["first"].dataType).alias("first"))
     rows = cells.groupBy(entity).agg(found)
     grid = F.transform(F.sequence(F.lit(0), F.lit(len(attributes) - 1)), lambda p: F.coalesce(F.try_element_at(F.col("_found"), p), empty))

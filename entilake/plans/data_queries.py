@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from entilake.functions.days import parse_timestamp
 from entilake.operators import frequent, history, merkle, orphans, wide
-from entilake.operators.shred import with_parent
+from entilake.operators.shred import ROOT, with_parent
 from entilake.session import cut
 from entilake.sources.claims import CLAIM_TREE, SNAK_PATHS, claim_labels, claim_nodes, entity_references
 from entilake.sources.tables import current_rows, table
@@ -52,9 +52,9 @@ def _attributes(spark: SparkSession, d: str) -> list[tuple[int, str]]:
     return wide.attribute_list(current_rows(table(spark, d, "wb_properties", "id", "rev", "datatype"), "id", "rev", "datatype"))
 
 
-def _main_snaks(spark: SparkSession, d: str) -> DataFrame:
+def _main_snaks(spark: SparkSession, d: str, *more: str) -> DataFrame:
     items = current_rows(table(spark, d, "wb_items", "id", "rev", "claims"), "id", "rev", "claims")
-    nodes = claim_nodes(items, ["id"], only=["main"])
+    nodes = claim_nodes(items, ["id"], only=["main", *more])
     return nodes.withColumn("claim_no", F.get("dewey", F.lit(0)))
 
 
@@ -68,9 +68,10 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_wide(spark: SparkSession, d: str) -> DataFrame:
-    """One row per item with a typed column per property: the value of its first claim that fits."""
+    """One row per item whose current claims are complete, an empty list too, with a typed column per property: the value
+    of its first claim that fits."""
     attributes = _attributes(spark, d)
-    return wide.wide_table(wide.attribute_grid(_main_snaks(spark, d), "id", "property_id", "claim_no", attributes, _PAYLOAD), "id", attributes)
+    return wide.wide_table(wide.attribute_grid(_main_snaks(spark, d, ROOT), "id", "property_id", "claim_no", attributes, _PAYLOAD), "id", attributes)
 
 
 def p2_set_apart(spark: SparkSession, d: str) -> DataFrame:

@@ -161,6 +161,10 @@ def test_no_main_value_is_lost(spark, wide_tables):
     assert (1, "a") in rows(data_queries.p2_wide(spark, wide_tables), "id", "p1")
 
 
+def test_wide_table_has_every_item_with_complete_claims(spark, wide_tables):
+    assert rows(data_queries.p2_wide(spark, wide_tables), "id", "p1", "n_misfits") == [(1, "a", 1), (2, None, 0), (3, None, 0), (4, None, 0), (8, None, 0)]
+
+
 # Increments
 
 
