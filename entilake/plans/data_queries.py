@@ -21,12 +21,12 @@ def _observations(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    dim = history.merge_versions(None, None, _observations(spark, d), "id", "wd_day", ["stat_num"])
-    return dim.select("id", "from_day")
+    """Loaded by the merge, in the two runs of p1_merged_in_batches."""
+    return p1_merged_in_batches(spark, d).select("id", "from_day")
 
 
 def p1_versions(spark: SparkSession, d: str) -> DataFrame:
-    """All versions with their periods; an open version has no last day."""
+    """All versions with their periods, in one first load; an open version has no last day."""
     dim = history.merge_versions(None, None, _observations(spark, d), "id", "wd_day", ["stat_num"])
     return dim.select("id", "stat_num", "from_day", "to_day", "is_current")
 

@@ -61,6 +61,15 @@ def test_late_row_between_confirming_days(spark):
         history.merge_versions(dim, None, second, "id", "day", ["v"])
 
 
+def test_found_versions_are_loaded_by_the_merge(spark, tmp_path, monkeypatch):
+    rows_ = [(1, 1, 1, 7, "2013-01-01"), (1, 2, 5, 7, "2013-01-02"), (1, 3, 3, 8, "2013-02-01")]
+    df = spark.createDataFrame(rows_, "id int, rev int, wd_day int, stat_num int, loaded_at string")
+    df.withColumn("loaded_at", F.col("loaded_at").cast("timestamp")).write.parquet(f"{tmp_path}/itemrevstats.parquet")
+    merge, merged = history.merge_versions, []
+    monkeypatch.setattr(history, "merge_versions", lambda dim, *a: merged.append(dim is not None) or merge(dim, *a))
+    assert rows(data_queries.p1_found(spark, str(tmp_path))) == [(1, 1), (1, 3), (1, 5)] and merged == [False, True]
+
+
 def test_history_of_nothing_and_clashing_columns(spark):
     empty = spark.createDataFrame([], "id int, day int, rev int, v int, attr_hash string, from_day int, _best int")
     obs = history.observations(empty, "id", "day", "rev", ["v"])
