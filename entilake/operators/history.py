@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+def attribute_hash(attributes: list[str]) -> Column:
+    """Hash of the attributes of a row. Each comes with a flag, because a hash passes over NULLs: without it (NULL, 5) and
+    (5, NULL) would be equal."""
+    return F.xxhash64(*[x for a in attributes for x in (F.col(a).isNull(), F.col(a))])
+
+
 def observations(df: DataFrame, key: str, day: str, rank: str, attributes: list[str]) -> DataFrame:
     """What counts of a snapshot table: one row (key, day, attributes, attr_hash) per key and day, that of the highest
     `rank`, ties by the greatest attributes. Rows without key or day, and rows in which every attribute is NULL, say
@@ -17,7 +23,7 @@ def observations(df: DataFrame, key: str, day: str, rank: str, attributes: list[
     known = df.where(F.col(key).isNotNull() & F.col(day).isNotNull() & F.coalesce(*[F.col(a).cast("string") for a in attributes]).isNotNull())
     best = F.max(F.struct(F.col(rank).alias("_rank"), *attributes)).alias("_best")
     out = known.groupBy(key, day).agg(best).select(key, day, *[f"_best.{a}" for a in attributes])
-    return out.withColumn("attr_hash", F.xxhash64(*attributes))
+    return out.withColumn("attr_hash", attribute_hash(attributes))
 
 
 def versions(obs: DataFrame, key: str, day: str, attributes: list[str]) -> DataFrame:

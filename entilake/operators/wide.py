@@ -67,47 +67,60 @@ def fits(datatype: Column) -> Column:
     return F.coalesce(c("kind").isin("novalue", "somevalue"), F.lit(False)) | F.coalesce(is_kind & right, F.lit(False))
 
 
+def holds(datatype: Column) -> Column:
+    """Whether the column of the datatype holds a fitting value exactly. Never NULL. No value and some value have nothing
+    to hold; an id beyond BIGINT and an amount beyond 29 digits before or 9 after the point are too large."""
+    c = F.col
+    amount = c("amount").rlike(r"^\s*[+-]?0*\d{1,29}(\.\d{0,9}0*)?\s*$")
+    large = F.when(datatype == "wikibase-item", F.trim(c("entity_id")).try_cast("bigint").isNotNull()).when(datatype == "quantity", amount).otherwise(True)
+    return F.coalesce((c("kind") == "value") & fits(datatype) & large, F.lit(False))
+
+
 def typed(cell: Column, datatype: str) -> Column:
-    """The value of a cell as the type of its column, by try casts: NULL rather than an error."""
+    """The value of a cell as the type of its column, by try casts: NULL rather than an error, and NULL for an empty cell."""
     if datatype == "wikibase-item":
         return F.trim(cell["entity_id"]).try_cast("bigint")
     if datatype == "quantity":
         return F.trim(cell["amount"]).try_cast("decimal(38,9)")
     if datatype == "globe-coordinate":
-        return F.struct(F.trim(cell["latitude"]).try_cast("double").alias("latitude"), F.trim(cell["longitude"]).try_cast("double").alias("longitude"))
+        return F.when(cell.isNotNull(), F.struct(F.trim(cell["latitude"]).try_cast("double").alias("latitude"), F.trim(cell["longitude"]).try_cast("double").alias("longitude")))
     if datatype == "time":
-        return F.struct(cell["time"].alias("time"), F.trim(cell["time_precision"]).try_cast("int").alias("precision"))
+        return F.when(cell.isNotNull(), F.struct(cell["time"].alias("time"), F.trim(cell["time_precision"]).try_cast("int").alias("precision")))
     return cell["value"]
 
 
 def attribute_grid(values: DataFrame, entity: str, attribute: str, order: str, attributes: list[tuple[int, str]], payload: list[str]) -> DataFrame:
     """One row per entity: `entity`, grid ARRAY<STRUCT<n_fit, n_misfit, first>> with a cell for every attribute, in the
-    order of `attributes`; cells without a value have counts 0 and first NULL. `first` is the payload of the fitting
-    value with the least `order`, so a cell never grows with the number of values.
+    order of `attributes`; cells without a value have counts 0 and first NULL. `first` is the payload of the value with the
+    least `order` among those the column holds (see `holds`), so a cell never grows with the number of values.
 
     values: entity, attribute, order, the columns `fits` reads. Values of other attributes are left out, but an entity in
     `values` without any listed attribute, or with a NULL one only, gets a row of empty cells; repeated rows count as
     often as they are there.
 
     The cells combine before the shuffle by (entity, position), so an entity or a property with a third of all rows is no
-    hot task. An entity then has at most one cell per attribute; the grid is completed inside its row, by position, which
-    equals the left join of values to an entity-by-attribute grid without writing out its empty rows."""
+    hot task. An entity then has at most one cell per attribute; they are collected in the order of the positions, and the
+    grid is completed inside the row: before each cell as many empty ones as positions were left out, in one pass over the
+    cells. That equals the left join of values to an entity-by-attribute grid without shuffling its empty rows."""
     if not attributes:
         attributes = [(None, "string")]
     spark = values.sparkSession
     listed = F.broadcast(spark.createDataFrame([(a, k, d) for k, (a, d) in enumerate(attributes)], "_attribute long, _pos int, _datatype string"))
-    at = values.join(listed, F.col(attribute) == F.col("_attribute"), "left").withColumn("_fits", fits(F.col("_datatype")))
+    at = values.join(listed, F.col(attribute) == F.col("_attribute"), "left")
+    at = at.withColumn("_fits", fits(F.col("_datatype"))).withColumn("_holds", holds(F.col("_datatype")))
     ranked = F.struct(F.col(order).alias("_order"), *payload)
     cells = at.groupBy(entity, "_pos").agg(
         F.count_if("_fits").alias("n_fit"),
         F.count_if(~F.col("_fits")).alias("n_misfit"),
-        F.min(F.when(F.col("_fits"), ranked)).alias("first"),
+        F.min(F.when(F.col("_holds"), ranked)).alias("first"),
     )
-    found = F.map_from_entries(F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.struct("n_fit", "n_misfit", "first"))))).alias("_found")
+    found = F.array_sort(F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", F.struct("n_fit", "n_misfit", "first").alias("cell"))))).alias("_found")
     empty = F.struct(F.lit(0).cast("bigint").alias("n_fit"), F.lit(0).cast("bigint").alias("n_misfit"), F.lit(None).cast(cells.schema["first"].dataType).alias("first"))
     rows = cells.groupBy(entity).agg(found)
-    grid = F.transform(F.sequence(F.lit(0), F.lit(len(attributes) - 1)), lambda p: F.coalesce(F.try_element_at(F.col("_found"), p), empty))
-    return rows.select(entity, grid.alias("grid"))
+    place = lambda k: F.coalesce(F.get("_found", k)["_pos"], F.lit(-1))
+    filled = F.transform("_found", lambda x, k: F.concat(F.array_repeat(empty, x["_pos"] - place(k - 1) - 1), F.array(x["cell"])))
+    rest = F.array_repeat(empty, F.lit(len(attributes) - 1) - place(F.size("_found") - 1))
+    return rows.select(entity, F.concat(F.flatten(filled), rest).alias("grid"))
 
 
 def wide_table(grid: DataFrame, entity: str, attributes: list[tuple[int, str]]) -> DataFrame:
@@ -117,6 +130,44 @@ def wide_table(grid: DataFrame, entity: str, attributes: list[tuple[int, str]])
     return grid.select(entity, *columns, misfits)
 
 
+#: Columns of a cell read back from a wide table, by datatype.
+LONG = {"wikibase-item": "item_id", "quantity": "amount", "string": "text_value", "commonsmedia": "text_value", "url": "text_value"}
+
+
+def long_table(wide: DataFrame, entity: str, attributes: list[tuple[int, str]]) -> DataFrame:
+    """The cells of a wide table that hold a value, one row each: entity, property_id, item_id, amount, text_value, latitude,
+    longitude, time_value, time_precision; the way back from the wide form."""
+    types = {"item_id": "bigint", "amount": "decimal(38,9)", "text_value": "string", "latitude": "double", "longitude": "double", "time_value": "string", "time_precision": "int"}
+
+    def cell(a: int, d: str) -> Column:
+        c = F.col(f"p{a}")
+        given = {LONG[d]: c} if d in LONG else {"latitude": c["latitude"], "longitude": c["longitude"]} if d == "globe-coordinate" else {"time_value": c["time"], "time_precision": c["precision"]}
+        full = next(iter(given.values())).isNotNull()
+        return F.when(full, F.struct(F.lit(a).cast("int").alias("property_id"), *[given.get(n, F.lit(None)).cast(t).alias(n) for n, t in types.items()]))
+
+    if not attributes:
+        return wide.where("false").select(entity, F.lit(0).alias("property_id"), *[F.lit(None).cast(t).alias(n) for n, t in types.items()])
+    return wide.select(entity, F.explode(F.array(*[cell(a, d) for a, d in attributes])).alias("_c")).where("_c is not null").select(entity, "_c.*")
+
+
+def set_apart(values: DataFrame, entity: str, attribute: str, order: str, attributes: list[tuple[int, str]]) -> DataFrame:
+    """The values that are in no cell of the wide table, with datatype and reason: `no column` (an attribute without one,
+    datatype NULL), `misfit`, `no value` (no value and some value), `too large` (see `holds`), `later` (not the first of
+    its cell). Together with the cells these are all rows of `values`, if `order` is unique within an entity. Columns of
+    `values` named datatype or reason are replaced. `values` is read three times and should be cut; the first of each cell
+    is found by an aggregate that combines before the shuffle."""
+    values = values.drop("datatype", "reason")
+    spark = values.sparkSession
+    listed = F.broadcast(spark.createDataFrame(attributes or [(None, "string")], "_attribute long, datatype string"))
+    typed_ = values.join(listed, F.col(attribute) == F.col("_attribute"), "left").drop("_attribute")
+    kept = F.coalesce(holds(F.col("datatype")), F.lit(False))
+    reason = F.when(F.col("datatype").isNull(), "no column").when(~fits(F.col("datatype")), "misfit").when(F.col("kind") != "value", "no value").when(~kept, "too large")
+    judged = typed_.withColumn("_reason", reason)
+    first = judged.where("_reason is null").groupBy(entity, attribute).agg(F.min(order).alias("_first"))
+    good = judged.where("_reason is null").join(first, [entity, attribute]).where(F.col(order) > F.col("_first")).drop("_first").withColumn("_reason", F.lit("later"))
+    return judged.where("_reason is not null").unionByName(good).withColumnRenamed("_reason", "reason")
+
+
 def misfits(grid: DataFrame, entity: str, attributes: list[tuple[int, str]]) -> DataFrame:
     """(entity, property_id, n_misfit) of the cells that hold values which do not fit their column."""
     ids = F.array(*[F.lit(a).cast("int") for a, _ in attributes]) if attributes else F.array().cast("array<int>")

@@ -218,14 +218,25 @@ def _misfit_sql() -> str:
  END, false) AS ok FROM mains)"""
 
 
+def _apart_sql() -> str:
+    """judged with the columns of a cell and the reason why a value is in none; NULL for the values of cells."""
+    sql = _misfit_sql().replace("FROM decoded d JOIN types USING (property_id) WHERE snak_place = 'm' AND datatype IS NOT NULL)", "FROM decoded d LEFT JOIN types USING (property_id) WHERE snak_place = 'm')")
+    item = """CASE tag WHEN 'R' THEN json_extract_string(v, '$') ELSE json_extract_string(v, '$."numeric-id"') END"""
+    amount = "trim(json_extract_string(v, '$.amount'))"
+    return rf"""{sql}, sized AS (SELECT *, CASE WHEN dt IS NULL THEN 'no column' WHEN NOT ok THEN 'misfit' WHEN tag IN ('novalue', 'somevalue') THEN 'no value'
+  WHEN dt = 'wikibase-item' AND try_cast(trim({item}) AS BIGINT) IS NULL THEN 'too large' WHEN dt = 'quantity' AND NOT regexp_full_match({amount}, '[+-]?0*\d{{1,29}}(\.\d{{0,9}}0*)?') THEN 'too large' END AS why FROM judged),
+ ranked AS (SELECT *, row_number() OVER (PARTITION BY id, property_id, why IS NULL ORDER BY claim_no) AS k FROM sized),
+ placed AS (SELECT * EXCLUDE (why), CASE WHEN why IS NULL AND k > 1 THEN 'later' ELSE why END AS reason, {item} AS item, {amount} AS amount FROM ranked)"""
+
+
 def _refs(name: str) -> str:
-    return f"""SELECT DISTINCT '{name}' AS src_table, id AS src_id, rev AS src_rev, target_kind, CAST(n AS BIGINT) AS missing_id FROM (WITH {claims_cte(name)}, {_DECODED} SELECT id, rev, CASE tag WHEN 'R' THEN 'item' ELSE lower(trim(json_extract_string(s, '$[3]."entity-type"'))) END AS target_kind,
- CASE tag WHEN 'R' THEN json_extract_string(s, '$[2]') ELSE json_extract_string(s, '$[3]."numeric-id"') END AS n FROM decoded WHERE vtype = 'wikibase-entityid') WHERE regexp_full_match(n, '\\s*\\d+\\s*') AND target_kind IN ('item', 'property')""".replace("\\\\", "\\")
+    return rf"""SELECT DISTINCT '{name}' AS src_table, id AS src_id, rev AS src_rev, target_kind, ltrim(trim(n), '0') AS digits, CASE WHEN regexp_full_match(trim(n), '0+') THEN 0 ELSE try_cast(trim(n) AS BIGINT) END AS missing_id FROM (WITH {claims_cte(name)}, {_DECODED} SELECT id, rev, CASE tag WHEN 'R' THEN 'item' ELSE lower(trim(json_extract_string(s, '$[3]."entity-type"'))) END AS target_kind,
+ CASE tag WHEN 'R' THEN json_extract_string(s, '$[2]') ELSE json_extract_string(s, '$[3]."numeric-id"') END AS n FROM decoded WHERE vtype = 'wikibase-entityid') WHERE regexp_full_match(n, '\s*\d+\s*') AND target_kind IN ('item', 'property')""".replace("\\\\", "\\")
 
 
 _GONE = "gone AS (SELECT entity_id FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY logged_at DESC, log_id DESC) AS k FROM deletion_log) WHERE k = 1 AND lower(trim(log_action)) = 'delete')"
 _MISSING = f"""{_GONE}, r AS ({_refs('wb_items')} UNION ALL {_refs('wb_properties')}), missing AS (SELECT * FROM r
- WHERE NOT CASE target_kind WHEN 'item' THEN missing_id IN (SELECT id FROM wb_items) AND missing_id NOT IN (SELECT entity_id FROM gone) ELSE missing_id IN (SELECT id FROM wb_properties) END)"""
+ WHERE missing_id IS NULL OR NOT CASE target_kind WHEN 'item' THEN missing_id IN (SELECT id FROM wb_items) AND missing_id NOT IN (SELECT entity_id FROM gone) ELSE missing_id IN (SELECT id FROM wb_properties) END)"""
 _P1 = """o AS (SELECT id, wd_day, max(rev) AS rev FROM itemrevstats WHERE stat_num IS NOT NULL AND id IS NOT NULL AND wd_day IS NOT NULL GROUP BY ALL),
  v AS (SELECT id, wd_day, max(stat_num) AS stat_num FROM o JOIN itemrevstats USING (id, wd_day, rev) GROUP BY ALL),
  s AS (SELECT id, wd_day, stat_num FROM (SELECT *, lag(stat_num) OVER (PARTITION BY id ORDER BY wd_day) AS p FROM v) WHERE p IS DISTINCT FROM stat_num),
@@ -244,16 +255,22 @@ def oracle_sql() -> dict[str, str]:
         "p1_versions": versions,
         "p1_merged_in_batches": versions,
         "p2_found": f"WITH {_misfit_sql()} SELECT DISTINCT id, property_id FROM judged WHERE NOT ok",
+        "p2_cells": f"""WITH {_apart_sql()} SELECT id, property_id, CASE WHEN dt = 'wikibase-item' THEN CAST(trim(item) AS BIGINT) END AS item_id, CASE WHEN dt = 'quantity' THEN CAST(amount AS DECIMAL(38,9)) END AS amount,
+ CASE WHEN dt IN ('string', 'commonsmedia', 'url') THEN json_extract_string(v, '$') END AS text_value, CASE WHEN dt = 'globe-coordinate' THEN CAST(trim(json_extract_string(v, '$.latitude')) AS DOUBLE) END AS latitude, CASE WHEN dt = 'globe-coordinate' THEN CAST(trim(json_extract_string(v, '$.longitude')) AS DOUBLE) END AS longitude,
+ CASE WHEN dt = 'time' THEN tm END AS time_value, CASE WHEN dt = 'time' THEN tp END AS time_precision FROM placed WHERE reason IS NULL""",
+        "p2_set_apart_places": f"WITH {_apart_sql()} SELECT id, property_id, claim_no, dt AS datatype, reason, CASE WHEN tag IN ('value', 'R', 'S', 'T') THEN 'value' ELSE tag END AS kind, vtype FROM placed WHERE reason IS NOT NULL",
+        "p2_balance": f"WITH {claims_cte()} SELECT (SELECT count(*) FROM roots WHERE cl IS NOT NULL) AS n_items, (SELECT count(*) FROM snaks WHERE snak_place = 'm') AS n_values",
         "misfits_by_type": f"WITH {_misfit_sql()} SELECT dt AS declared, count(*) FILTER (ok) AS n_fit, count(*) FILTER (NOT ok) AS n_misfit FROM judged GROUP BY 1",
         "p3_found": "WITH a AS (SELECT CAST(substr(title, 2) AS INT) AS id, max(rev_id) AS rev FROM revision WHERE regexp_full_match(title, 'Q[0-9]+') GROUP BY 1), b AS (SELECT id, max(rev) AS r FROM wb_items GROUP BY 1) SELECT id, rev FROM a LEFT JOIN b USING (id) WHERE r IS NULL OR rev > r",
         "p4_found": f"SELECT user_name FROM revision WHERE user_name IS NOT NULL GROUP BY 1 HAVING count(*) >= {FREQUENT_SHARE} * (SELECT count(user_name) FROM revision)",
         "p5_found": f"WITH {claims_cte()} SELECT id, claim_no, snak_place, group_no, snak_no FROM snaks",
         "p5_claims": f"WITH {claims_cte()} SELECT id, CAST(claim_no AS VARCHAR) AS claim_label, json_extract_string(c, '$.g') AS guid, json_extract_string(c, '$.rank') AS rank FROM claims",
         "p5_references": f"WITH {claims_cte()} SELECT id, claim_no || '.2.' || group_no AS reference_label, CAST(claim_no AS VARCHAR) AS claim_label FROM groups",
-        "p6_found": f"WITH {_MISSING} SELECT DISTINCT src_table, src_id, target_kind, missing_id FROM missing",
+        "p6_found": f"WITH {_MISSING} SELECT DISTINCT src_table, src_id, target_kind, missing_id FROM missing WHERE missing_id IS NOT NULL",
+        "p6_impossible": f"WITH r AS ({_refs('wb_items')} UNION ALL {_refs('wb_properties')}) SELECT DISTINCT src_table, src_id, target_kind, digits AS missing_digits FROM r WHERE missing_id IS NULL",
         "p6_by_month": rf"""WITH {_MISSING}, stamps AS (SELECT rev_id, delivered_at, CASE WHEN regexp_full_match(rev_timestamp, '\d{{4}}-\d\d-\d\d[T ]\d\d:\d\d:\d\d(Z|\+00:00)?') THEN try_cast(replace(substr(rev_timestamp, 1, 19), 'T', ' ') AS TIMESTAMP) END AS ts FROM revision),
  months AS (SELECT rev_id AS src_rev, strftime(min(ts) FILTER (ts <= delivered_at), '%Y-%m') AS ref_month FROM stamps GROUP BY 1)
- SELECT src_table, coalesce(ref_month, 'unknown') AS ref_month, target_kind, count(*) AS n_references, count(DISTINCT missing_id) AS n_missing FROM missing LEFT JOIN months USING (src_rev) GROUP BY ALL""",
+ SELECT src_table, coalesce(ref_month, 'unknown') AS ref_month, target_kind, count(*) AS n_references, count(DISTINCT digits) AS n_missing FROM missing LEFT JOIN months USING (src_rev) GROUP BY ALL""",
         "terms": f"WITH {_TERMS} SELECT id, term_kind, lang, {_TAG} AS tag, text FROM terms WHERE text IS NOT NULL AND {_TAG} IS NOT NULL",
         "term_literals": f"WITH {_TERMS} SELECT id, term_kind, lang, {_LITERAL.format(x='text')} || '@' || {_TAG} AS literal FROM terms WHERE text IS NOT NULL AND {_TAG} IS NOT NULL",
         "language_filter": f"WITH {_TERMS} SELECT lang, term_kind, count(*) AS n_terms, count(text) AS n_texts FROM terms WHERE lang IN ({', '.join(repr(x) for x in LANGUAGES)}) GROUP BY ALL",

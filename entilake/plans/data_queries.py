@@ -67,24 +67,41 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return wide.misfits(grid, "id", attributes).select("id", "property_id")
 
 
+def _wide(spark: SparkSession, d: str) -> tuple[DataFrame, list[tuple[int, str]]]:
+    attributes = _attributes(spark, d)
+    return wide.wide_table(wide.attribute_grid(_main_snaks(spark, d, ROOT), "id", "property_id", "claim_no", attributes, _PAYLOAD), "id", attributes), attributes
+
+
 def p2_wide(spark: SparkSession, d: str) -> DataFrame:
     """One row per item whose current claims are complete, an empty list too, with a typed column per property: the value
-    of its first claim that fits."""
-    attributes = _attributes(spark, d)
-    return wide.wide_table(wide.attribute_grid(_main_snaks(spark, d, ROOT), "id", "property_id", "claim_no", attributes, _PAYLOAD), "id", attributes)
+    of its first claim that the column holds."""
+    return _wide(spark, d)[0]
+
+
+def p2_cells(spark: SparkSession, d: str) -> DataFrame:
+    """The cells of the wide table that hold a value, one row each, read back from its columns."""
+    table_, attributes = _wide(spark, d)
+    return wide.long_table(table_, "id", attributes)
 
 
 def p2_set_apart(spark: SparkSession, d: str) -> DataFrame:
-    """The values that are in no cell of the wide table: misfits, fitting values after the first of a cell, and values
-    whose property has no column (datatype NULL, they fit nowhere)."""
-    from pyspark.sql import Window as W
+    """The values that are in no cell of the wide table, with the reason (see wide.set_apart)."""
+    values = cut(_main_snaks(spark, d).select("id", "claim_no", "property_id", "kind", "vtype", "is_text", "entity_kind", *_PAYLOAD))
+    apart = wide.set_apart(values, "id", "property_id", "claim_no", _attributes(spark, d))
+    return apart.select("id", "property_id", "claim_no", "datatype", "reason", "kind", "vtype", "value")
+
+
+def p2_set_apart_places(spark: SparkSession, d: str) -> DataFrame:
+    """p2_set_apart without the values."""
+    return p2_set_apart(spark, d).drop("value")
 
-    attributes = _attributes(spark, d)
-    listed = F.broadcast(spark.createDataFrame(attributes or [(None, "string")], "property_id int, datatype string"))
-    fits = F.col("datatype").isNotNull() & wide.fits(F.col("datatype"))
-    values = _main_snaks(spark, d).join(listed, "property_id", "left").withColumn("fits", fits)
-    first = F.min(F.when(F.col("fits"), F.col("claim_no"))).over(W.partitionBy("id", "property_id"))
-    return values.withColumn("_first", first).where(~F.col("fits") | (F.col("claim_no") > F.col("_first"))).select("id", "property_id", "claim_no", "datatype", "fits", "kind", "vtype", "value")
+
+def p2_balance(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the wide table, and the main values in its cells and set apart together, which are all there are."""
+    table_, attributes = _wide(spark, d)
+    table_ = cut(table_)
+    values = wide.long_table(table_, "id", attributes).select("id").unionByName(p2_set_apart(spark, d).select("id"))
+    return table_.agg(F.count("*").alias("n_items")).crossJoin(values.agg(F.count("*").alias("n_values")))  # one row each
 
 
 def _item_revisions(spark: SparkSession, d: str) -> DataFrame:
@@ -160,35 +177,46 @@ def p5_snaks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _references(spark: SparkSession, d: str) -> DataFrame:
-    """(is_property, src_id, src_rev, target): distinct references of the current claims by a whole numeric-id."""
+    """(is_property, src_id, src_rev, target_kind, missing_id, beyond): distinct references of the current claims by a whole
+    numeric-id. beyond: the digits of an id that no BIGINT holds, missing_id is NULL then."""
     parts = []
     for name, is_property in (("wb_items", False), ("wb_properties", True)):
         rows = current_rows(table(spark, d, name, "id", "rev", "claims"), "id", "rev", "claims")
-        found = entity_references(rows, ["id", "rev"])
-        number = F.when(F.col("entity_id").rlike(r"^\s*\d+\s*$"), F.trim("entity_id").try_cast("bigint"))
-        target = orphans.entity_key(F.lower(F.trim("entity_kind")), number)
-        parts.append(found.select(F.lit(is_property).alias("is_property"), F.col("id").alias("src_id"), F.col("rev").alias("src_rev"), target.alias("target")).where("target is not null"))
+        found = entity_references(rows, ["id", "rev"]).where(F.col("entity_id").rlike(r"^\s*\d+\s*$"))
+        digits = F.regexp_extract("entity_id", r"^\s*0*(\d+)\s*$", 1)
+        number = digits.try_cast("bigint")
+        target = [F.lower(F.trim("entity_kind")).alias("target_kind"), number.alias("missing_id"), F.when(number.isNull(), digits).alias("beyond")]
+        parts.append(found.select(F.lit(is_property).alias("is_property"), F.col("id").alias("src_id"), F.col("rev").alias("src_rev"), *target).where("target_kind in ('item', 'property')"))
     return parts[0].unionByName(parts[1])
 
 
 def _existing(spark: SparkSession, d: str) -> DataFrame:
-    """(target) of the entities that exist: a row in wb_items or wb_properties, and no deletion as the latest entry."""
+    """(target_kind, missing_id) of the entities that exist: a row in wb_items or wb_properties, and no deletion as the latest
+    entry."""
     log = table(spark, d, "deletion_log", "log_id", "entity_id", "log_action", "logged_at")
     last = log.where("entity_id is not null").groupBy("entity_id").agg(F.max(F.struct("logged_at", "log_id", F.lower(F.trim("log_action")).alias("action"))).alias("last"))
     gone = last.where(F.col("last.action") == "delete").select(F.col("entity_id").alias("id"))
+    named = lambda df, kind: df.select(F.lit(kind).alias("target_kind"), F.col("id").cast("bigint").alias("missing_id"))
     items = table(spark, d, "wb_items", "id").join(gone, "id", "left_anti")
-    properties = table(spark, d, "wb_properties", "id")
-    return items.select(orphans.entity_key(F.lit("item"), F.col("id").cast("bigint")).alias("target")).unionByName(properties.select(orphans.entity_key(F.lit("property"), F.col("id").cast("bigint")).alias("target")))
+    return named(items, "item").unionByName(named(table(spark, d, "wb_properties", "id"), "property"))
 
 
 def _orphans(spark: SparkSession, d: str) -> DataFrame:
-    found = orphans.find_orphans(cut(_references(spark, d)), _existing(spark, d), "target")
+    """Orphan references with their places; those to ids beyond BIGINT, which no entity can have, are orphans as they are."""
+    references = cut(_references(spark, d))
+    found = orphans.find_orphans(references, _existing(spark, d), "target_kind", "missing_id").unionByName(references.where("missing_id is null"))
     source = F.when(F.col("is_property"), "wb_properties").otherwise("wb_items")
-    return found.select(source.alias("src_table"), "src_id", "src_rev", orphans.key_kind(F.col("target")).alias("target_kind"), F.shiftright("target", 1).alias("missing_id"))
+    return found.select(source.alias("src_table"), "src_id", "src_rev", "target_kind", "missing_id", "beyond")
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return _orphans(spark, d).select("src_table", "src_id", "target_kind", "missing_id").distinct()
+    """Orphans with an id that is a BIGINT; for others see p6_impossible."""
+    return _orphans(spark, d).where("missing_id is not null").select("src_table", "src_id", "target_kind", "missing_id").distinct()
+
+
+def p6_impossible(spark: SparkSession, d: str) -> DataFrame:
+    """References to ids beyond BIGINT, with the digits."""
+    return _references(spark, d).where("missing_id is null").select(F.when(F.col("is_property"), "wb_properties").otherwise("wb_items").alias("src_table"), "src_id", "target_kind", F.col("beyond").alias("missing_digits")).distinct()
 
 
 def p6_by_month(spark: SparkSession, d: str) -> DataFrame:
@@ -202,9 +230,9 @@ def p6_by_month(spark: SparkSession, d: str) -> DataFrame:
     months = times.groupBy(F.col("rev_id").alias("src_rev")).agg(F.date_format(F.min(possible), "yyyy-MM").alias("ref_month"))
     joined = missing.withColumn("src_rev", F.col("src_rev").cast("bigint")).join(months, "src_rev", "left")
     keyed = joined.groupBy("src_table", F.coalesce("ref_month", F.lit("unknown")).alias("ref_month"), "target_kind")
-    return keyed.agg(F.count("*").alias("n_references"), F.count_distinct("missing_id").alias("n_missing"))
+    return keyed.agg(F.count("*").alias("n_references"), F.count_distinct(F.coalesce(F.col("missing_id").cast("string"), "beyond")).alias("n_missing"))
 
 
 def queries() -> dict:
-    names = ("p1_found", "p1_versions", "p1_merged_in_batches", "p2_found", "p2_wide", "p2_set_apart", "p3_found", "p4_found", "p4_top_users", "p5_found", "p5_claims", "p5_references", "p5_snaks", "p6_found", "p6_by_month")
+    names = ("p1_found", "p1_versions", "p1_merged_in_batches", "p2_found", "p2_wide", "p2_cells", "p2_set_apart", "p2_set_apart_places", "p2_balance", "p3_found", "p4_found", "p4_top_users", "p5_found", "p5_claims", "p5_references", "p5_snaks", "p6_found", "p6_impossible", "p6_by_month")
     return {n: globals()[n] for n in names}

@@ -89,11 +89,11 @@ def first_seen(revisions: DataFrame) -> DataFrame:
 def latest_entities(revisions: DataFrame, mode: str = "first_block", max_date: str = "") -> DataFrame:
     """Newest state of each entity. `first_block`: the highest revision with content in the newest file that has a page of
     the entity, none if that file has no content of it; `global`: the highest revision anywhere. max_date: only revisions
-    with a smaller time stamp."""
+    with a smaller time stamp; the newest file is that of all revisions, so an entity whose newest file has only later ones
+    has no state."""
     rows = revisions
-    if max_date:
-        rows = rows.where(F.lit(max_date) > F.col("ts"))
-    usable = F.when(F.coalesce(F.col("content") != "", F.lit(False)), F.struct("rev_id", *[c for c in revisions.columns if c not in ("entity", "rev_id", "file_rank")]))
+    fit = (F.col("content") != "") & (F.lit(max_date) > F.col("ts") if max_date else F.lit(True))
+    usable = F.when(F.coalesce(fit, F.lit(False)), F.struct("rev_id", *[c for c in revisions.columns if c not in ("entity", "rev_id", "file_rank")]))
     by_file = rows.groupBy("entity", "file_rank").agg(F.max(usable).alias("_best"))
     if mode == "global":
         found = by_file.groupBy("entity").agg(F.max("_best").alias("_best"))

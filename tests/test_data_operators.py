@@ -79,6 +79,13 @@ def test_history_of_nothing_and_clashing_columns(spark):
     assert rows(dim, "id", "v", "from_day", "to_day", "is_current") == [(1, 7, 5, None, True), (2, 7, 5, None, True)]
 
 
+def test_nulls_that_change_places(spark):
+    schema = "id int, day int, rev int, a int, b int"
+    moved = spark.createDataFrame([(1, 1, 1, None, 5), (1, 2, 1, 5, None), (1, 3, 1, 5, None)], schema)
+    dim = history.versions(history.observations(moved, "id", "day", "rev", ["a", "b"]), "id", "day", ["a", "b"])
+    assert rows(dim, "a", "b", "from_day", "to_day") == sorted([(None, 5, 1, 1), (5, None, 2, None)], key=repr)
+
+
 # Claims and shredding
 
 FULL = [{"m": ["value", 1, "string", "a"], "q": [["somevalue", 2], ["value", 3, "wikibase-entityid", {"entity-type": "item", "numeric-id": "7"}]], "refs": [[["novalue", 4]], []], "g": "q1$X", "rank": 1}, {"m": ["R", 5, 9]}]
@@ -165,9 +172,22 @@ def wide_tables(spark, tmp_path):
 
 
 def test_no_main_value_is_lost(spark, wide_tables):
-    apart = rows(data_queries.p2_set_apart(spark, wide_tables), "id", "claim_no", "property_id", "datatype", "fits", "value")
-    assert apart == sorted([(1, 1, 1, "string", True, "b"), (1, 2, 1, "string", False, '{"amount": "1"}'), (1, 3, 2, None, False, "c"), (1, 4, 3, None, False, None), (2, 0, 9, None, False, "d"), (2, 1, None, None, False, None), (8, 0, 3, None, False, None)], key=repr)
+    apart = rows(data_queries.p2_set_apart(spark, wide_tables), "id", "claim_no", "property_id", "datatype", "reason", "value")
+    assert apart == sorted([(1, 1, 1, "string", "later", "b"), (1, 2, 1, "string", "misfit", '{"amount": "1"}'), (1, 3, 2, None, "no column", "c"), (1, 4, 3, None, "no column", None), (2, 0, 9, None, "no column", "d"), (2, 1, None, None, "no column", None), (8, 0, 3, None, "no column", None)], key=repr)
     assert (1, "a") in rows(data_queries.p2_wide(spark, wide_tables), "id", "p1")
+    assert rows(data_queries.p2_balance(spark, wide_tables)) == [(5, 8)]
+
+
+def test_values_too_large_for_their_column(spark, tmp_path):
+    amounts = ["1.5", "1.1234567890", "1.12345678901", "9" * 29, "9" * 30, "0" * 40 + "7", "-0.000000001"]
+    main = [["R", 1, "9223372036854775807"], ["R", 1, "9223372036854775808"], ["somevalue", 1], *[["value", 10 + i, "quantity", {"amount": a}] for i, a in enumerate(amounts)], ["novalue", 10], ["value", 10, "quantity", {"amount": "2"}]]
+    spark.createDataFrame([(1, 1, json.dumps([{"m": m} for m in main])), (2, 1, json.dumps([{"m": ["somevalue", 1]}, {"m": ["R", 1, 4]}]))], "id int, rev int, claims string").write.parquet(f"{tmp_path}/wb_items.parquet")
+    spark.createDataFrame([(1, 1, "wikibase-item"), *[(10 + i, 1, "quantity") for i in range(len(amounts))]], "id int, rev int, datatype string").write.parquet(f"{tmp_path}/wb_properties.parquet")
+    cells = {(r["id"], r["property_id"]): r["item_id"] if r["amount"] is None else str(r["amount"]) for r in data_queries.p2_cells(spark, str(tmp_path)).collect()}
+    assert cells == {(1, 1): 2**63 - 1, (2, 1): 4, (1, 10): "1.500000000", (1, 11): "1.123456789", (1, 13): "9" * 29 + ".000000000", (1, 15): "7.000000000", (1, 16): "-1E-9"}
+    apart = rows(data_queries.p2_set_apart(spark, str(tmp_path)), "id", "property_id", "claim_no", "reason")
+    assert apart == sorted([(1, 1, 1, "too large"), (1, 1, 2, "no value"), (1, 12, 5, "too large"), (1, 14, 7, "too large"), (1, 10, 10, "no value"), (1, 10, 11, "later"), (2, 1, 0, "no value")], key=repr)
+    assert rows(data_queries.p2_found(spark, str(tmp_path))) == []
 
 
 def test_wide_table_has_every_item_with_complete_claims(spark, wide_tables):
@@ -227,20 +247,31 @@ def test_frequent_values_of_nothing(spark):
 @pytest.mark.parametrize("most", [256, 1])
 def test_orphans_with_a_hot_key(spark, monkeypatch, most):
     rng = random.Random(3)
-    refs = [(i, 7 if i % 3 == 0 else rng.randint(0, 50_000), i % 2 == 0) for i in range(6000)] + [(9, None, True), (1, 4, False), (1, 4, False)]
-    parents = [(k,) for k in rng.sample(range(50_000), 20_000) if k not in (4,)] + [(7,), (7,), (None,)]
+    kinds, far = ["item", "property"], [2**63 - 1, -(2**63), 2**62, 0]
+    refs = [(i, rng.choice(kinds), 7 if i % 3 == 0 else rng.randint(0, 50_000), i % 2 == 0) for i in range(6000)] + [(9, "item", None, True), (9, None, 4, True), (1, "item", 4, False), (1, "item", 4, False), *[(2, k, f, True) for k in kinds for f in far]]
+    parents = [("item", k) for k in rng.sample(range(50_000), 20_000) if k != 4] + [("property", k) for k in range(0, 50_000, 3)] + [("item", 7), ("item", 7), ("item", None), (None, 3), ("item", far[0]), ("property", far[1])]
     monkeypatch.setattr(orphans, "MOST_SPLIT", most)
     monkeypatch.setattr(orphans, "max", lambda a, b: b, raising=False)
-    found = orphans.find_orphans(spark.createDataFrame(refs, "src int, target long, flag boolean"), spark.createDataFrame(parents, "k long").select(F.col("k").alias("target")), "target")
-    have = {k for (k,) in parents}
-    assert rows(found) == sorted((r for r in refs if r[1] is not None and r[1] not in have), key=repr)
+    found = orphans.find_orphans(spark.createDataFrame(refs, "src int, kind string, target long, flag boolean"), spark.createDataFrame(parents, "kind string, target long"), "kind", "target")
+    have = set(parents)
+    assert rows(found) == sorted((r for r in refs if r[1] is not None and r[2] is not None and r[1:3] not in have), key=repr)
 
 
 def test_orphans_of_empty_tables(spark):
-    refs = spark.createDataFrame([(1, 5)], "src int, target long")
-    none = spark.createDataFrame([], "src int, target long")
-    assert rows(orphans.find_orphans(refs, none.select("target"), "target")) == [(1, 5)]
-    assert rows(orphans.find_orphans(none, refs.select("target"), "target")) == []
+    refs = spark.createDataFrame([(1, "item", 5)], "src int, kind string, target long")
+    none = spark.createDataFrame([], refs.schema)
+    assert rows(orphans.find_orphans(refs, none.drop("src"), "kind", "target")) == [(1, "item", 5)]
+    assert rows(orphans.find_orphans(none, refs.drop("src"), "kind", "target")) == []
+
+
+def test_references_to_impossible_ids(spark, tmp_path):
+    far = ["9223372036854775807", "9223372036854775808", "1" + "0" * 40]
+    claims = json.dumps([{"m": ["R", 1, x]} for x in [*far, "007", " 2 ", "-1", 3.0]])
+    spark.createDataFrame([(1, 1, claims), (7, 1, "[]")], "id int, rev int, claims string").write.parquet(f"{tmp_path}/wb_items.parquet")
+    spark.createDataFrame([], "id int, rev int, claims string").write.parquet(f"{tmp_path}/wb_properties.parquet")
+    spark.createDataFrame([], "log_id long, entity_id int, log_action string, logged_at timestamp").write.parquet(f"{tmp_path}/deletion_log.parquet")
+    assert rows(data_queries.p6_found(spark, str(tmp_path))) == sorted([("wb_items", 1, "item", 2**63 - 1), ("wb_items", 1, "item", 2)], key=repr)
+    assert rows(data_queries.p6_impossible(spark, str(tmp_path)), "src_id", "missing_digits") == sorted([(1, far[1]), (1, far[2])], key=repr)
 
 
 def test_entity_references(spark):

@@ -218,6 +218,7 @@ def test_dump_plan_and_revisions(spark, data):
     assert rows(dump.latest_entities(all_), "entity", "rev_id") == [("P1", 6), ("Q1", 5)]
     assert rows(dump.latest_entities(all_, "global"), "entity", "rev_id") == [("P1", 6), ("Q1", 5), ("Q2", 3)]
     assert rows(dump.latest_entities(all_, "global", "2013-01-02T00:00:00Z"), "entity", "rev_id") == [("Q1", 1), ("Q2", 3)]
+    assert rows(dump.latest_entities(all_, max_date="2013-01-20T00:00:00Z"), "entity", "rev_id") == [("Q1", 2)]  # Q2's newest file is empty, P1's too late
     got = {r["entity"]: r for r in dump.entity_contents(dump.latest_entities(all_)).collect()}
     assert json.loads(got["Q1"]["label"]) == {"en": "five"} and got["P1"]["datatype"] == "wikibase-item"
     assert dump.read_dumps(spark, dump.plan_files(spark, str(data / "nowhere"))).count() == 0
