@@ -4,6 +4,9 @@ The evidence for the language of a sentence: its words, under word models of the
 declares, which is right more often than not; and what is usual for the page and the source it is from, the host priors,
 smoothed from page to source to the whole. Sentences are told apart after markup, links, ids, signatures and quoted names
 are blanked out; neighbours of one language join to a segment.
+
+Two passes: the texts are scored where they are read and leave as a few numbers per document; these meet the priors of
+their page, and the second pass fuses the evidence.
 """
 
 from __future__ import annotations
@@ -13,7 +16,6 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,47 +23,56 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Labelled documents the word models are fitted on: so many are drawn, by hash. All else covers all documents.
-TRAIN_DOCUMENTS = 6_000
-#: Candidates this many nats below the best text likelihood are not kept: no prior makes up for it (see FLOOR).
-KEEP_WITHIN = 40.0
-#: Least probability of a prior or of a label given a language. Two of them weigh less than KEEP_WITHIN.
+from entilake.session import cut
+
+#: Labelled documents the word models are fitted on: so many are drawn, by hash, from those of at most TRAIN_CHARS
+#: characters. All else covers all documents and whole texts.
+TRAIN_DOCUMENTS, TRAIN_CHARS = 6_000, 20_000
+#: Languages beyond this number, and word models beyond this size, are refused: both go to every task.
+MAX_LANGUAGES, MAX_MODEL_BYTES = 10_000, 256 << 20
+#: Least probability of a prior or of a label given a language.
 FLOOR = 1e-4
+#: Candidates this many nats below the best text likelihood are not kept: a prior and a label outweigh 14 at most.
+KEEP_WITHIN = 25.0
 #: How often a label that names a language is right, and the weight of a parent in host smoothing, in documents.
 LABEL_RIGHT, HOST_WEIGHT = 0.85, 20.0
 #: Sentences scored at once; a batch ends after the document that exceeds it.
 BATCH_SENTENCES = 5_000
 #: Words of the whole sample in each language's model while the sentences of the sample are given to languages.
 BACKGROUND = 1_000.0
-#: A sentence needs so many known words (letters, in scripts without blanks) and this posterior to speak for a language.
+#: A sentence needs so many known words (letters, in scripts without blanks) and this posterior to start a segment.
 LEAST_WORDS, LEAST_LETTERS, SURE = 2, 3, 0.9
+#: A quotation of so many words (letters, in scripts without blanks) or less is a name, a longer one running text.
+NAME_WORDS, NAME_LETTERS = 4, 20
 
-_MARKUP = re.compile(r"<[^<>]{0,300}>|\{\{[^{}]*\}\}|\[\[[^\[\]]*\]\]|/\*.*?\*/|https?://\S+|&[#\w]{1,10};|\b[QP]\d+\b", re.S)
+# Each alternative begins with a fixed character, so that the search skips all others.
+_MARKUP = re.compile(r"</?[A-Za-z!][^<>]*>|\{\{[^{}]*\}\}|\[\[[^\[\]]*\]\]|/\*.*?\*/|https?://\S+|&[#\w]{1,10};|[QP](?<!\w[QP])\d+\b", re.S)
 _SIGNATURE = re.compile(r"--+ ?[^\s.!?]+(?: [^\s.!?]+)? \d{1,2}:\d\d")
-_QUOTED = re.compile("[\"\u201c\u201d\u201e\u00ab\u300c\u2039\u2018]([^\"\u201c\u201d\u201e\u00ab\u00bb\u300c\u300d\u203a\u2019\\n.!?]{1,60})[\"\u201d\u201c\u00bb\u300d\u203a\u2019]")
+_QUOTED = re.compile("[\"\u201c\u201d\u201e\u00ab\u300c\u2039\u2018]([^\"\u201c\u201d\u201e\u00ab\u00bb\u300c\u300d\u203a\u2019\\n.!?\u3002\uff01\uff1f]+)[\"\u201d\u201c\u00bb\u300d\u203a\u2019]")
 _END = re.compile("[.!?\u2026]+[\")'\u00bb\u201d\\]]*(?=\\s|$)|[\u3002\uff01\uff1f]+[\u300d\uff09]*|\\n+")
 _WORD = re.compile(r"[^\W\d_]+")
 #: Scripts written without blanks: kana, Han, Thai. Their units are letters and pairs of letters.
 _UNSPACED = re.compile("[\u3040-\u30ff\u3400-\u9fff\u0e00-\u0e7f]")
 
 
+def _is_name(quoted: str) -> bool:
+    return len(quoted.split()) <= NAME_WORDS and (len(quoted) <= NAME_LETTERS or len(_UNSPACED.findall(quoted)) <= NAME_LETTERS)
+
+
 def blanked(text: str) -> str:
     """The text with all that is no running text replaced by as many blanks; signatures end a sentence."""
     wide = lambda m: " " * len(m.group())
     text = _MARKUP.sub(wide, text)
     text = _SIGNATURE.sub(lambda m: "\n" * len(m.group()), text)
-    return _QUOTED.sub(lambda m: wide(m) if len(m.group(1).split()) <= 4 else m.group(), text)
+    return _QUOTED.sub(lambda m: wide(m) if _is_name(m.group(1)) else m.group(), text)
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
-    """(start, end) of the sentences and lines of a blanked text that hold a letter."""
-    found, start = [], 0
-    for m in [*_END.finditer(text), None]:
-        end = m.end() if m else len(text)
-        if _WORD.search(text, start, end):
-            found.append((start, end))
-        start = end
-    return found
+    """(start, end) of the sentences and lines of a blanked text, in order and without gaps."""
+    ends = [m.end() for m in _END.finditer(text)]
+    if not ends or ends[-1] < len(text):
+        ends.append(len(text))
+    return list(zip([0, *ends], ends))
 
 
 @lru_cache(maxsize=200_000)
@@ -72,10 +83,10 @@ def fold(word: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", word.lower()) if not unicodedata.combining(c)) or word
 
 
-def units(text: str, start: int, end: int) -> list[str]:
-    """The words of a sentence, folded; letters and pairs of letters of unspaced scripts."""
+def units(text: str) -> list[str]:
+    """The words of a text, folded; letters and pairs of letters of unspaced scripts."""
     found: list[str] = []
-    for w in _WORD.findall(text, start, end):
+    for w in _WORD.findall(text):
         if w.isascii():
             found.append(w.lower())
         elif _UNSPACED.search(w):
@@ -87,22 +98,36 @@ def units(text: str, start: int, end: int) -> list[str]:
     return found
 
 
+#: Added to every count of a word in a language.
+FEW = 0.02
+
+
 class WordModel:
-    """P(word | language) for the words of the sample; words it does not know say nothing."""
+    """P(word | language) for the words of the sample; words it does not know say nothing. A word is kept with the languages
+    it was counted in; in all others it has the rate of FEW."""
 
     def __init__(self, words: list[str], counts: np.ndarray) -> None:
         self.live = np.flatnonzero(counts.sum(axis=0)).astype(np.int32)
         self.ids = {w: i for i, w in enumerate(words)}
-        self.rates = np.ascontiguousarray(_log_rates(counts, 0.0)[:, self.live])
-
-    def score(self, sentences: list[list[int]]) -> np.ndarray:
-        """Log likelihood of each live language (columns) for sentences of known words, none of them empty."""
-        starts = np.cumsum([0] + [len(s) for s in sentences[:-1]])
-        return np.add.reduceat(self.rates[np.fromiter(chain.from_iterable(sentences), np.int64)], starts, axis=0)
-
-
-#: Added to every count of a word in a language.
-FEW = 0.02
+        mine = counts[:, self.live]
+        self.base = np.log(FEW) - np.log(mine.sum(axis=0) + FEW * (len(words) + 1))
+        word, self.lang = (x.astype(np.int32) for x in np.nonzero(mine))
+        self.gain = (np.log(mine[word, self.lang] + FEW) - np.log(FEW)).astype(np.float32)
+        self.first = np.searchsorted(word, np.arange(len(words) + 1)).astype(np.int64)
+        if self.size() > MAX_MODEL_BYTES:
+            raise ValueError("the word model is too large for every task; draw fewer documents")
+
+    def size(self) -> int:
+        """Bytes, roughly."""
+        return self.gain.nbytes + self.lang.nbytes + self.first.nbytes + sum(100 + len(w) for w in self.ids)
+
+    def score(self, words: np.ndarray, sentence: np.ndarray, n: int) -> np.ndarray:
+        """Log likelihood of each live language (columns) for n sentences, given known words and the sentences they are in."""
+        size = self.first[words + 1] - self.first[words]
+        at = np.repeat(self.first[words] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum()) if len(words) else np.zeros(0, np.int64)
+        k = len(self.live)
+        gained = np.bincount(np.repeat(sentence, size) * k + self.lang[at], self.gain[at], n * k).reshape(n, k)
+        return gained + np.bincount(sentence, minlength=n)[:, None] * self.base
 
 
 def _log_rates(counts: np.ndarray, background: float) -> np.ndarray:
@@ -122,7 +147,7 @@ def fit(documents: list[tuple[str, int]], n_languages: int, rounds: int = 2) ->
     for d, (text, _) in enumerate(documents):
         clean = blanked(text)
         for a, b in sentences(clean):
-            found = units(clean, a, b)
+            found = units(clean[a:b])
             if found:
                 starts.append(len(ids))
                 sentence_doc.append(d)
@@ -169,149 +194,282 @@ def fit(documents: list[tuple[str, int]], n_languages: int, rounds: int = 2) ->
 
 
 def label_index(languages: DataFrame) -> tuple[list[str], dict[str, int]]:
-    """Codes in order, and the position of the language by each of its names (code, tag, iso3, title; lower case)."""
-    rows = sorted(r.asDict()["code"] for r in languages.select("code").distinct().limit(10_000).collect() if r["code"])
-    at = {c: k for k, c in enumerate(rows)}
+    """Codes in order, and the position of the language by each of its names (code, tag, iso3, title; lower case). A name
+    that two languages share is that of the first. More than MAX_LANGUAGES rows are refused."""
+    rows = languages.where(F.col("code") != "").select("code", "tag", "iso3", "english_title").limit(MAX_LANGUAGES + 1).collect()
+    if len(rows) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    codes = sorted({r["code"] for r in rows})
+    at = {c: k for k, c in enumerate(codes)}
     names: dict[str, int] = {}
-    for r in languages.select("code", "tag", "iso3", "english_title").limit(10_000).collect():
+    for r in sorted(rows, key=lambda r: tuple(x or "" for x in r)):
         for n in (r["code"], r["tag"], r["iso3"], r["english_title"]):
-            if n and r["code"]:
+            if n and n.strip():
                 names.setdefault(n.strip().lower(), at[r["code"]])
-    return rows, names
+    return codes, names
+
 
+def with_label(docs: DataFrame, lang: str, names: dict[str, int], label: str = "label") -> DataFrame:
+    """`docs` with the position of the language its label names, with or without a region; NULL if it names none."""
+    table = docs.sparkSession.createDataFrame(sorted(names.items()) or [("", None)], "_name string, _k int")
+    text = F.lower(F.trim(F.regexp_replace(lang, r"^\s+|\s+$", "")))
+    whole, part = (F.broadcast(table.select(F.col("_name").alias(f"_n{i}"), F.col("_k").alias(f"_k{i}"))) for i in (0, 1))
+    named = docs.withColumn("_whole", text).withColumn("_part", F.regexp_extract("_whole", r"^(\w+?)[-_]\w+$", 1))
+    named = named.join(whole, F.col("_whole") == F.col("_n0"), "left").join(part, F.col("_part") == F.col("_n1"), "left")
+    return named.withColumn(label, F.coalesce("_k0", "_k1")).drop("_whole", "_part", "_n0", "_n1", "_k0", "_k1")
 
-def declared(label: Column, names: dict[str, int]) -> Column:
-    """Position of the language a label names, with or without a region; NULL if it names none."""
-    table = F.create_map(*[x for n, k in sorted(names.items()) for x in (F.lit(n), F.lit(k))])
-    text = F.lower(F.trim(F.regexp_replace(label, r"^\s+|\s+$", "")))
-    return F.coalesce(F.try_element_at(table, text), F.try_element_at(table, F.regexp_extract(text, r"^(\w+?)[-_]\w+$", 1)))
 
+def training_sample(docs: DataFrame, n_labelled: int) -> list[tuple[str, int]]:
+    """TRAIN_DOCUMENTS documents, in expectation, with a label; drawn by a hash of their id among those of TRAIN_CHARS
+    characters at most, so the driver gets no more than twice as many texts of that length."""
+    usable = docs.where(F.col("label").isNotNull() & (F.length("text") <= TRAIN_CHARS)).select("doc_id", "text", "label")
+    part = F.shiftrightunsigned(F.xxhash64(F.lit(11), "doc_id"), 1) < min(2**63 - 1, int(2**63 * (TRAIN_DOCUMENTS / max(n_labelled, 1))))
+    rows = (usable.where(part) if n_labelled > TRAIN_DOCUMENTS else usable).limit(2 * TRAIN_DOCUMENTS).collect()
+    return [(r["text"], r["label"]) for r in sorted(rows, key=lambda r: r["doc_id"])]
 
-def training_sample(docs: DataFrame, names: dict[str, int]) -> list[tuple[str, int]]:
-    """TRAIN_DOCUMENTS documents, in expectation, whose label names a language; drawn by a hash of their id."""
-    labelled = docs.select("doc_id", "text", declared(F.col("lang"), names).alias("_label")).where("_label is not null and text is not null")
-    n = labelled.select("doc_id").count()
-    part = F.shiftrightunsigned(F.xxhash64(F.lit(11), "doc_id"), 1) < min(2**63 - 1, int(2**63 * (TRAIN_DOCUMENTS / max(n, 1))))
-    rows = (labelled.where(part) if n > TRAIN_DOCUMENTS else labelled).limit(2 * TRAIN_DOCUMENTS).collect()
-    return [(r["text"], r["_label"]) for r in sorted(rows, key=lambda r: r["doc_id"])]
 
+#: A run of sentences: neighbours that only one language can have (one candidate), or one sentence with the languages that
+#: are within KEEP_WITHIN of the best. strong: whether it has enough known words to start a segment.
+RUN = T.StructType().add("start", "integer").add("stop", "integer").add("m", "integer").add("strong", "boolean").add("lang", T.ArrayType(T.IntegerType())).add("ll", T.ArrayType(T.FloatType()))
 
-def scored_sentences(docs: DataFrame, model: WordModel) -> DataFrame:
-    """doc_id, source, page, label, and sentences ARRAY<STRUCT<start, stop, lang ARRAY<INT>, ll ARRAY<FLOAT>>>:
-    the languages whose log likelihood is within KEEP_WITHIN of the best. No shuffle; texts go no further."""
-    item = T.StructType().add("start", "integer").add("stop", "integer").add("lang", T.ArrayType(T.IntegerType())).add("ll", T.ArrayType(T.FloatType()))
+
+def _lists(starts: np.ndarray, total: int) -> pa.Array:
+    return pa.array(np.append(starts, total).astype(np.int32))
+
+
+def scored_runs(docs: DataFrame, model: WordModel) -> DataFrame:
+    """doc_id, source, page, label, runs ARRAY<RUN>: the sentences of each text with a known word. No shuffle; texts go no
+    further."""
     source = docs.select("doc_id", "source", "page", "label", "text")
-    out = T.StructType([*source.schema.fields[:4], T.StructField("sentences", T.ArrayType(item))])
+    out = T.StructType([*source.schema.fields[:4], T.StructField("runs", T.ArrayType(RUN))])
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        schema = to_arrow_schema(out)
-        known = model.ids.get
+        schema, model = to_arrow_schema(out), shared.value
+        kind = schema.field("runs").type
+        known: dict[str, tuple[int, ...]] = {}  # known words of what stands between two blanks
+
+        def learn(token: str) -> tuple[int, ...]:
+            found = tuple(k for k in map(model.ids.get, units(token)) if k is not None)
+            if len(token) < 40:
+                if len(known) > 500_000:
+                    known.clear()
+                known[token] = found
+            return found
+
         for batch in batches:
             done = 0
-            per_doc, starts, stops, words = [0], [], [], []
+            docs_, starts, stops, sizes, unspaced, words = [], [], [], [], [], []
 
             def flush(upto: int, batch: pa.RecordBatch = batch) -> pa.RecordBatch:
-                ll = model.score(words) if words else np.zeros((0, len(model.live)))
-                ll -= ll.max(axis=1, keepdims=True, initial=-np.inf) if len(ll) else 0
-                row, column = np.nonzero(ll >= -KEEP_WITHIN)
-                offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(ll)))]).astype(np.int32))
-                kind = schema.field("sentences").type.value_type
-                columns = [pa.array(starts, pa.int32()), pa.array(stops, pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(model.live[column])), pa.ListArray.from_arrays(offsets, pa.array(ll[row, column].astype(np.float32)))]
-                each = pa.StructArray.from_arrays([c.cast(f.type) for c, f in zip(columns, kind)], fields=list(kind))
-                found = pa.ListArray.from_arrays(pa.array(per_doc, pa.int32()), each).cast(schema.field("sentences").type)
-                kept = batch.slice(done, upto - done)
-                return pa.RecordBatch.from_arrays([*kept.columns[:4], found], schema=schema)
+                doc, a, b = (np.array(x, dtype=np.int64) for x in (docs_, starts, stops))
+                size = np.array(sizes, dtype=np.int64)
+                n = len(doc)
+                ll = model.score(np.array(words, dtype=np.int64), np.repeat(np.arange(n), size), n) if n else np.zeros((0, max(1, len(model.live))))
+                ll -= ll.max(axis=1, keepdims=True)
+                near = ll >= -KEEP_WITHIN
+                strong = size >= np.where(np.array(unspaced, dtype=bool), LEAST_LETTERS, LEAST_WORDS)
+                alone = (near.sum(axis=1) == 1) & strong
+                best = ll.argmax(axis=1)
+                same = np.zeros(n, dtype=bool)
+                same[1:] = alone[1:] & alone[:-1] & (doc[1:] == doc[:-1]) & (best[1:] == best[:-1])
+                first = np.flatnonzero(~same)
+                last = np.append(first[1:], n) - 1 if n else first
+                row, column = np.nonzero(near[first])
+                offsets = _lists(np.searchsorted(row, np.arange(len(first))), len(row))
+                fields = [pa.array(a[first].astype(np.int32)), pa.array(b[last].astype(np.int32)), pa.array((last - first + 1).astype(np.int32)), pa.array(strong[first]), pa.ListArray.from_arrays(offsets, pa.array(model.live[column])), pa.ListArray.from_arrays(offsets, pa.array(ll[first][row, column].astype(np.float32)))]
+                each = pa.StructArray.from_arrays([c.cast(f.type) for c, f in zip(fields, kind.value_type)], fields=list(kind.value_type))
+                found = pa.ListArray.from_arrays(_lists(np.searchsorted(doc[first], np.arange(done, upto)), len(first)), each).cast(kind)
+                return pa.RecordBatch.from_arrays([*batch.slice(done, upto - done).columns[:4], found], schema=schema)
 
             for i, text in enumerate(batch.column(4)):
                 clean = blanked(text.as_py() or "")
-                for a, b in sentences(clean):
-                    told = units(clean, a, b)
-                    ids = [k for k in map(known, told) if k is not None]
-                    if len(ids) >= (LEAST_LETTERS if told and _UNSPACED.match(told[0]) else LEAST_WORDS):
-                        starts.append(a)
-                        stops.append(b)
-                        words.append(ids)
-                per_doc.append(len(words))
-                if len(words) >= BATCH_SENTENCES:
+                for s, e in sentences(clean):
+                    had = len(words)
+                    tokens = clean[s:e].split()
+                    for t in tokens:
+                        found = known.get(t)
+                        words += learn(t) if found is None else found
+                    if len(words) > had:
+                        docs_.append(i)
+                        starts.append(s)
+                        stops.append(e)
+                        sizes.append(len(words) - had)
+                        unspaced.append(not tokens[0].isascii() and _UNSPACED.search(tokens[0]) is not None)
+                if len(docs_) >= BATCH_SENTENCES:
                     yield flush(i + 1)
                     done = i + 1
-                    per_doc, starts, stops, words = [0], [], [], []
+                    docs_, starts, stops, sizes, unspaced, words = [], [], [], [], [], []
             if done < batch.num_rows:
                 yield flush(batch.num_rows)
 
     return source.mapInArrow(run, out)
 
 
-def host_priors(docs: DataFrame, n: int) -> DataFrame:
-    """(source, page, prior ARRAY<DOUBLE>): how often the labels of a page name each language, smoothed towards its source
-    and from there to the whole, by grouped sums over all documents. Every page of `docs` has a row."""
-    ones = [F.count_if(F.col("label") == k).alias(f"c{k}") for k in range(n)]
-    pages = docs.groupBy("source", "page").agg(*ones)
-    sums = lambda: [F.sum(f"c{k}").alias(f"s{k}") for k in range(n)]
-    sources = pages.groupBy("source").agg(*sums())
-    whole = sources.agg(*[F.sum(f"s{k}") for k in range(n)]).first()
-    total = sum(x or 0 for x in whole)
-    base = [((x or 0) + 0.1) / (total + 0.1 * n) for x in whole]
-    plus = lambda cs: sum(cs[1:], cs[0])
-    n_source, n_page = plus([F.col(f"s{k}") for k in range(n)]), plus([F.col(f"c{k}") for k in range(n)])
-    of_source = [(F.col(f"s{k}") + HOST_WEIGHT * base[k]) / (n_source + HOST_WEIGHT) for k in range(n)]
-    sources = sources.select("source", *[p.alias(f"p{k}") for k, p in enumerate(of_source)])
-    of_page = [F.greatest(F.lit(FLOOR), (F.col(f"c{k}") + HOST_WEIGHT * F.col(f"p{k}")) / (n_page + HOST_WEIGHT)) for k in range(n)]
-    return pages.join(sources, "source").select("source", "page", F.array(*of_page).alias("prior"))
-
-
-#: Copies of a page's prior, so that a page with a third of all documents is so many groups in the join.
-SALTS = 16
-
-
-def fused(scored: DataFrame, priors: DataFrame, n: int) -> DataFrame:
-    """doc_id, label, told ARRAY<STRUCT<start, stop, lang, p>>: the most probable language of each sentence, with its
-    posterior probability given words, label and host prior."""
-    salted = scored.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-    copies = priors.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    joined = salted.join(copies, ["source", "page", "_salt"])
+def host_counts(labelled: DataFrame) -> DataFrame:
+    """(source, page, n_docs, page_labels, source_labels): how many documents a page has, and how often the labels on it and
+    on its source name each language, as ARRAY<STRUCT<k, n>>. By grouped sums over all documents (columns source, page,
+    label); every page has a row. A hot page or source is one row per label and task in each shuffle."""
+    per = labelled.groupBy("source", "page", "label").agg(F.count("*").alias("n"))
+    listed = lambda: F.collect_list(F.when(F.col("label").isNotNull(), F.struct(F.col("label").alias("k"), "n")))
+    pages = per.groupBy("source", "page").agg(F.sum("n").alias("n_docs"), listed().alias("page_labels"))
+    sources = per.groupBy("source", "label").agg(F.sum("n").alias("n")).groupBy("source").agg(listed().alias("source_labels"))
+    return pages.join(sources, "source")
+
+
+#: A page is split when it has more documents than all documents divided by this, so at most so many are split.
+MOST_SPLIT = 256
+
+
+def at_hosts(scored: DataFrame, hosts: DataFrame, n_docs: int) -> DataFrame:
+    """Documents with the counts of their page. A page with more than n_docs / MOST_SPLIT documents is split by a hash of
+    the document, and its counts are repeated for each part; at most MOST_SPLIT pages are."""
+    limit = max(100_000, -(-n_docs // MOST_SPLIT))
+    parts = F.ceil(F.col("n_docs") / limit).cast("int")
+    hot = F.broadcast(hosts.where(F.col("n_docs") > limit).select("source", "page", parts.alias("_parts")).limit(MOST_SPLIT))
+    salted = scored.join(hot, ["source", "page"], "left").withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.coalesce("_parts", F.lit(1))).cast("int")).drop("_parts")
+    copies = hosts.withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("n_docs")
+    return salted.join(copies, ["source", "page", "_salt"])
+
+
+def _dense(counts: pa.Array, n: int) -> np.ndarray:
+    """Counts per language of each row of an ARRAY<STRUCT<k, n>>."""
+    offsets, flat = counts.offsets.to_numpy(), counts.values
+    row = np.repeat(np.arange(len(counts)), np.diff(offsets))
+    k, m = (flat.field(f).to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]] for f in ("k", "n"))
+    return np.bincount(row * n + k, m, len(counts) * n).reshape(len(counts), n)
+
+
+def fused(at: DataFrame, base: np.ndarray, codes: list[str]) -> DataFrame:
+    """doc_id, label, lang_code, confidence, segments ARRAY<STRUCT<start, stop, lang_code, confidence>>.
+
+    A sentence's posterior is made of the likelihood of its words, of the label, and of the prior of its page, from which
+    the document's own label is taken out. A run of one language with enough words and a posterior of SURE starts a segment,
+    which goes on to the next; its confidence is the mean posterior of its sentences. A document with weaker sentences only
+    is one segment, of the language that fits all of them together, with that posterior. lang_code is the language with
+    most characters in the segments, confidence theirs times its share of them; without any segment, of a text without
+    known words, both come from label and prior alone, and with no language in any label both are NULL. `base`: the share
+    of each language in all labels, NULL labels not counted."""
+    n = len(codes)
+    piece = T.StructType().add("start", "integer").add("stop", "integer").add("lang_code", "string").add("confidence", "double")
+    source = at.select("doc_id", "label", "runs", "page_labels", "source_labels")
+    out = T.StructType([*source.schema.fields[:2], T.StructField("lang_code", T.StringType()), T.StructField("confidence", T.DoubleType()), T.StructField("segments", T.ArrayType(piece))])
     wrong = max(FLOOR, (1 - LABEL_RIGHT) / max(1, n - 1))
-    by_label = lambda k: F.when(F.col("label").isNull(), 0.0).when(F.col("label") == k, math.log(LABEL_RIGHT)).otherwise(math.log(wrong))
-
-    def tell(s: Column) -> Column:
-        logs = F.zip_with(s["lang"], s["ll"], lambda k, x: F.struct((x + F.log(F.get("prior", k)) + by_label(k)).alias("v"), (-k).alias("k")))
-        return F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.array_max(logs).alias("best"), logs.alias("logs"))
 
-    def posterior(s: Column) -> Column:
-        all_ = F.aggregate(s["logs"], F.lit(0.0).cast("double"), lambda a, x: a + F.exp(x["v"] - s["best"]["v"]))
-        return F.struct(s["start"].alias("start"), s["stop"].alias("stop"), (-s["best"]["k"]).alias("lang"), (1 / all_).alias("p"))
+    def evidence(label: np.ndarray, page: np.ndarray, source: np.ndarray) -> np.ndarray:
+        """Log prior plus log likelihood of the label, per document and language."""
+        rows = np.flatnonzero(label >= 0)
+        for counts in (page, source):
+            counts[rows, label[rows]] -= 1
+        total = lambda x: x.sum(axis=1, keepdims=True)
+        of_source = (source + HOST_WEIGHT * base) / (total(source) + HOST_WEIGHT)
+        logs = np.log(np.maximum(FLOOR, (page + HOST_WEIGHT * of_source) / (total(page) + HOST_WEIGHT)))
+        logs[rows] += math.log(wrong)
+        logs[rows, label[rows]] += math.log(LABEL_RIGHT / wrong)
+        return logs
+
+    def told(batch: pa.RecordBatch, schema: pa.Schema) -> pa.RecordBatch:
+        docs = batch.num_rows
+        label = batch.column(1).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        usual = evidence(label, _dense(batch.column(3), n), _dense(batch.column(4), n))
+        runs = batch.column(2)
+        at0, at1 = runs.offsets[0].as_py(), runs.offsets[-1].as_py()
+        flat = runs.values.slice(at0, at1 - at0)
+        first_run = runs.offsets.to_numpy() - at0
+        start, stop, m, strong = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+        doc = np.repeat(np.arange(docs), np.diff(first_run))
+        cands = flat.field(4)
+        first = cands.offsets.to_numpy()[: len(flat) + 1]
+        lang = cands.values.to_numpy()[first[0] : first[-1]].astype(np.int64) if len(flat) else np.zeros(0, np.int64)
+        ll = flat.field(5).values.to_numpy()[first[0] : first[-1]].astype(np.float64) if len(flat) else np.zeros(0)
+        first = first - first[0] if len(first) else first
+        size = np.diff(first)
+        run = np.repeat(np.arange(len(flat)), size)
+        v = ll + usual[doc[run], lang]
+        best = np.maximum.reduceat(v, first[:-1]) if len(flat) else np.zeros(0)
+        p = 1 / np.bincount(run, np.exp(v - best[run]), len(flat)) if len(flat) else np.zeros(0)
+        top = np.flatnonzero(v == best[run])
+        chosen = np.zeros(len(flat), dtype=np.int64)
+        chosen[run[top[::-1]]] = lang[top[::-1]]
+        sure = strong & (p >= SURE)
+        # Documents without a sure sentence: all their sentences together.
+        weak = np.bincount(doc, sure, docs) == 0
+        together = usual.copy()
+        inside = weak[doc[run]]
+        np.add.at(together, (doc[run][inside], lang[inside]), (ll[inside] + KEEP_WITHIN))
+        together -= together.max(axis=1, keepdims=True, initial=-np.inf)
+        whole = together.argmax(axis=1) if n and docs else np.zeros(docs, dtype=np.int64)
+        whole_p = 1 / np.exp(together).sum(axis=1)
+        known = np.diff(first_run) > 0
+        # Segments: of sure runs, neighbours of one language joined, and one for each weak document with known words.
+        keep = np.flatnonzero(sure)
+        new = np.ones(len(keep), dtype=bool)
+        new[1:] = (doc[keep][1:] != doc[keep][:-1]) | (chosen[keep][1:] != chosen[keep][:-1])
+        group = np.cumsum(new) - 1
+        s_run = keep[new]
+        s_doc, s_lang, s_start = doc[s_run], chosen[s_run], start[s_run].astype(np.int64)
+        count = np.bincount(group, m[keep], len(s_run))
+        s_p = np.bincount(group, (p * m)[keep], len(s_run)) / np.maximum(1, count)
+        opening = np.ones(len(s_run), dtype=bool)
+        opening[1:] = s_doc[1:] != s_doc[:-1]
+        s_start[opening] = start[first_run[s_doc[opening]]]
+        closing = np.append(s_run[1:], len(flat)) - 1
+        closing = np.minimum(closing, first_run[s_doc + 1] - 1) if len(s_run) else closing
+        s_stop = stop[closing].astype(np.int64) if len(s_run) else np.zeros(0, np.int64)
+        lone = np.flatnonzero(weak & known)
+        order = np.argsort(np.concatenate([s_doc, lone]), kind="stable")
+        s_start = np.concatenate([s_start, start[first_run[lone]]])[order].astype(np.int64)
+        s_stop = np.concatenate([s_stop, stop[first_run[lone + 1] - 1]])[order].astype(np.int64)
+        s_lang, s_p = np.concatenate([s_lang, whole[lone]])[order], np.concatenate([s_p, whole_p[lone]])[order]
+        s_doc = np.concatenate([s_doc, lone])[order]
+        # The document: the language with most characters in its segments, the first one of equals.
+        chars = np.bincount(s_doc * n + s_lang, s_stop - s_start, docs * n).reshape(docs, n)
+        trust = np.bincount(s_doc * n + s_lang, (s_stop - s_start) * s_p, docs * n).reshape(docs, n)
+        main = np.where(known, chars.argmax(axis=1) if n and docs else 0, whole)
+        share = np.where(known, trust[np.arange(docs), main] / np.maximum(1, chars.sum(axis=1)), whole_p)
+        names = pa.array(codes, pa.string())
+        offsets = _lists(np.searchsorted(s_doc, np.arange(docs)), len(s_doc))
+        fields = [pa.array(s_start.astype(np.int32)), pa.array(s_stop.astype(np.int32)), names.take(pa.array(s_lang)), pa.array(s_p)]
+        kind = schema.field("segments").type
+        each = pa.StructArray.from_arrays([c.cast(f.type) for c, f in zip(fields, kind.value_type)], fields=list(kind.value_type))
+        told_of = known | (base.sum() > 0)
+        main_code = names.take(pa.array(main, mask=~told_of))
+        return pa.RecordBatch.from_arrays([*batch.columns[:2], main_code, pa.array(share, mask=~told_of), pa.ListArray.from_arrays(offsets, each).cast(kind)], schema=schema)
 
-    return joined.select("doc_id", "label", F.transform(F.transform("sentences", tell), posterior).alias("told"))
-
-
-def segments(told: DataFrame, codes: list[str]) -> DataFrame:
-    """doc_id, label, segments ARRAY<STRUCT<start, stop, lang_code, confidence>>: sure sentences, neighbours of one
-    language joined; the confidence is the mean of the sentences' posteriors. A document without a sure sentence has none."""
-    sure = F.filter("told", lambda s: s["p"] >= SURE)
-    kind = "array<struct<start:int,stop:int,lang:int,p:double,m:int>>"
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
 
-    def step(acc: Column, s: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        one = F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["lang"].alias("lang"), s["p"].alias("p"), F.lit(1).alias("m"))
-        grown = F.struct(last["start"].alias("start"), s["stop"].alias("stop"), last["lang"].alias("lang"), (last["p"] + s["p"]).alias("p"), (last["m"] + 1).alias("m"))
-        return F.when(last["lang"] == s["lang"], F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(grown))).otherwise(F.concat(acc, F.array(one)))
+        schema = to_arrow_schema(out)
+        for batch in batches:
+            if batch.num_rows:
+                yield told(batch, schema)
 
-    names = F.array(*[F.lit(c) for c in codes])
-    joined = F.aggregate(sure, F.array().cast(kind), step)
-    done = F.transform(joined, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.get(names, s["lang"]).alias("lang_code"), (s["p"] / s["m"]).alias("confidence")))
-    return told.select("doc_id", "label", done.alias("segments"))
+    return source.mapInArrow(run, out)
 
 
-def identify(docs: DataFrame, languages: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Segments of all documents (see `segments`) and the codes of the languages, by position.
+def identify(docs: DataFrame, languages: DataFrame) -> DataFrame:
+    """Language, confidence and segments of all documents (see `fused`), with label_code, the language the label names.
 
-    docs: doc_id, text, lang, source, page_title; any of them may be NULL, other columns are ignored. Texts that are
-    NULL, empty or without a known sentence get no segment; whole texts are read, whatever their length. Languages
-    without a name in any label of the sample cannot be found."""
+    docs: doc_id, text, lang, source, page_title; any of them may be NULL, other columns are ignored. Whole texts are read,
+    whatever their length. Languages without a name in any label of the sample cannot be found in a text; without any
+    languages nothing is told. Labels, pages and counts take one scan without the texts, the sample one, the texts one."""
     codes, names = label_index(languages)
-    model = fit(training_sample(docs, names), len(codes))
-    keyed = docs.select("doc_id", F.lower(F.trim(F.coalesce("source", F.lit("")))).alias("source"), F.coalesce("page_title", F.lit("")).alias("page"), declared(F.col("lang"), names).alias("label"), "text")
-    priors = host_priors(keyed.drop("text"), len(codes))
-    return segments(fused(scored_sentences(keyed, model), priors, len(codes)), codes), codes
+    keyed = docs.select("doc_id", F.lower(F.trim(F.coalesce("source", F.lit("")))).alias("source"), F.coalesce("page_title", F.lit("")).alias("page"), "lang", "text")
+    keyed = with_label(keyed, "lang", names).select("doc_id", "source", "page", F.col("label").cast("int").alias("label"), "text")
+    if not codes:
+        none = F.lit(None)
+        empty = F.array().cast("array<struct<start:int,stop:int,lang_code:string,confidence:double>>")
+        return keyed.select("doc_id", none.cast("string").alias("lang_code"), none.cast("double").alias("confidence"), empty.alias("segments"), none.cast("string").alias("label_code"))
+    hosts = cut(host_counts(keyed.drop("text", "doc_id")))
+    n_docs = hosts.agg(F.sum("n_docs")).first()[0] or 0
+    sums = hosts.select(F.explode("page_labels").alias("l")).groupBy("l.k").agg(F.sum("l.n").alias("n")).collect()  # a row per language
+    base = np.zeros(len(codes))
+    for r in sums:
+        base[r["k"]] = r["n"]
+    labelled = int(base.sum())
+    base = (base + 0.1) / (labelled + 0.1 * len(codes)) if labelled else base
+    model = fit(training_sample(keyed, labelled), len(codes))
+    found = fused(at_hosts(scored_runs(keyed, model), hosts, n_docs), base, codes)
+    return found.withColumn("label_code", F.get(F.array(*[F.lit(c) for c in codes]), F.col("label"))).drop("label")

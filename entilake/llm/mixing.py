@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 #: Most sources with a target; more are refused. The targets are broadcast.
 MAX_SOURCES = 10_000
-#: Parts of a source's order, and of a budget's worth of virtual time. Times from MOST_PARTS parts on are one part.
-PARTS_BITS, TIME_PARTS, MOST_PARTS = 10, 1024, 65_536
+#: Parts (bits) of a source's order, and of the time or hashes that are searched for the end of the budget.
+PARTS_BITS, TIME_PARTS = 10, 1024
+#: Uses that are summed row by row, in one task.
+MOST_ROWS = 50_000
 
 
 def clean_source(column: str) -> Column:
@@ -24,12 +26,14 @@ def clean_source(column: str) -> Column:
 
 def targets_of(mix: DataFrame, source: str, share: str, repeats: str) -> DataFrame:
     """(source as written, _source, _share, _repeats) of the targets. Of targets whose names compare equal the first by
-    name counts; rows without a name, and shares that are NULL or not positive, take no part."""
+    name counts; rows without a name, and shares that are NULL or not positive, take no part. Shares of more than 1 together
+    are scaled to 1."""
     rows = mix.where(F.col(source).isNotNull() & (F.col(share) > 0)).select(F.col(source).alias("source"), clean_source(source).alias("_source"), F.col(share).cast("double").alias("_share"), F.greatest(F.coalesce(F.col(repeats), F.lit(1)), F.lit(0)).cast("int").alias("_repeats"))
     if rows.count() > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources have a target")
     one = rows.groupBy("_source").agg(F.min(F.struct("source", "_share", "_repeats")).alias("_t"))
-    return one.select("_t.source", "_source", "_t._share", "_t._repeats")
+    whole = F.greatest(F.lit(1.0), F.round(F.sum("_t._share").over(W.partitionBy(F.lit(0))), 9))  # MAX_SOURCES rows at most
+    return one.select("_t.source", "_source", (F.col("_t._share") / whole).alias("_share"), "_t._repeats")
 
 
 def finish_times(docs: DataFrame, targets: DataFrame, budget: int, seed: int = 7) -> DataFrame:
@@ -53,19 +57,55 @@ def finish_times(docs: DataFrame, targets: DataFrame, budget: int, seed: int = 7
     return timed.select("doc_id", "source", "replica", "n_tokens", ((F.col("_before") + F.col("_running")) / F.col("_share")).alias("finish"), "_h")
 
 
+def _narrowed(rows: DataFrame, key: str, low: float, high: float, budget: int) -> tuple[float, float, int, int] | None:
+    """The part, of TIME_PARTS equal ones between `low` and `high`, in which rows in the order of `key` exceed the budget: its
+    least and greatest key, the tokens before it, its rows. None if all rows together do not."""
+    width = (high - low) / TIME_PARTS or 1.0
+    part = F.floor((F.col(key).cast("double") - F.lit(low)) / F.lit(width)).alias("_p")
+    sums = rows.groupBy(part).agg(F.sum("n_tokens").alias("_sum"), F.count("*").alias("_rows"), F.min(key).alias("_low"), F.max(key).alias("_high"))
+    before = 0
+    for r in sorted(sums.collect(), key=lambda r: r["_p"]):  # TIME_PARTS + 1 rows at most
+        if before + r["_sum"] > budget:
+            return r["_low"], r["_high"], before, r["_rows"]
+        before += r["_sum"]
+    return None
+
+
 def cut_at_budget(times: DataFrame, budget: int) -> DataFrame:
-    """The uses, in order of finish time, that together hold no more than `budget` tokens. Only the part of the order in
-    which the budget ends is summed row by row."""
-    step = max(budget, 1) / TIME_PARTS
-    parted = times.withColumn("_t", F.least(F.floor(F.col("finish") / step), F.lit(MOST_PARTS)).cast("int"))
-    sums = parted.groupBy("_t").agg(F.sum("n_tokens").alias("_sum"))
-    upto = sums.withColumn("_upto", F.sum("_sum").over(W.orderBy("_t")))  # MOST_PARTS + 1 rows at most
-    over = upto.where(F.col("_upto") > budget).orderBy("_t").select("_t", (F.col("_upto") - F.col("_sum")).alias("_before")).first()
-    if over is None:
-        return parted.drop("_t", "_h")
-    last = parted.where(F.col("_t") == over["_t"]).withColumn("_run", F.sum("n_tokens").over(W.partitionBy("_t").orderBy("finish", "source", "_h", "doc_id").rowsBetween(W.unboundedPreceding, 0)))
-    inside = last.where(F.col("_run") <= budget - over["_before"]).drop("_run")
-    return parted.where(F.col("_t") < over["_t"]).unionByName(inside).drop("_t", "_h")
+    """The uses, in order of finish time, hash and document, that together hold no more than `budget` tokens.
+
+    The finish time at which the budget ends is searched by sums over parts of the time, then of that part, and so on; uses
+    with one and the same time are told apart by their hashes in the same way. Only when a part has no more than MOST_ROWS
+    uses is it summed row by row. `times` is read once per step, of which there are two for 10^11 uses, and should be cut."""
+    kept, rows, left = [], times, budget
+    for key in ("finish", "_h"):
+        ends = rows.agg(F.min(key).alias("a"), F.max(key).alias("b"), F.count("*").alias("n")).first()
+        if not ends["n"]:
+            return times.drop("_h")
+        low, high, n = ends["a"], ends["b"], ends["n"]
+        while n > MOST_ROWS and low < high:
+            found = _narrowed(rows.where(F.col(key).between(low, high)), key, float(low), float(high), left)
+            if found is None:
+                return times.drop("_h") if not kept else _union([*kept, rows]).drop("_h")
+            narrower = (found[0], found[1]) != (low, high)
+            n, left = found[3], left - found[2]
+            kept.append(rows.where(F.col(key).between(low, high) & (F.col(key) < F.lit(found[0]))))
+            low, high = found[0], found[1]
+            if not narrower:
+                break
+        rows = rows.where(F.col(key).between(low, high))
+        if n <= MOST_ROWS:
+            break
+    running = F.sum("n_tokens").over(W.partitionBy(F.lit(0)).orderBy("finish", "_h", "doc_id", "replica", "source").rowsBetween(W.unboundedPreceding, 0))
+    inside = rows.withColumn("_run", running).where(F.col("_run") <= left).drop("_run")
+    return _union([*kept, inside]).drop("_h")
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def budget_of(docs: DataFrame, targets: DataFrame) -> int:
@@ -74,11 +114,13 @@ def budget_of(docs: DataFrame, targets: DataFrame) -> int:
     return int(own.agg(F.sum("n_tokens")).first()[0] or 0)
 
 
-def short_sources(times: DataFrame, targets: DataFrame, budget: int) -> DataFrame:
-    """Sources whose last possible use finishes before the budget's virtual time: even repeated as often as they may be,
-    they cannot fill their share. A source without documents finishes at 0."""
-    ends = times.groupBy("source").agg(F.max("finish").alias("_end"))
-    return targets.join(ends, "source", "left").where(F.coalesce("_end", F.lit(0.0)) < F.lit(float(budget))).select("source")
+def short_sources(times: DataFrame, mixed: DataFrame, targets: DataFrame, budget: int) -> DataFrame:
+    """Sources that cannot fill their share: all their possible uses are in the mix, and even the last one finishes before
+    the virtual time of the budget. A source without documents finishes at 0."""
+    use = lambda df, n, t: df.groupBy("source").agg(F.count("*").alias(n), F.max("finish").alias(t))
+    both = targets.join(use(times, "_possible", "_end"), "source", "left").join(use(mixed, "_used", "_last"), "source", "left")
+    all_used = F.coalesce("_possible", F.lit(0)) == F.coalesce("_used", F.lit(0))
+    return both.where(all_used & (F.coalesce("_last", F.lit(0.0)) < F.lit(float(budget)))).select("source")
 
 
 def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -76,11 +77,24 @@ def test_pack_nothing_and_only_empty_documents(spark):
         packing.pack(none, "doc_id", "n_tokens", 0)
 
 
-def test_large_capacity_is_rounded_up_safely(spark, monkeypatch):
+def test_capacity_beyond_a_million_is_exact(spark, monkeypatch):
+    rng = random.Random(8)
+    capacity = (1 << 20) + 12_345
+    sizes = [rng.randint(1, 3 * capacity) for _ in range(120)] + [capacity, 1, capacity - 1]
+    got = packing.pack(spark.createDataFrame(list(enumerate(sizes)), "doc_id long, n_tokens long"), "doc_id", "n_tokens", capacity)
+    fill = {r[0]: r[1] for r in got.groupBy("container_id").sum("n_tokens").collect()}
+    pieces = [p for n in sizes for p in [capacity] * (n // capacity) + [n % capacity] if p]
+    assert max(fill.values()) == capacity and sum(fill.values()) == sum(sizes)
+    assert len(fill) == best_fit_by_hand(pieces, capacity)
     monkeypatch.setattr(packing, "MAX_SIZES", 10)
-    df = spark.createDataFrame([(i, i % 37) for i in range(200)], "doc_id long, n_tokens int")
-    fill = {r[0]: r[1] for r in packing.pack(df, "doc_id", "n_tokens", 37).groupBy("container_id").sum("n_tokens").collect()}
-    assert max(fill.values()) <= 37 and sum(fill.values()) == sum(i % 37 for i in range(200))
+    with pytest.raises(ValueError):
+        packing.pack(spark.createDataFrame(list(enumerate(sizes)), "doc_id long, n_tokens long"), "doc_id", "n_tokens", capacity)
+
+
+@pytest.mark.parametrize("capacity", [100, 1024])
+def test_moves_stay_below_their_bound(capacity):
+    moves, _ = packing.sweep({s: 7 + s % 5 for s in range(1, capacity + 1)}, capacity)
+    assert len(moves) <= 3 * capacity * (2 * capacity) ** 0.5
 
 
 # Mixing
@@ -94,19 +108,21 @@ def mixed(spark, docs, targets, budget=None):
     return times, t, budget
 
 
-def test_shares_repeats_and_budget(spark):
+@pytest.mark.parametrize("most", [50_000, 1])
+def test_shares_repeats_and_budget(spark, monkeypatch, most):
+    monkeypatch.setattr(mixing, "MOST_ROWS", most)
     rng = random.Random(2)
     docs = [(i, rng.choice([" A", "a", "A "]) if i < 600 else "b" if i < 900 else "c" if i < 905 else None, rng.randint(1, 20)) for i in range(1000)]
     times, t, budget = mixed(spark, docs, [("a", 0.5, 2), ("B", 0.3, 3), ("c", 0.15, 4), ("d", 0.05, 9), (None, 0.1, 1)])
     assert budget == sum(n for _, s, n in docs if s)
     supply = {"a": sum(n for i, s, n in docs if i < 600), "B": sum(n for i, s, n in docs if 600 <= i < 900), "c": sum(n for i, s, n in docs if 900 <= i < 905), "d": 0}
     by_hand = [s for s, w, k in [("a", 0.5, 2), ("B", 0.3, 3), ("c", 0.15, 4), ("d", 0.05, 9)] if supply[s] * k < w * budget]
-    assert rows(mixing.short_sources(times, t, budget)) == sorted((s,) for s in by_hand)
     kept = mixing.cut_at_budget(times, budget)
+    assert rows(mixing.short_sources(times, kept, t, budget)) == sorted((s,) for s in by_hand)
     got = kept.collect()
     total = sum(r["n_tokens"] for r in got)
     assert budget - 20 <= total <= budget
-    everything = sorted(times.collect(), key=lambda r: (r["finish"], r["source"], r["_h"], r["doc_id"]))
+    everything = sorted(times.collect(), key=lambda r: (r["finish"], r["_h"], r["doc_id"]))
     assert {(r["doc_id"], r["replica"]) for r in got} == {(r["doc_id"], r["replica"]) for r in everything[: len(got)]}
     uses = {}
     for r in got:
@@ -123,6 +139,22 @@ def test_shares_repeats_and_budget(spark):
             assert abs(r["finish"] - run / w) < 1e-6 * run
 
 
+def test_uses_of_one_finish_time_are_cut_by_hash(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_ROWS", 10)
+    schema = "doc_id long, source string, replica int, n_tokens long, finish double, _h long"
+    data = [(i, "a", 0, 1, 5.0, hash((i, "x")) % 10**9 - 5 * 10**8) for i in range(3000)] + [(5000 + i, "b", 0, 2, 1.0 + i, i) for i in range(3)] + [(9000, "c", 0, 9, 1e300, 0)]
+    kept = mixing.cut_at_budget(spark.createDataFrame(data, schema), 1006).collect()
+    want = sorted(data, key=lambda r: (r[4], r[5], r[0]))[: 3 + 1000]
+    assert {r["doc_id"] for r in kept} == {r[0] for r in want}
+    assert mixing.cut_at_budget(spark.createDataFrame(data, schema), 10**6).count() == len(data)
+    assert mixing.cut_at_budget(spark.createDataFrame(data, schema), 0).count() == 0
+
+
+def test_shares_above_one_are_scaled(spark):
+    t = mixing.targets_of(spark.createDataFrame([("a", 1.0, 1), ("b", 3.0, None)], "s string, w double, k int"), "s", "w", "k")
+    assert rows(t, "_source", "_share", "_repeats") == [("a", 0.25, 1), ("b", 0.75, 1)]
+
+
 def test_mix_of_nothing(spark):
     times, t, budget = mixed(spark, [], [("a", 1.0, 2)])
     assert budget == 0 and rows(mixing.cut_at_budget(times, budget)) == []
@@ -160,35 +192,83 @@ def language_corpus(n=240):
 
 def test_languages_of_documents_and_segments(spark):
     docs, truth = language_corpus()
-    extra = [(900, "", "en", "s1", None), (901, None, None, None, None), (902, "<ref name='x' /> Q17 https://a.b/c", "de", "s1", "P1"), (903, " ".join(SENTENCES["de"] * 2000), "en", "s1", "P1")]
-    df = spark.createDataFrame(docs + extra, "doc_id long, text string, lang string, source string, page_title string").withColumn("segments", F.lit("clash"))
+    extra = [(900, "", "en", "s1", None), (901, None, None, None, None), (902, "<ref name='x' /> Q17 https://a.b/c", "de", "s1", "P1"), (903, " ".join(SENTENCES["de"] * 2000), "en", "s1", "P1"), (904, "Winter", None, "s1", "P1")]
+    df = spark.createDataFrame(docs + extra, "doc_id long, text string, lang string, source string, page_title string").withColumn("segments", F.lit("clash")).withColumn("label", F.lit("clash"))
     languages = spark.createDataFrame(NAMES, "code string, tag string, iso3 string, english_title string")
-    found, codes = langid.identify(df, languages)
-    got = {r["doc_id"]: r for r in found.collect()}
+    got = {r["doc_id"]: r for r in langid.identify(df, languages).collect()}
     assert set(got) == {d[0] for d in docs + extra}
     right = sum({s["lang_code"] for s in got[i]["segments"]} == t for i, t in truth.items())
     assert right >= 0.98 * len(truth)
-    assert all(got[i]["segments"] == [] for i in (900, 901, 902))
+    assert all(got[i]["segments"] == [] for i in (900, 901, 902)) and got[902]["lang_code"] == "de" and got[902]["confidence"] > 0.5
+    assert all(r["lang_code"] is not None and 0 < r["confidence"] <= 1 for r in got.values())
+    assert len(got[904]["segments"]) == 1 and got[904]["confidence"] < 0.9  # one word that two languages share
     assert [s["lang_code"] for s in got[903]["segments"]] == ["de"] and got[903]["segments"][0]["stop"] > 100_000
     for i, t, *_ in docs:
+        at = 0
         for s in got[i]["segments"]:
-            assert 0 <= s["start"] < s["stop"] <= len(t) and 0.9 <= s["confidence"] <= 1
+            assert at <= s["start"] < s["stop"] <= len(t) and 0.9 <= s["confidence"] <= 1
+            at = s["stop"]
     assert {s["lang_code"] for r in got.values() for s in r["segments"]} == set(SENTENCES)
 
 
+def test_very_many_segments_take_linear_time(spark):
+    docs, _ = language_corpus()
+    mixed = " ".join([SENTENCES["en"][0], SENTENCES["de"][0]] * 50_000)
+    df = spark.createDataFrame(docs + [(900, mixed, None, "s1", "P1")], "doc_id long, text string, lang string, source string, page_title string")
+    languages = spark.createDataFrame(NAMES, "code string, tag string, iso3 string, english_title string")
+    began = time.monotonic()
+    found = langid.identify(df, languages).where("doc_id = 900").first()
+    assert len(found["segments"]) == 100_000 and [s["lang_code"] for s in found["segments"][:4]] == ["en", "de", "en", "de"]
+    assert time.monotonic() - began < 60
+
+
+def test_own_label_is_no_evidence_twice(spark):
+    """A page of one document has no prior of its own: the label counts once."""
+    docs, _ = language_corpus()
+    one = [(900, "Winter", "de", "s9", "alone"), (901, "Winter", None, "s9", "other")]
+    df = spark.createDataFrame(docs + one, "doc_id long, text string, lang string, source string, page_title string")
+    languages = spark.createDataFrame(NAMES, "code string, tag string, iso3 string, english_title string")
+    got = {r["doc_id"]: r for r in langid.identify(df, languages).where("doc_id >= 900").collect()}
+    wrong = (1 - langid.LABEL_RIGHT) / (len(NAMES) - 1)
+    assert got[900]["lang_code"] == "de"
+    # Without the label the odds of German and English are those of words, source and whole; the label adds its own only.
+    assert got[900]["confidence"] <= langid.LABEL_RIGHT / (langid.LABEL_RIGHT + wrong)
+
+
+@pytest.mark.parametrize("most", [256, 1])
+def test_hot_pages_are_split(spark, monkeypatch, most):
+    docs, truth = language_corpus()
+    df = spark.createDataFrame([(i, t, l, "s", "P1" if i % 3 else f"P{i}") for i, t, l, *_ in docs], "doc_id long, text string, lang string, source string, page_title string")
+    languages = spark.createDataFrame(NAMES, "code string, tag string, iso3 string, english_title string")
+    want = rows(langid.identify(df, languages), "doc_id", "lang_code", "segments")
+    monkeypatch.setattr(langid, "MOST_SPLIT", 3)
+    monkeypatch.setattr(langid, "max", lambda a, b: b if a == 100_000 else max(a, b), raising=False)
+    assert rows(langid.identify(df, languages), "doc_id", "lang_code", "segments") == want and len(want) == len(truth)
+
+
 def test_languages_without_documents_or_labels(spark):
     schema = "doc_id long, text string, lang string, source string, page_title string"
     languages = spark.createDataFrame(NAMES, "code string, tag string, iso3 string, english_title string")
-    assert rows(langid.identify(spark.createDataFrame([], schema), languages)[0]) == []
-    found = langid.identify(spark.createDataFrame([(1, "Some text here.", None, None, None)], schema), languages)[0].collect()
-    assert [r["segments"] for r in found] == [[]]
+    assert rows(langid.identify(spark.createDataFrame([], schema), languages)) == []
+    one = spark.createDataFrame([(1, "Some text here.", None, None, None)], schema)
+    assert rows(langid.identify(one, languages)) == [(1, None, None, [], None)]
+    assert rows(langid.identify(one, languages.where("false"))) == [(1, None, None, [], None)]
+
+
+def test_too_many_languages_and_too_large_models_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 3)
+    with pytest.raises(ValueError):
+        langid.label_index(spark.createDataFrame(NAMES, "code string, tag string, iso3 string, english_title string"))
+    monkeypatch.setattr(langid, "MAX_MODEL_BYTES", 10)
+    with pytest.raises(ValueError):
+        langid.fit([("some words", 0)], 2)
 
 
 def test_labels_name_languages(spark):
     languages = spark.createDataFrame(NAMES, "code string, tag string, iso3 string, english_title string")
     codes, names = langid.label_index(languages)
     labels = ["en", " EN ", "en_US", "eng", "English", "german", "de-AT", "und", "", None, "??", "xx-YY", "en-"]
-    got = dict(spark.createDataFrame([(i, x) for i, x in enumerate(labels)], "i int, lang string").select("i", langid.declared(F.col("lang"), names)).collect())
+    got = dict(langid.with_label(spark.createDataFrame([(i, x) for i, x in enumerate(labels)], "i int, lang string"), "lang", names).select("i", "label").collect())
     assert [codes[got[i]] if got[i] is not None else None for i in range(len(labels))] == ["en", "en", "en", "en", "en", "de", "de", None, None, None, None, None, None]
 
 
@@ -198,7 +278,17 @@ def test_blanking_keeps_places():
     assert len(clean) == len(text) and "Puente" not in clean and "Name" not in clean and clean.split() == ["A", "b", "c", "d", "end."]
 
 
+def test_long_markup_and_quotations():
+    name, talk = '"' + "Puente " * 4 + '"', '"' + "Ya lo he corregido hoy" + '"'
+    tag = "<ref name='" + "x" * 2000 + "' />"
+    assert langid.blanked(f"a {tag} b {name} c {talk}").split() == ["a", "b", "c", *talk.split()]
+    assert langid.blanked("1 < 2 and 3 > 2") == "1 < 2 and 3 > 2"
+    assert "説" not in langid.blanked("「短い説明」です。") and "説" in langid.blanked("「" + "短い説明を書いて" * 4 + "」です。")
+
+
 def test_model_scores_are_sums():
     model = langid.fit([(t, k) for k, x in enumerate(SENTENCES.values()) for t in x], len(SENTENCES))
-    ids = [[0, 1, 2], [3]]
-    assert np.allclose(model.score(ids), [model.rates[[0, 1, 2]].sum(axis=0), model.rates[3]])
+    one = lambda w: model.score(np.array([w]), np.array([0]), 1)[0]
+    both = model.score(np.array([0, 1, 2, 3]), np.array([0, 0, 0, 1]), 3)
+    assert np.allclose(both, [one(0) + one(1) + one(2), one(3), np.zeros(len(model.live))], atol=1e-4)
+    assert model.score(np.zeros(0, np.int64), np.zeros(0, np.int64), 0).shape == (0, len(model.live))
