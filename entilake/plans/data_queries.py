@@ -1,4 +1,4 @@
-"""Queries p1 to p6: the general data-processing operators on the tables of the domain."""
+"""Queries p1 to p3, p5 and p6: the general data-processing operators on the tables of the domain."""
 
 from __future__ import annotations
 
@@ -6,13 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entilake.functions.days import parse_timestamp
-from entilake.operators import frequent, history, merkle, orphans, wide
+from entilake.operators import history, merkle, orphans, wide
 from entilake.operators.shred import ROOT, with_parent
 from entilake.session import cut
 from entilake.sources.claims import CLAIM_TREE, SNAK_PATHS, claim_labels, claim_nodes, entity_references
 from entilake.sources.tables import current_rows, table
 
-FREQUENT_SHARE = 0.005
 OPEN_END = 2_147_483_647
 
 
@@ -101,7 +100,7 @@ def p2_balance(spark: SparkSession, d: str) -> DataFrame:
     table_, attributes = _wide(spark, d)
     table_ = cut(table_)
     values = wide.long_table(table_, "id", attributes).select("id").unionByName(p2_set_apart(spark, d).select("id"))
-    return table_.agg(F.count("*").alias("n_items")).crossJoin(values.agg(F.count("*").alias("n_values")))  # one row each
+    return values.agg(F.count("*").alias("n_values")).withColumn("n_items", F.lit(table_.count()))
 
 
 def _item_revisions(spark: SparkSession, d: str) -> DataFrame:
@@ -119,16 +118,6 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return merkle.changes(current, saved, leaves).select(F.col("key").cast("int").alias("id"), F.col("version").alias("rev"))
 
 
-def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return frequent.frequent_values(table(spark, d, "revision", "user_name"), "user_name", FREQUENT_SHARE).select("user_name")
-
-
-def p4_top_users(spark: SparkSession, d: str) -> DataFrame:
-    """The frequent names with their approximate and exact counts."""
-    found = frequent.frequent_values(table(spark, d, "revision", "user_name"), "user_name", FREQUENT_SHARE)
-    return found.select("user_name", "approx_count", "exact_count", "exact_share")
-
-
 def _labelled_snaks(spark: SparkSession, d: str) -> DataFrame:
     items = current_rows(table(spark, d, "wb_items", "id", "rev", "claims"), "id", "rev", "claims")
     return claim_labels(items, ["id"], only=SNAK_PATHS)
@@ -234,5 +223,5 @@ def p6_by_month(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    names = ("p1_found", "p1_versions", "p1_merged_in_batches", "p2_found", "p2_wide", "p2_cells", "p2_set_apart", "p2_set_apart_places", "p2_balance", "p3_found", "p4_found", "p4_top_users", "p5_found", "p5_claims", "p5_references", "p5_snaks", "p6_found", "p6_impossible", "p6_by_month")
+    names = ("p1_found", "p1_versions", "p1_merged_in_batches", "p2_found", "p2_wide", "p2_cells", "p2_set_apart", "p2_set_apart_places", "p2_balance", "p3_found", "p5_found", "p5_claims", "p5_references", "p5_snaks", "p6_found", "p6_impossible", "p6_by_month")
     return {n: globals()[n] for n in names}

@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from entilake.operators import frequent, history, merkle, orphans, wide
+from entilake.operators import history, merkle, orphans, wide
 from entilake.operators.shred import with_parent
 from entilake.plans import data_queries
 from entilake.sources.claims import CLAIM_TREE, SNAK_PATHS, claim_labels, claim_list, claim_nodes, entity_references
@@ -221,26 +221,6 @@ def test_store_survives_a_failed_run(spark, tmp_path, monkeypatch):
     assert rows(store.run(df((1, 2)), "id", "rev")) == [] and len(store.published()) == 3
 
 
-# Frequent values
-
-
-def test_frequent_values_against_counting(spark):
-    rng = random.Random(5)
-    names = ["Hot"] * 4000 + ["hot"] * 300 + ["Hot "] * 61 + [f"u{rng.randint(0, 9000)}" for _ in range(7000)] + [None] * 500 + [""] * 120
-    df = spark.createDataFrame([(n, 1) for n in names], "user_name string, h int").repartition(6)
-    found = frequent.frequent_values(df, "user_name", 0.005)
-    got = {r["user_name"]: r for r in found.collect()}
-    n = sum(x is not None for x in names)
-    assert set(got) == {x for x in set(names) if x is not None and names.count(x) >= 0.005 * n}
-    assert all(r["exact_count"] == names.count(k) <= r["approx_count"] for k, r in got.items())
-
-
-def test_frequent_values_of_nothing(spark):
-    for data in ([], [(None,)]):
-        assert rows(frequent.frequent_values(spark.createDataFrame(data, "v string"), "v", 0.1)) == []
-    assert rows(frequent.frequent_values(spark.createDataFrame([("a",), ("b",)], "v string"), "v", 0.5), "v") == [("a",), ("b",)]
-
-
 # Orphans
 
 
