@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from entilake.session import cut
+
 
 def attribute_hash(attributes: list[str]) -> Column:
     """Hash of the attributes of a row. Each comes with a flag, because a hash passes over NULLs: without it (NULL, 5) and
@@ -13,60 +15,71 @@ def attribute_hash(attributes: list[str]) -> Column:
     return F.xxhash64(*[x for a in attributes for x in (F.col(a).isNull(), F.col(a))])
 
 
+#: Columns that observations and versions have besides key, day and attributes.
+RANK, HASH = "obs_rank", "attr_hash"
+
+
 def observations(df: DataFrame, key: str, day: str, rank: str, attributes: list[str]) -> DataFrame:
-    """What counts of a snapshot table: one row (key, day, attributes, attr_hash) per key and day, that of the highest
-    `rank`, ties by the greatest attributes. Rows without key or day, and rows in which every attribute is NULL, say
+    """What counts of a snapshot table: one row (key, day, obs_rank, attributes, attr_hash) per key and day, that of the
+    highest `rank`, ties by the greatest attributes. Rows without key or day, and rows in which every attribute is NULL, say
     nothing and are left out; an empty table gives an empty one.
 
     The maximum over a struct combines before the shuffle, so repeats of a hot key cost one row per task and day, and a
     key has at most one row per calendar day after it."""
     known = df.where(F.col(key).isNotNull() & F.col(day).isNotNull() & F.coalesce(*[F.col(a).cast("string") for a in attributes]).isNotNull())
-    best = F.max(F.struct(F.col(rank).alias("_rank"), *attributes)).alias("_best")
-    out = known.groupBy(key, day).agg(best).select(key, day, *[f"_best.{a}" for a in attributes])
-    return out.withColumn("attr_hash", attribute_hash(attributes))
+    best = F.max(F.struct(F.col(rank).alias(RANK), *attributes)).alias("_best")
+    out = known.groupBy(key, day).agg(best).select(key, day, f"_best.{RANK}", *[f"_best.{a}" for a in attributes])
+    return out.withColumn(HASH, attribute_hash(attributes))
+
+
+def _counting(obs: DataFrame, key: str, day: str, attributes: list[str]) -> DataFrame:
+    """Of observations of one key and day the one that counts, by rank and attributes."""
+    best = F.max(F.struct(RANK, *attributes, HASH)).alias("_o")
+    return obs.groupBy(key, day).agg(best).select(key, day, *[f"_o.{c}" for c in (RANK, *attributes, HASH)])
+
+
+def seen_after(seen: DataFrame, updates: DataFrame, key: str, day: str, attributes: list[str]) -> DataFrame:
+    """The observations merged so far, after `updates` were merged too."""
+    return _counting(seen.unionByName(updates), key, day, attributes)
 
 
 def versions(obs: DataFrame, key: str, day: str, attributes: list[str]) -> DataFrame:
-    """Versions from observations: key, attributes, attr_hash, from_day, to_day (NULL: open), is_current. A version
-    starts where the hash differs from that of the observation before, and ends on the day before the next starts."""
+    """Versions from observations: key, attributes, attr_hash, from_day, last_day (last day with an observation of it), to_day
+    (NULL: open), is_current. A version starts where the hash differs from that of the observation before, and ends on the
+    day before the next starts."""
     w = W.partitionBy(key).orderBy(day)
-    before = F.lag("attr_hash").over(w)
-    starts = obs.withColumn("_before", before).where(F.col("_before").isNull() | (F.col("_before") != F.col("attr_hash")))
-    ended = starts.withColumn("to_day", F.lead(day).over(w) - 1)
-    return ended.select(key, *attributes, "attr_hash", F.col(day).alias("from_day"), "to_day", F.col("to_day").isNull().alias("is_current"))
+    whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    steps = obs.withColumn("_before", F.lag(HASH).over(w)).withColumn("_day_before", F.lag(day).over(w)).withColumn("_end", F.max(day).over(whole))
+    starts = steps.where(F.col("_before").isNull() | (F.col("_before") != F.col(HASH)))
+    ended = starts.withColumn("to_day", F.lead(day).over(w) - 1).withColumn("last_day", F.coalesce(F.lead("_day_before").over(w), "_end"))
+    return ended.select(key, *attributes, HASH, F.col(day).alias("from_day"), "last_day", "to_day", F.col("to_day").isNull().alias("is_current"))
 
 
 def merge_versions(dimension: DataFrame | None, seen: DataFrame | None, updates: DataFrame, key: str, day: str, attributes: list[str]) -> DataFrame:
     """Type-two merge of a batch of observations into a dimension (columns of `versions`).
 
-    The open version of each key stands for the observation before the batch: equal hashes leave it as it is, another
-    hash closes it on the day before and inserts a new open version; new keys are inserted. A batch may hold many days
-    of a key. Keys with a late observation (not after their last day in `seen`, the observations merged so far) are
-    rebuilt from `seen`, without touching other keys: a late row can split or replace closed versions, and also the open
-    one, whose confirming days are in `seen` only.
+    The open version of each key stands for the observations before the batch: equal hashes leave it open, another hash
+    closes it on the day before and inserts a new open version; new keys are inserted. A batch may hold many days of a key.
+    Keys with a late observation (not after the last day of their open version) are rebuilt from `seen`, the observations
+    merged so far: a late row can split or replace closed versions, and also the open one, whose confirming days are in
+    `seen` only. All other rows of the dimension are passed on as they are, and `seen` is read for late keys only.
 
-    dimension and seen: None for the first load, both needed after it. Result: the new dimension, one row per version, gap-free and without
-    overlap per key between its first day and now."""
+    dimension and seen: None for the first load, both needed after it. Of observations of one key and day, in `seen` or in
+    the batch, the highest rank counts. Result: the new dimension, one row per version, gap-free and without overlap per key
+    between its first day and now."""
     if dimension is None:
         return versions(updates, key, day, attributes)
     if seen is None:
         raise ValueError("a merge into a dimension needs the observations merged so far")
-    latest = seen.groupBy(key).agg(F.max(day).alias("_last"))
     first = updates.groupBy(key).agg(F.min(day).alias("_first"))
-    touched = first.join(latest, key, "left").select(key, (F.col("_first") <= F.col("_last")).alias("_late"))
-    in_order = touched.where(~F.coalesce("_late", F.lit(False))).select(key)
-    late = touched.where("_late").select(key)
-    columns = [key, *attributes, "attr_hash", "from_day", "to_day", "is_current"]
-    kept = dimension.join(late, key, "left_anti")
-    closed = kept.where(~F.col("is_current"))
-    idle = kept.where("is_current").join(in_order, key, "left_anti")
-    seed = kept.where("is_current").join(in_order, key, "left_semi").select(key, F.col("from_day").alias(day), *attributes, "attr_hash")
-    fresh = updates.join(in_order, key, "left_semi").select(key, day, *attributes, "attr_hash")
-    moved = versions(seed.unionByName(fresh), key, day, attributes)
-    again = updates.join(late, key, "left_semi").withColumn("_new", F.lit(1)).unionByName(seen.join(late, key, "left_semi").withColumn("_new", F.lit(0)))
-    one = F.max(F.struct("_new", *attributes, "attr_hash")).alias("_o")
-    rebuilt = versions(again.groupBy(key, day).agg(one).select(key, day, *[f"_o.{a}" for a in attributes], "_o.attr_hash"), key, day, attributes)
-    out = closed.select(columns)
-    for p in (idle, moved, rebuilt):
-        out = out.unionByName(p.select(columns))
-    return out
+    late = F.coalesce(F.col("_first") <= F.col("last_day"), F.lit(False)).alias("_late")
+    touched = cut(first.join(dimension.where("is_current").select(key, "last_day"), key, "left").select(key, late))
+    flagged = dimension.join(touched, key, "left")
+    kept = flagged.where("_late is null or (not _late and not is_current)").drop("_late")
+    # An open version comes back as what was seen of it: its first and its last day.
+    days = F.explode(F.array_distinct(F.array("from_day", "last_day")))
+    rank = F.lit(None).cast(updates.schema[RANK].dataType)
+    opened = flagged.where("not _late and is_current").select(key, days.alias(day), rank.alias(RANK), *attributes, HASH)
+    again = seen.join(touched.where("_late"), key, "left_semi")
+    pool = opened.unionByName(updates).unionByName(again).repartition(key)  # one shuffle for both steps below
+    return kept.unionByName(versions(_counting(pool, key, day, attributes), key, day, attributes))

@@ -1,18 +1,26 @@
 """Incremental processing by Merkle trees over key ranges (problem 3).
 
-A state is one row (key, version) per record. Its tree has a digest for each range of 2^LEAF_BITS keys and, above, for
-each range of FAN_BITS more bits. Two states are compared from the top: only ranges below a differing digest are looked
-at, and only the leaves that differ are read row by row.
+A state is one row (key, version) per record. Its tree is a table (level, node, n, digest): on level 0 a node is a range of
+2^LEAF_BITS keys with the digest of its records, on each level above a range of 2^FAN_BITS nodes with the digest of their
+digests. A run computes the nodes on the paths from the leaves its rows touch to the top, descends where they differ from the
+saved ones, reads row by row only the leaves that differ, and publishes its output and the changed nodes together.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from entilake.session import cut
+
 LEAF_BITS, FAN_BITS, LEVELS = 6, 6, 5
+#: After so many runs that wrote changes only, a run writes the whole state and tree; the folders of so many published runs
+#: are kept for readers of their output.
+COMPACT_AFTER, KEEP_RUNS = 16, 8
+STATE, TREE = "key long, version long", "level int, node long, n long, digest string"
 
 
 def state(rows: DataFrame, key: str, version: str) -> DataFrame:
@@ -21,49 +29,60 @@ def state(rows: DataFrame, key: str, version: str) -> DataFrame:
     return rows.select(F.col(key).cast("bigint").alias("key"), F.col(version).cast("bigint").alias("version")).where("key is not null and version is not null").groupBy("key").agg(F.max("version").alias("version"))
 
 
-def tree(rows: DataFrame) -> list[DataFrame]:
-    """The levels of a state's tree, leaves first: (node, n, digest). Digests are sums of row hashes (as decimals, so
-    they neither wrap nor depend on order) and counts."""
-    leaf = F.shiftright("key", LEAF_BITS).alias("node")
-    return raised(rows.groupBy(leaf).agg(F.count("*").alias("n"), _digest(F.xxhash64("key", "version"))))
+def _leaf() -> Column:
+    return F.shiftright("key", LEAF_BITS)
 
 
-def raised(leaves: DataFrame) -> list[DataFrame]:
-    """The levels of the tree over given leaves, the leaves first."""
-    levels = [leaves]
-    for _ in range(LEVELS - 1):
-        up = levels[-1].groupBy(F.shiftright("node", FAN_BITS).alias("node"))
-        levels.append(up.agg(F.sum("n").alias("n"), _digest(F.xxhash64("node", "n", "digest"))))
-    return levels
+def _digest(hashes: Column) -> list[Column]:
+    """A sum of hashes, as a decimal, so that it neither wraps nor depends on order."""
+    return [F.sum(hashes.cast("decimal(20,0)")).cast("string").alias("digest")]
 
 
-def _digest(hashes: Column) -> Column:
-    return F.sum(hashes.cast("decimal(20,0)")).cast("string").alias("digest")
+def paths(records: DataFrame, saved: DataFrame) -> list[DataFrame]:
+    """The new nodes of a tree, by level, leaves first: the leaves that `records` fill (all records of such a leaf) and
+    the nodes above them, made of new nodes and of saved ones that nothing touched. Each level is computed once."""
+    leaves = records.groupBy(_leaf().alias("node")).agg(F.count("*").alias("n"), *_digest(F.xxhash64("key", "version")))
+    levels = [cut(leaves)]
+    up = F.shiftright("node", FAN_BITS)
+    for level in range(1, LEVELS):
+        new = levels[-1]
+        parents = new.select(up.alias("_up")).distinct()
+        rest = saved.where(F.col("level") == level - 1).select("node", "n", "digest").join(parents, up == F.col("_up"), "left_semi").join(new.select("node"), "node", "left_anti")
+        levels.append(cut(new.unionByName(rest).groupBy(up.alias("node")).agg(F.sum("n").alias("n"), *_digest(F.xxhash64("node", "n", "digest")))))
+    return levels
 
 
-def changed_leaves(current: list[DataFrame], saved: list[DataFrame]) -> DataFrame:
-    """Leaves (node) of `current` whose digest is not that of `saved`, found by descending from the top."""
-    differ = None
-    for here, there in zip(reversed(current), reversed(saved)):
-        if differ is not None:
-            here = here.join(differ.withColumnRenamed("node", "_up"), F.shiftright("node", FAN_BITS) == F.col("_up"), "left_semi")
-        there = there.select("node", F.col("n").alias("_n"), F.col("digest").alias("_digest"))
-        differ = here.join(there, "node", "left").where(~(F.col("n").eqNullSafe(F.col("_n")) & F.col("digest").eqNullSafe(F.col("_digest")))).select("node")
-    return differ
+def differing(levels: list[DataFrame], saved: DataFrame) -> list[DataFrame]:
+    """For each level, leaves first, the nodes that are not as saved. The descent starts at the top and looks only at the
+    children of nodes that differ."""
+    found: list[DataFrame] = []
+    for level in reversed(range(LEVELS)):
+        here = levels[level]
+        if found:
+            here = here.join(found[0].select(F.col("node").alias("_up")), F.shiftright("node", FAN_BITS) == F.col("_up"), "left_semi")
+        there = saved.where(F.col("level") == level).select("node", F.col("n").alias("_n"), F.col("digest").alias("_digest"))
+        other = ~(F.col("n").eqNullSafe(F.col("_n")) & F.col("digest").eqNullSafe(F.col("_digest")))
+        found.insert(0, here.join(there, "node", "left").where(other).select("node", "n", "digest"))
+    return found
 
 
 def changes(current: DataFrame, saved: DataFrame, leaves: DataFrame) -> DataFrame:
     """(key, version) of the records in differing leaves whose version is above the saved one, or that have none."""
-    leaves = leaves.withColumnRenamed("node", "_leaf")
-    inside = lambda df: df.join(leaves, F.shiftright("key", LEAF_BITS) == F.col("_leaf"), "left_semi")
+    leaves = leaves.select(F.col("node").alias("_leaf"))
+    inside = lambda df: df.join(leaves, _leaf() == F.col("_leaf"), "left_semi")
     old = inside(saved).withColumnRenamed("version", "_saved")
     return inside(current).join(old, "key", "left").where(F.col("_saved").isNull() | (F.col("version") > F.col("_saved"))).select("key", "version")
 
 
 class IncrementalStore:
-    """Runs in a folder on shared storage. A run writes its output, state and tree leaves into a folder of its own and
-    then publishes them together by creating one small file; a run that fails before leaves nothing behind that a later
-    run reads, and the next run starts from the last published state: nothing is skipped, nothing is repeated."""
+    """Runs in a folder on shared storage. A run writes its output and the tree nodes it changed into a folder of its own
+    and then publishes them together by creating one small file, named by the number of the run: of two runs that started
+    from the same state only one can, the other fails. A run that fails before leaves nothing behind that a later one reads,
+    and the next starts from the last published state: nothing is skipped, nothing is repeated. Needs a file system in
+    which a file can be created only once, as HDFS; on an object store without such a call let a scheduler run one at a time.
+
+    Published runs hold changes only; every COMPACT_AFTER runs the whole state and tree are written, and folders of failed
+    and of old runs are removed."""
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
@@ -71,38 +90,83 @@ class IncrementalStore:
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def published(self) -> list[str]:
-        """Names of published runs, oldest first."""
-        folder = self._path(f"{self.root}/published")
-        names = [f.getPath().getName() for f in self._fs.listStatus(folder)] if self._fs.exists(folder) else []
+    def _names(self, folder: str) -> list[str]:
+        at = self._path(f"{self.root}/{folder}")
+        names = [f.getPath().getName() for f in self._fs.listStatus(at)] if self._fs.exists(at) else []
         return sorted(n for n in names if not n.startswith((".", "_")))
 
-    def _folder(self, name: str) -> str:
-        return f"{self.root}/runs/{name.split('-', 1)[1]}"
-
-    def saved(self) -> tuple[DataFrame, DataFrame]:
-        """State and tree leaves of the last published run; empty before the first."""
-        names = self.published()
-        if not names:
-            return self.spark.createDataFrame([], "key long, version long"), self.spark.createDataFrame([], "node long, n long, digest string")
-        at = self._folder(names[-1])
-        return self.spark.read.parquet(f"{at}/state"), self.spark.read.parquet(f"{at}/leaves")
+    def published(self) -> list[str]:
+        """Numbers of published runs, oldest first."""
+        return self._names("published")
+
+    def _manifest(self, number: str) -> dict:
+        """base: folder with a whole state and tree; runs: folders with changes since, oldest first."""
+        text = self.spark.read.text(f"{self.root}/published/{number}", wholetext=True).first()
+        return json.loads(text[0])
+
+    def _folder(self, run: str, what: str) -> str:
+        return f"{self.root}/runs/{run}/{what}"
+
+    def saved(self) -> tuple[DataFrame, DataFrame, dict]:
+        """State and tree of the last published run, and its manifest; empty before the first."""
+        numbers = self.published()
+        if not numbers:
+            return self.spark.createDataFrame([], STATE), self.spark.createDataFrame([], TREE), {"base": None, "runs": []}
+        manifest = self._manifest(numbers[-1])
+        read = self.spark.read
+        records, nodes = read.parquet(self._folder(manifest["base"], "state")), read.parquet(self._folder(manifest["base"], "tree"))
+        if manifest["runs"]:
+            outputs = read.parquet(*[self._folder(r, "output") for r in manifest["runs"]])
+            records = records.unionByName(outputs).groupBy("key").agg(F.max("version").alias("version"))
+            aged = nodes.withColumn("_age", F.lit(0))
+            for age, r in enumerate(manifest["runs"], 1):
+                aged = aged.unionByName(read.parquet(self._folder(r, "changed")).withColumn("_age", F.lit(age)))
+            newest = aged.groupBy("level", "node").agg(F.max(F.struct("_age", "n", "digest")).alias("_b"))
+            nodes = cut(newest.select("level", "node", "_b.n", "_b.digest"))
+        return records, nodes, manifest
 
     def run(self, rows: DataFrame, key: str, version: str) -> DataFrame:
         """Process what is new in `rows` (all rows, or those delivered since; old and repeated ones change nothing) and
         publish. Returns the run's output: (key, version) of added and changed records."""
-        names = self.published()
-        number = int(names[-1].split("-", 1)[0]) + 1 if names else 1
-        run = uuid.uuid4().hex
-        at = f"{self.root}/runs/{run}"
-        old, old_leaves = self.saved()
-        state(rows.select(F.col(key).alias("key"), F.col(version).alias("version")).unionByName(old.select("key", "version")), "key", "version").write.parquet(f"{at}/state")
-        new = self.spark.read.parquet(f"{at}/state")
-        tree(new)[0].write.parquet(f"{at}/leaves")
-        leaves = self.spark.read.parquet(f"{at}/leaves")
-        changes(new, old, changed_leaves(raised(leaves), raised(old_leaves))).write.parquet(f"{at}/output")
-        out = self.spark.read.parquet(f"{at}/output")
-        # create() without overwrite fails if another run has taken the number: one publication per number.
-        self._fs.create(self._path(f"{self.root}/published/{number:010d}-{run}"), False).close()
+        numbers = self.published()
+        number = int(numbers[-1]) + 1 if numbers else 1
+        run = f"{number:010d}-{uuid.uuid4().hex}"
+        old, old_tree, manifest = self.saved()
+        incoming = cut(state(rows, key, version))
+        touched = incoming.select(_leaf().alias("_leaf")).distinct()
+        near = old.join(touched, _leaf() == F.col("_leaf"), "left_semi")
+        current = cut(incoming.unionByName(near).groupBy("key").agg(F.max("version").alias("version")))
+        found = differing(paths(current, old_tree), old_tree)
+        found[0] = cut(found[0])
+        changes(current, old, found[0]).write.parquet(self._folder(run, "output"))
+        changed = found[0].withColumn("level", F.lit(0))
+        for level, nodes in enumerate(found[1:], 1):
+            changed = changed.unionByName(nodes.withColumn("level", F.lit(level)))
+        changed.select("level", "node", "n", "digest").write.parquet(self._folder(run, "changed"))
+        out = self.spark.read.parquet(self._folder(run, "output"))
+        if manifest["base"] is None or len(manifest["runs"]) + 1 >= COMPACT_AFTER:
+            new = self.spark.read.parquet(self._folder(run, "changed"))
+            old.unionByName(out).groupBy("key").agg(F.max("version").alias("version")).write.parquet(self._folder(run, "state"))
+            old_tree.join(new, ["level", "node"], "left_anti").unionByName(new).write.parquet(self._folder(run, "tree"))
+            manifest = {"base": run, "runs": []}
+        else:
+            manifest = {"base": manifest["base"], "runs": [*manifest["runs"], run]}
+        self._publish(number, manifest | {"run": run})
+        self._clean(number)
         return out
 
+    def _publish(self, number: int, manifest: dict) -> None:
+        """create() without overwrite fails where the number is taken: one publication per number."""
+        stream = self._fs.create(self._path(f"{self.root}/published/{number:010d}"), False)
+        stream.write(bytearray(json.dumps(manifest).encode()))
+        stream.close()
+
+    def _clean(self, number: int) -> None:
+        """Remove the folders up to this number that none of the last KEEP_RUNS published runs needs."""
+        kept: set[str] = set()
+        for n in self.published()[-KEEP_RUNS:]:
+            manifest = self._manifest(n)
+            kept |= {manifest["base"], manifest["run"], *manifest["runs"]}
+        for folder in self._names("runs"):
+            if folder not in kept and int(folder.split("-", 1)[0]) <= number:
+                self._fs.delete(self._path(f"{self.root}/runs/{folder}"), True)

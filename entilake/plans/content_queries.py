@@ -261,6 +261,7 @@ def oracle_sql() -> dict[str, str]:
         "p2_balance": f"WITH {claims_cte()} SELECT (SELECT count(*) FROM roots WHERE cl IS NOT NULL) AS n_items, (SELECT count(*) FROM snaks WHERE snak_place = 'm') AS n_values",
         "misfits_by_type": f"WITH {_misfit_sql()} SELECT dt AS declared, count(*) FILTER (ok) AS n_fit, count(*) FILTER (NOT ok) AS n_misfit FROM judged GROUP BY 1",
         "p3_found": "WITH a AS (SELECT CAST(substr(title, 2) AS INT) AS id, max(rev_id) AS rev FROM revision WHERE regexp_full_match(title, 'Q[0-9]+') GROUP BY 1), b AS (SELECT id, max(rev) AS r FROM wb_items GROUP BY 1) SELECT id, rev FROM a LEFT JOIN b USING (id) WHERE r IS NULL OR rev > r",
+        "p3_since_success": "WITH s AS (SELECT max(started_at) AS t FROM run_log WHERE lower(trim(run_status)) = 'ok'), r AS (SELECT CAST(substr(title, 2) AS INT) AS id, rev_id, coalesce(delivered_at < (SELECT t FROM s), false) AS before FROM revision WHERE regexp_full_match(title, 'Q[0-9]+')), a AS (SELECT id, max(rev_id) FILTER (before) AS was, max(rev_id) AS rev FROM r GROUP BY 1) SELECT id, rev FROM a WHERE was IS NULL OR rev > was",
         "p5_found": f"WITH {claims_cte()} SELECT id, claim_no, snak_place, group_no, snak_no FROM snaks",
         "p5_claims": f"WITH {claims_cte()} SELECT id, CAST(claim_no AS VARCHAR) AS claim_label, json_extract_string(c, '$.g') AS guid, json_extract_string(c, '$.rank') AS rank FROM claims",
         "p5_references": f"WITH {claims_cte()} SELECT id, claim_no || '.2.' || group_no AS reference_label, CAST(claim_no AS VARCHAR) AS claim_label FROM groups",

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entilake.functions.days import parse_timestamp
 from entilake.operators import history, merkle, orphans, wide
 from entilake.operators.shred import ROOT, with_parent
-from entilake.session import cut
+from entilake.session import cut, ensure_checkpoint_dir
 from entilake.sources.claims import CLAIM_TREE, SNAK_PATHS, claim_labels, claim_nodes, entity_references
 from entilake.sources.tables import current_rows, table
 
-OPEN_END = 2_147_483_647
 
 
 def _observations(spark: SparkSession, d: str) -> DataFrame:
@@ -38,11 +39,8 @@ def p1_merged_in_batches(spark: SparkSession, d: str) -> DataFrame:
     middle = ((span["a"] or 0) + (span["b"] or 0)) / 2
     early = F.coalesce(F.col("loaded_at").cast("timestamp").cast("double") <= middle, F.lit(True))
     args = ("id", "wd_day", "rev", ["stat_num"])
-    first = cut(history.observations(rows.where(early), *args))
+    first, second = (cut(history.observations(rows.where(part), *args)) for part in (early, ~early))
     dim = cut(history.merge_versions(None, None, first, "id", "wd_day", ["stat_num"]))
-    # The second batch holds, for days that both batches have, the row that counts over all of them.
-    touched = rows.where(~early).select("id", "wd_day").distinct()
-    second = history.observations(rows.join(touched, ["id", "wd_day"], "left_semi"), *args)
     dim = history.merge_versions(dim, first, second, "id", "wd_day", ["stat_num"])
     return dim.select("id", "stat_num", "from_day", "to_day", "is_current")
 
@@ -103,19 +101,37 @@ def p2_balance(spark: SparkSession, d: str) -> DataFrame:
     return values.agg(F.count("*").alias("n_values")).withColumn("n_items", F.lit(table_.count()))
 
 
-def _item_revisions(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "revision", "rev_id", "title").where(F.col("title").rlike(r"^Q[0-9]+$"))
-    return rows.select(F.substring("title", 2, 20).try_cast("bigint").alias("id"), F.col("rev_id").alias("rev"))
+def _item_revisions(spark: SparkSession, d: str, *more: str) -> DataFrame:
+    rows = table(spark, d, "revision", "rev_id", "title", *more).where(F.col("title").rlike(r"^Q[0-9]+$"))
+    return rows.select(F.substring("title", 2, 20).try_cast("bigint").alias("id"), F.col("rev_id").alias("rev"), *more)
+
+
+def _store(spark: SparkSession) -> merkle.IncrementalStore:
+    return merkle.IncrementalStore(spark, f"{ensure_checkpoint_dir(spark)}/increments-{uuid.uuid4().hex}")
+
+
+def _changed_items(out: DataFrame) -> DataFrame:
+    return out.select(F.col("key").cast("int").alias("id"), F.col("version").alias("rev"))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    """The saved tree is that of the stored items; the current one is over the stored and delivered revisions."""
-    stored = table(spark, d, "wb_items", "id", "rev").select(F.col("id").cast("bigint").alias("id"), F.col("rev").cast("bigint").alias("rev"))
-    saved = cut(merkle.state(stored, "id", "rev"))
-    current = cut(merkle.state(_item_revisions(spark, d).unionByName(stored), "id", "rev"))
-    leaves_now, leaves_then = cut(merkle.tree(current)[0]), cut(merkle.tree(saved)[0])
-    leaves = merkle.changed_leaves(merkle.raised(leaves_now), merkle.raised(leaves_then))
-    return merkle.changes(current, saved, leaves).select(F.col("key").cast("int").alias("id"), F.col("version").alias("rev"))
+    """Two runs of a store in the shared folder: the first publishes what is stored, with its tree, as the runs so far left
+    it, the failed one too; the second loads that tree, reads all deliveries and publishes its output with the new one."""
+    store = _store(spark)
+    store.run(table(spark, d, "wb_items", "id", "rev"), "id", "rev")
+    return _changed_items(store.run(_item_revisions(spark, d), "id", "rev"))
+
+
+def p3_since_success(spark: SparkSession, d: str) -> DataFrame:
+    """What the run after the last successful one of run_log brings out: that one had read all that was delivered before its
+    start, the failed run after it published nothing, and this one reads only what was delivered since."""
+    log = table(spark, d, "run_log", "started_at", "run_status")
+    start = log.where(F.lower(F.trim("run_status")) == "ok").agg(F.max("started_at")).first()[0]
+    revisions_ = _item_revisions(spark, d, "delivered_at")
+    before = F.coalesce(F.col("delivered_at") < F.lit(start), F.lit(False)) if start else F.lit(False)
+    store = _store(spark)
+    store.run(revisions_.where(before), "id", "rev")
+    return _changed_items(store.run(revisions_.where(~before), "id", "rev"))
 
 
 def _labelled_snaks(spark: SparkSession, d: str) -> DataFrame:
@@ -223,5 +239,5 @@ def p6_by_month(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    names = ("p1_found", "p1_versions", "p1_merged_in_batches", "p2_found", "p2_wide", "p2_cells", "p2_set_apart", "p2_set_apart_places", "p2_balance", "p3_found", "p5_found", "p5_claims", "p5_references", "p5_snaks", "p6_found", "p6_impossible", "p6_by_month")
+    names = ("p1_found", "p1_versions", "p1_merged_in_batches", "p2_found", "p2_wide", "p2_cells", "p2_set_apart", "p2_set_apart_places", "p2_balance", "p3_found", "p3_since_success", "p5_found", "p5_claims", "p5_references", "p5_snaks", "p6_found", "p6_impossible", "p6_by_month")
     return {n: globals()[n] for n in names}

@@ -1,3 +1,4 @@
+import functools
 import json
 import random
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from entilake.operators import history, merkle, orphans, wide
 from entilake.operators.shred import with_parent
 from entilake.plans import data_queries
+from entilake.session import cut
 from entilake.sources.claims import CLAIM_TREE, SNAK_PATHS, claim_labels, claim_list, claim_nodes, entity_references
 from entilake.sources.tables import current_rows
 
@@ -34,7 +36,7 @@ def versions_by_hand(observed):
     return sorted(full, key=repr)
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(4))
 def test_merge_in_batches_equals_one_load(spark, seed):
     rng = random.Random(seed)
     observed = [(rng.randint(1, 4) if rng.random() < 0.6 else 1, rng.randint(0, 30), rng.randint(1, 5), rng.choice([None, 1, 2, 3])) for _ in range(120)]
@@ -42,11 +44,10 @@ def test_merge_in_batches_equals_one_load(spark, seed):
     obs = lambda x: history.observations(spark.createDataFrame(x, schema), "id", "day", "rev", ["v"])
     whole = history.merge_versions(None, None, obs(observed), "id", "day", ["v"])
     assert rows(whole, "id", "v", "from_day", "to_day") == versions_by_hand(observed)
-    first = obs(observed[:60])
-    touched = {o[:2] for o in observed[60:]}
-    second = obs([o for o in observed if o[:2] in touched])
+    first, second, third = (obs(observed[i : i + 40]) for i in (0, 40, 80))
     dim = history.merge_versions(None, None, first, "id", "day", ["v"])
-    merged = history.merge_versions(dim, first, second, "id", "day", ["v"])
+    dim = history.merge_versions(dim, first, second, "id", "day", ["v"])
+    merged = history.merge_versions(dim, history.seen_after(first, second, "id", "day", ["v"]), third, "id", "day", ["v"])
     assert rows(merged, "id", "v", "from_day", "to_day") == versions_by_hand(observed)
 
 
@@ -71,10 +72,10 @@ def test_found_versions_are_loaded_by_the_merge(spark, tmp_path, monkeypatch):
 
 
 def test_history_of_nothing_and_clashing_columns(spark):
-    empty = spark.createDataFrame([], "id int, day int, rev int, v int, attr_hash string, from_day int, _best int")
+    empty = spark.createDataFrame([], "id int, day int, rev int, v int, attr_hash string, from_day int, _best int, last_day int, obs_rank int")
     obs = history.observations(empty, "id", "day", "rev", ["v"])
     assert rows(history.versions(obs, "id", "day", ["v"])) == []
-    one = spark.createDataFrame([(1, 5, 1, 7, "x", 9, 3), (1, 5, 1, 7, "y", 8, 2), (None, 5, 1, 7, "x", 1, 1), (2, 5, None, 7, "x", 1, 1)], empty.schema)
+    one = spark.createDataFrame([(1, 5, 1, 7, "x", 9, 3, 1, 1), (1, 5, 1, 7, "y", 8, 2, 1, 1), (None, 5, 1, 7, "x", 1, 1, 1, 1), (2, 5, None, 7, "x", 1, 1, 1, 1)], empty.schema)
     dim = history.versions(history.observations(one, "id", "day", "rev", ["v"]), "id", "day", ["v"])
     assert rows(dim, "id", "v", "from_day", "to_day", "is_current") == [(1, 7, 5, None, True), (2, 7, 5, None, True)]
 
@@ -202,11 +203,18 @@ def test_changes_by_tree(spark):
     old = {k: rng.randint(1, 9) for k in rng.sample(range(100_000), 400)}
     new = dict(old) | {k: 10 for k in rng.sample(sorted(old), 20)} | {k: 1 for k in rng.sample(range(100_000, 2_000_000_000), 10)}
     make = lambda d: merkle.state(spark.createDataFrame([(k, v) for k, v in d.items()] * 2 + [(None, 1), (5_000_000, None)], "id long, rev long"), "id", "rev")
-    a, b = make(new).cache(), make(old).cache()
-    leaves = merkle.changed_leaves(merkle.tree(a), merkle.tree(b))
-    assert rows(merkle.changes(a, b, leaves)) == sorted(((k, v) for k, v in new.items() if old.get(k, -1) < v), key=repr)
-    assert leaves.count() <= 30
-    assert merkle.changed_leaves(merkle.tree(a), merkle.tree(a)).count() == 0
+    a, b = cut(make(new)), cut(make(old))
+    nothing = spark.createDataFrame([], merkle.TREE)
+    whole = lambda levels: functools.reduce(lambda x, y: x.unionByName(y), [x.withColumn("level", F.lit(i)) for i, x in enumerate(levels)])
+    saved = cut(whole(merkle.paths(b, nothing)).select("level", "node", "n", "digest"))
+    found = merkle.differing(merkle.paths(a, saved), saved)
+    assert rows(merkle.changes(a, b, found[0])) == sorted(((k, v) for k, v in new.items() if old.get(k, -1) < v), key=repr)
+    assert [x.count() for x in found][0] <= 30 and found[-1].count() <= 3
+    assert merkle.differing(merkle.paths(b, saved), saved)[0].count() == 0
+    # A tree over some of the leaves and the saved others is that over all.
+    touched = [k >> merkle.LEAF_BITS for k, v in new.items() if old.get(k) != v]
+    some = merkle.paths(a.where((F.shiftright("key", merkle.LEAF_BITS)).isin(touched)), saved)
+    assert set(rows(some[-1])) <= set(rows(merkle.paths(a, nothing)[-1]))
 
 
 def test_store_survives_a_failed_run(spark, tmp_path, monkeypatch):
@@ -221,6 +229,46 @@ def test_store_survives_a_failed_run(spark, tmp_path, monkeypatch):
     assert rows(store.run(df((1, 2)), "id", "rev")) == [] and len(store.published()) == 3
 
 
+def test_two_runs_from_one_state_publish_once(spark, tmp_path, monkeypatch):
+    store = merkle.IncrementalStore(spark, str(tmp_path / "s"))
+    df = lambda *x: spark.createDataFrame(list(x), "id long, rev long")
+    store.run(df((1, 1)), "id", "rev")
+    other = merkle.IncrementalStore(spark, str(tmp_path / "s"))
+    publish = merkle.IncrementalStore._publish
+
+    def late(self, number, manifest):
+        monkeypatch.setattr(merkle.IncrementalStore, "_publish", publish)
+        assert rows(other.run(df((1, 2)), "id", "rev")) == [(1, 2)]
+        publish(self, number, manifest)
+
+    monkeypatch.setattr(merkle.IncrementalStore, "_publish", late)
+    with pytest.raises(Exception, match="exist"):
+        store.run(df((1, 3)), "id", "rev")
+    assert rows(store.run(df((1, 3)), "id", "rev")) == [(1, 3)] and len(store.published()) == 3
+
+
+def test_store_writes_changes_and_is_compacted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(merkle, "COMPACT_AFTER", 3)
+    monkeypatch.setattr(merkle, "KEEP_RUNS", 2)
+    store = merkle.IncrementalStore(spark, str(tmp_path / "s"))
+    rng, held = random.Random(3), {}
+    for i in range(6):
+        batch = [(rng.randint(0, 3000), rng.randint(1, 4)) for _ in range(60 if i else 2000)]
+        want = {k: max(v for q, v in batch if q == k) for k, _ in batch}
+        want = {k: v for k, v in want.items() if v > held.get(k, -1)}
+        out = store.run(spark.createDataFrame(batch, "id long, rev long"), "id", "rev")
+        assert dict(map(tuple, out.collect())) == want
+        held |= want
+        last = store._names("runs")[-1]
+        if i:
+            assert spark.read.parquet(store._folder(last, "changed")).where("level = 0").count() <= len(want)
+    records, nodes, manifest = store.saved()
+    assert dict(map(tuple, records.collect())) == held and len(store._names("runs")) <= 6 and store._names("runs")[0].startswith("0000000004")
+    fresh = merkle.paths(records, spark.createDataFrame([], merkle.TREE))
+    for level, x in enumerate(fresh):
+        assert rows(x, "node", "n", "digest") == rows(nodes.where(F.col("level") == level), "node", "n", "digest")
+
+
 # Orphans
 
 
