@@ -16,6 +16,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,11 +46,15 @@ LEAST_WORDS, LEAST_LETTERS, SURE = 2, 3, 0.9
 #: A quotation of so many words (letters, in scripts without blanks) or less is a name, a longer one running text.
 NAME_WORDS, NAME_LETTERS = 4, 20
 
-# Each alternative begins with a fixed character, so that the search skips all others.
-_MARKUP = re.compile(r"</?[A-Za-z!][^<>]*>|\{\{[^{}]*\}\}|\[\[[^\[\]]*\]\]|/\*.*?\*/|https?://\S+|&[#\w]{1,10};|[QP](?<!\w[QP])\d+\b", re.S)
+# Patterns begin with one set of characters, so that the search passes over all others; what follows looks back at it.
+_MARKUP = re.compile(r"[<{\[/h&QP](?:(?<=<)/?[A-Za-z!][^<>]*>|(?<=\{)\{[^{}]*\}\}|(?<=\[)\[[^\[\]]*\]\]|(?<=/)\*.*?\*/|(?<=h)ttps?://\S+|(?<=&)[#\w]{1,10};|(?<=[QP])(?<!\w[QP])\d+\b)", re.S)
 _SIGNATURE = re.compile(r"--+ ?[^\s.!?]+(?: [^\s.!?]+)? \d{1,2}:\d\d")
 _QUOTED = re.compile("[\"\u201c\u201d\u201e\u00ab\u300c\u2039\u2018]([^\"\u201c\u201d\u201e\u00ab\u00bb\u300c\u300d\u203a\u2019\\n.!?\u3002\uff01\uff1f]+)[\"\u201d\u201c\u00bb\u300d\u203a\u2019]")
-_END = re.compile("[.!?\u2026]+[\")'\u00bb\u201d\\]]*(?=\\s|$)|[\u3002\uff01\uff1f]+[\u300d\uff09]*|\\n+")
+_CLOSING = "[\")'\u00bb\u201d\\]]*(?=\\s|$)"
+_END = re.compile(f"[.!?\u2026\u3002\uff01\uff1f\\n](?:(?<=[.!?\u2026])[.!?\u2026]*{_CLOSING}|(?<=[\u3002\uff01\uff1f])[\u3002\uff01\uff1f]*[\u300d\uff09]*|(?<=\\n)\\n*)")
+#: The same for texts without wide marks, where it is the faster one.
+_PLAIN_END = re.compile(f"[.!?\\n](?:(?<=[.!?])[.!?]*{_CLOSING}|(?<=\\n)\\n*)")
+_WIDE_MARKS = "\u3002\uff01\uff1f\u2026"
 _WORD = re.compile(r"[^\W\d_]+")
 #: Scripts written without blanks: kana, Han, Thai. Their units are letters and pairs of letters.
 _UNSPACED = re.compile("[\u3040-\u30ff\u3400-\u9fff\u0e00-\u0e7f]")
@@ -67,12 +72,13 @@ def blanked(text: str) -> str:
     return _QUOTED.sub(lambda m: wide(m) if _is_name(m.group(1)) else m.group(), text)
 
 
-def sentences(text: str) -> list[tuple[int, int]]:
-    """(start, end) of the sentences and lines of a blanked text, in order and without gaps."""
-    ends = [m.end() for m in _END.finditer(text)]
+def sentence_ends(text: str) -> list[int]:
+    """Ends of the sentences and lines of a blanked text, in order; each begins where the one before ends."""
+    pattern = _PLAIN_END if text.isascii() or not any(m in text for m in _WIDE_MARKS) else _END
+    ends = [m.end() for m in pattern.finditer(text)]
     if not ends or ends[-1] < len(text):
         ends.append(len(text))
-    return list(zip([0, *ends], ends))
+    return ends
 
 
 @lru_cache(maxsize=200_000)
@@ -102,6 +108,40 @@ def units(text: str) -> list[str]:
 FEW = 0.02
 
 
+def _spans(first: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the elements of `rows` in a list of lists that begin at `first`, one after the other, and their numbers."""
+    size = first[rows + 1] - first[rows]
+    ends = np.cumsum(size)
+    return np.repeat(first[rows] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0), size
+
+
+class Tokens:
+    """What stands between two blanks, by number, with its known words. Forgotten when there are too many."""
+
+    MOST = 300_000
+
+    def __init__(self, ids: dict[str, int]) -> None:
+        self.ids = ids
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.first, self.words, self.unspaced = [0], [], []
+
+    def numbers(self, tokens: list[str]) -> list[int]:
+        found = list(map(self.number.get, tokens))
+        return [self._learn(t) if f is None else f for t, f in zip(tokens, found)] if None in found else found
+
+    def _learn(self, token: str) -> int:
+        n = self.number.get(token)
+        if n is None:
+            n = self.number[token] = len(self.unspaced)
+            self.words += [k for k in map(self.ids.get, units(token)) if k is not None]
+            self.first.append(len(self.words))
+            self.unspaced.append(not token.isascii() and _UNSPACED.search(token) is not None)
+        return n
+
+
 class WordModel:
     """P(word | language) for the words of the sample; words it does not know say nothing. A word is kept with the languages
     it was counted in; in all others it has the rate of FEW."""
@@ -123,8 +163,7 @@ class WordModel:
 
     def score(self, words: np.ndarray, sentence: np.ndarray, n: int) -> np.ndarray:
         """Log likelihood of each live language (columns) for n sentences, given known words and the sentences they are in."""
-        size = self.first[words + 1] - self.first[words]
-        at = np.repeat(self.first[words] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum()) if len(words) else np.zeros(0, np.int64)
+        at, size = _spans(self.first, words)
         k = len(self.live)
         gained = np.bincount(np.repeat(sentence, size) * k + self.lang[at], self.gain[at], n * k).reshape(n, k)
         return gained + np.bincount(sentence, minlength=n)[:, None] * self.base
@@ -146,7 +185,8 @@ def fit(documents: list[tuple[str, int]], n_languages: int, rounds: int = 2) ->
     starts, sentence_doc = [], []
     for d, (text, _) in enumerate(documents):
         clean = blanked(text)
-        for a, b in sentences(clean):
+        ends = sentence_ends(clean)
+        for a, b in zip([0, *ends], ends):
             found = units(clean[a:b])
             if found:
                 starts.append(len(ids))
@@ -248,29 +288,30 @@ def scored_runs(docs: DataFrame, model: WordModel) -> DataFrame:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         schema, model = to_arrow_schema(out), shared.value
-        kind = schema.field("runs").type
-        known: dict[str, tuple[int, ...]] = {}  # known words of what stands between two blanks
-
-        def learn(token: str) -> tuple[int, ...]:
-            found = tuple(k for k in map(model.ids.get, units(token)) if k is not None)
-            if len(token) < 40:
-                if len(known) > 500_000:
-                    known.clear()
-                known[token] = found
-            return found
-
+        kind, tokens = schema.field("runs").type, Tokens(model.ids)
         for batch in batches:
             done = 0
-            docs_, starts, stops, sizes, unspaced, words = [], [], [], [], [], []
+            ends, sizes, per_doc, met = [], [], [], []  # of sentences: end, tokens; sentences of each document; tokens
 
             def flush(upto: int, batch: pa.RecordBatch = batch) -> pa.RecordBatch:
-                doc, a, b = (np.array(x, dtype=np.int64) for x in (docs_, starts, stops))
-                size = np.array(sizes, dtype=np.int64)
-                n = len(doc)
-                ll = model.score(np.array(words, dtype=np.int64), np.repeat(np.arange(n), size), n) if n else np.zeros((0, max(1, len(model.live))))
+                doc = np.repeat(np.arange(done, upto), per_doc)
+                b, size, token = np.array(ends, dtype=np.int64), np.array(sizes, dtype=np.int64), np.array(met, dtype=np.int64)
+                a = np.concatenate([[0], b[:-1]])[: len(b)]
+                a[1:][doc[1:] != doc[:-1]] = 0
+                opening = np.cumsum(size) - size
+                unspaced = np.zeros(len(b), dtype=bool)
+                unspaced[size > 0] = np.array(tokens.unspaced, dtype=bool)[token[opening[size > 0]]]
+                at, words = _spans(np.array(tokens.first, dtype=np.int64), token)
+                of = np.repeat(np.repeat(np.arange(len(b)), size), words)
+                told = np.bincount(of, minlength=len(b))
+                kept = np.flatnonzero(told)
+                n = len(kept)
+                place = np.cumsum(told > 0) - 1
+                ll = model.score(np.array(tokens.words, dtype=np.int64)[at], place[of], n) if n else np.zeros((0, max(1, len(model.live))))
+                doc, a, b, told, unspaced = (x[kept] for x in (doc, a, b, told, unspaced))
                 ll -= ll.max(axis=1, keepdims=True)
                 near = ll >= -KEEP_WITHIN
-                strong = size >= np.where(np.array(unspaced, dtype=bool), LEAST_LETTERS, LEAST_WORDS)
+                strong = told >= np.where(unspaced, LEAST_LETTERS, LEAST_WORDS)
                 alone = (near.sum(axis=1) == 1) & strong
                 best = ll.argmax(axis=1)
                 same = np.zeros(n, dtype=bool)
@@ -282,26 +323,22 @@ def scored_runs(docs: DataFrame, model: WordModel) -> DataFrame:
                 fields = [pa.array(a[first].astype(np.int32)), pa.array(b[last].astype(np.int32)), pa.array((last - first + 1).astype(np.int32)), pa.array(strong[first]), pa.ListArray.from_arrays(offsets, pa.array(model.live[column])), pa.ListArray.from_arrays(offsets, pa.array(ll[first][row, column].astype(np.float32)))]
                 each = pa.StructArray.from_arrays([c.cast(f.type) for c, f in zip(fields, kind.value_type)], fields=list(kind.value_type))
                 found = pa.ListArray.from_arrays(_lists(np.searchsorted(doc[first], np.arange(done, upto)), len(first)), each).cast(kind)
+                if len(tokens.unspaced) > tokens.MOST:
+                    tokens.clear()
                 return pa.RecordBatch.from_arrays([*batch.slice(done, upto - done).columns[:4], found], schema=schema)
 
             for i, text in enumerate(batch.column(4)):
                 clean = blanked(text.as_py() or "")
-                for s, e in sentences(clean):
-                    had = len(words)
-                    tokens = clean[s:e].split()
-                    for t in tokens:
-                        found = known.get(t)
-                        words += learn(t) if found is None else found
-                    if len(words) > had:
-                        docs_.append(i)
-                        starts.append(s)
-                        stops.append(e)
-                        sizes.append(len(words) - had)
-                        unspaced.append(not tokens[0].isascii() and _UNSPACED.search(tokens[0]) is not None)
-                if len(docs_) >= BATCH_SENTENCES:
+                found = sentence_ends(clean)
+                pieces = [clean[s:e].split() for s, e in zip([0, *found], found)]
+                met += tokens.numbers(list(chain.from_iterable(pieces)))
+                sizes += map(len, pieces)
+                ends += found
+                per_doc.append(len(found))
+                if len(ends) >= BATCH_SENTENCES:
                     yield flush(i + 1)
                     done = i + 1
-                    docs_, starts, stops, sizes, unspaced, words = [], [], [], [], [], []
+                    ends, sizes, per_doc, met = [], [], [], []
             if done < batch.num_rows:
                 yield flush(batch.num_rows)
 
