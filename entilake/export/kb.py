@@ -10,8 +10,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from entilake.functions.dims import literal_map
 from entilake.operators.entities import site_links, terms
 from entilake.operators.shred import children
+from entilake.session import cut
 from entilake.sources.claims import claim_list
 
 
@@ -67,23 +69,20 @@ def claim_lines(df: DataFrame, title: str, claims: str = "claims") -> DataFrame:
     return source.mapInArrow(run, "title string, ord int, line string")
 
 
-def _braced(title: Column, what: str, key: Column, value: Column) -> Column:
-    return F.concat(title, F.lit(f" {what} {{"), key, F.lit(":"), value, F.lit("} ."))
-
-
 def kb_lines(df: DataFrame, title: Column) -> DataFrame:
     """(title, part, ord, line): the lines of entities, in the order part, ord, line within one title. df: label,
-    description, aliases, claims, and links and datatype where there are such. Values that are no text are left out."""
-    df = df.withColumn("_title", title)
+    description, aliases, claims, and links and datatype where there are such; it is computed once, into the shared folder.
+    Values that are no text are left out."""
+    df = cut(df.select(title.alias("_title"), "label", "description", "aliases", "claims", *[c for c in ("links", "datatype") if c in df.columns]))
     kept = df.columns
     parts = []
     if "datatype" in kept:
         parts.append(df.where("datatype is not null").select("_title", F.lit(0).alias("part"), F.lit(0).alias("ord"), F.concat("_title", F.lit(" type "), "datatype", F.lit(" .")).alias("line")))
-    for part, (column, what) in enumerate((("label", "label"), ("description", "description"), ("aliases", "alias"))):
-        found = terms(df, ["_title"], (column,)).where("text is not null")
-        parts.append(found.select("_title", F.lit((1, 2, 4)[part]).alias("part"), F.lit(0).alias("ord"), _braced(F.col("_title"), what, F.col("lang"), F.col("text")).alias("line")))
+    place = F.try_element_at(literal_map({"label": 1, "description": 2, "alias": 4}), F.col("term_kind"))
+    found = terms(df, ["_title"]).where("text is not null")
+    parts.append(found.select("_title", place.alias("part"), F.lit(0).alias("ord"), F.concat("_title", F.lit(" "), "term_kind", F.lit(" {"), "lang", F.lit(":"), "text", F.lit("} .")).alias("line")))
     if "links" in kept:
-        parts.append(site_links(df, ["_title"]).select("_title", F.lit(3).alias("part"), F.lit(0).alias("ord"), _braced(F.col("_title"), "link", F.col("site"), F.col("page")).alias("line")))
+        parts.append(site_links(df, ["_title"]).select("_title", F.lit(3).alias("part"), F.lit(0).alias("ord"), F.concat("_title", F.lit(" link {"), "site", F.lit(":"), "page", F.lit("} .")).alias("line")))
     parts.append(claim_lines(df, "_title").select(F.col("title").alias("_title"), F.lit(5).alias("part"), "ord", "line"))
     out = parts[0]
     for p in parts[1:]:
@@ -91,7 +90,16 @@ def kb_lines(df: DataFrame, title: Column) -> DataFrame:
     return out.withColumnRenamed("_title", "title")
 
 
-def write_kb(lines: DataFrame, path: str, compression: str | None = "gzip") -> None:
-    """Text files with the lines of each entity together and in order; entities are spread by range over the files."""
+def entities_written(lines: DataFrame) -> int:
+    """Entities with a line."""
+    return lines.select("title").distinct().count()
+
+
+def write_kb(lines: DataFrame, path: str, compression: str | None = "gzip", date: str | None = None) -> None:
+    """Text files with the lines of each entity together and in order; entities are spread by range over the files. date: of
+    the data, for a last line `# <date>` in a file of its own, after all others by name."""
     writer = lines.repartitionByRange("title").sortWithinPartitions("title", "part", "ord", "line").select("line").write.mode("overwrite")
     (writer.option("compression", compression) if compression else writer).text(path)
+    if date is not None:
+        end = lines.sparkSession.createDataFrame([(f"# {date}",)], "line string").coalesce(1).write.mode("overwrite")
+        (end.option("compression", compression) if compression else end).text(f"{path}-end")

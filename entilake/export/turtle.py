@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -30,9 +32,10 @@ VALUE_NODES = {"time": ("VT", "wo:TimeValue"), "globe-coordinate": ("VC", "wo:Gl
 ENTITY, STATEMENT, VALUE, REFERENCE, ARTICLE = range(5)
 
 
-def header(spark: SparkSession, spec: ExportSpec) -> DataFrame:
-    """Lines before the first entity."""
-    lines = ["### OWL/RDF Turtle dump", f"# Filter settings ({spec.fingerprint()})", *[f"# - {x}" for x in spec.describe()], "###", ""]
+def header(spark: SparkSession, spec: ExportSpec, generated: datetime | None = None) -> DataFrame:
+    """Lines before the first entity. generated: time of the export, now if none is given."""
+    when = (generated or datetime.now()).isoformat(sep=" ")
+    lines = ["### OWL/RDF Turtle dump", f"# Filter settings ({spec.fingerprint()})", *[f"# - {x}" for x in spec.describe()], f"# Generated on {when}", "###", ""]
     lines += [f"@prefix {p}: <{iri}> ." for p, iri in PREFIXES.items()] + [f"\n{s}\ta\t{o} ." for s, o in DECLARED.items()]
     return spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "ord int, line string")
 
@@ -117,8 +120,11 @@ def _value_triples(snaks: DataFrame) -> DataFrame:
 
 def triples(df: DataFrame, title: str, types: DataFrame, spec: ExportSpec | None = None) -> DataFrame:
     """(title, section, block, s, ord, p, o): the triples of entities, in the order of section, block, s and ord within one
-    title. df: title (Q1, P1), is_item, label, description, aliases, claims, and links and datatype where there are such."""
+    title. df: title (Q1, P1), is_item, label, description, aliases, claims, and links and datatype where there are such; it
+    is computed once, into the shared folder."""
     spec = spec or ExportSpec()
+    used = [title, "is_item", "label", "description", "aliases", "claims", *[c for c in ("links", "datatype") if c in df.columns]]
+    df = cut(df.select(*used))
     base = df.withColumnRenamed(title, "_title")
     s = F.concat(F.lit("w:"), F.col("_title"))
     row = lambda d, section, block, subject, ord_, p, o: d.select(F.col("_title").alias("title"), F.lit(section).alias("section"), block.cast("int").alias("block"), subject.alias("s"), ord_.cast("int").alias("ord"), p.alias("p"), o.alias("o"))
@@ -190,6 +196,34 @@ def statistics(found: DataFrame) -> DataFrame:
     )
 
 
+def footer(found: DataFrame, types: DataFrame, spec: ExportSpec) -> DataFrame:
+    """(ord, line): the lines after the last entity. Totals, uses of datatypes by place, and a list of properties that can be
+    read as CSV, most used first. One row per property and datatype is all that meets here."""
+    spark = found.sparkSession
+    total = statistics(found).first()
+    used = cut(usage(found, types))
+    declared = property_declarations(found, types).count()
+    by_type = sorted(type_usage(used).collect(), key=lambda r: r["datatype"])
+    of = lambda place: "{" + ", ".join(f"{r['datatype']}: {r[place]}" for r in by_type if r[place]) + "}"
+    lines = ["", "", "### Turtle serialization completed:", f"# * {total['triples_actual']} triples", f"# * {total['entities']} entities", f"# * {declared} additional OWL property declarations", f"# * {total['statements']} statements", f"# * {total['references']} references"]
+    lines += [f"# * types of {name} properties: {of(place)}" for name, place in (("main", "main"), ("qualifier", "qualifiers"), ("reference", "references"))]
+    if spec.statements:
+        lines += ["###", "### The following is a CSV compatible list with property statistics; references count once per entity:", "###", "#,property id,type,use as main property,use in qualifiers,use in references"]
+    head = spark.createDataFrame(list(enumerate(lines)), "ord long, line string")
+    end = ["###END###"] * spec.statements + ["###", "", "", "### Export completed successfully. The End. ###"]
+    tail = spark.createDataFrame([((1 << 62) + i, x) for i, x in enumerate(end)], head.schema)
+    if not spec.statements:
+        return head.unionByName(tail)
+    text_ = F.concat_ws(",", F.lit("#"), F.col("property_id").cast("string"), F.coalesce("datatype", F.lit("unknown")), *[F.col(c).cast("string") for c in ("main", "qualifiers", "references")])
+    place = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(F.desc("main"), "property_id"))
+    return head.unionByName(used.select((place + len(lines)).cast("long").alias("ord"), text_.alias("line"))).unionByName(tail)
+
+
+def lookups(found: DataFrame, types: DataFrame) -> DataFrame:
+    """(property_id) of the exported properties whose datatype had to come from their values, as none was declared."""
+    return usage(found, types).where("datatype is null").select("property_id")
+
+
 def usage(found: DataFrame, types: DataFrame) -> DataFrame:
     """property_id, datatype, main, qualifiers, references: uses in exported snaks, a reference counting once per entity;
     every property met has a row."""
@@ -206,17 +240,14 @@ def type_usage(used: DataFrame) -> DataFrame:
     return used.groupBy(F.coalesce("datatype", F.lit("unknown")).alias("datatype")).agg(*[F.sum(c).alias(c) for c in ("main", "qualifiers", "references")])
 
 
-def write_turtle(found: DataFrame, types: DataFrame, spec: ExportSpec, path: str) -> None:
-    """A folder of gzip files in name order: header, entities by range of titles, declarations, statistics."""
+def write_turtle(found: DataFrame, types: DataFrame, spec: ExportSpec, path: str, generated: datetime | None = None) -> None:
+    """A folder of gzip files in name order: header, entities by range of titles, declarations, statistics. The triples are
+    computed once, into the shared folder."""
     spark = found.sparkSession
+    found = cut(found)
     text_of = lambda df, name: df.write.mode("overwrite").option("compression", "gzip").text(f"{path}/{name}")
-    text_of(header(spark, spec).coalesce(1).sortWithinPartitions("ord").select("line"), "0-header")
+    text_of(header(spark, spec, generated).coalesce(1).sortWithinPartitions("ord").select("line"), "0-header")
     text_of(blocks(found).repartitionByRange("title").sortWithinPartitions("title", "section", "block", "s").select("text"), "1-entities")
     declared = property_declarations(found, types)
     text_of(declared.coalesce(1).sortWithinPartitions("s").select(F.concat(F.lit("\n"), "s", F.lit("\t"), "p", F.lit("\t"), "o", F.lit(" ."))), "2-properties")
-    counts = statistics(found)
-    lines = F.explode(F.array(*[F.concat(F.lit(f"# {c}: "), F.col(c).cast("string")) for c in counts.columns]))
-    text_of(counts.select(lines), "3-statistics")
-    if spec.statements:
-        used = usage(found, types)
-        text_of(used.coalesce(1).select(F.concat_ws(",", F.concat(F.lit("# P"), F.col("property_id").cast("string")), F.coalesce("datatype", F.lit("unknown")), *[F.col(c).cast("string") for c in ("main", "qualifiers", "references")])), "4-properties-used")
+    text_of(footer(found, types, spec).coalesce(1).sortWithinPartitions("ord").select("line"), "3-statistics")

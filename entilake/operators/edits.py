@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from entilake.functions.days import date_text, day_date, day_index
 from entilake.functions.text import csv_name, yes_no
+from entilake.session import cut
 
 #: Bot accounts beyond this number are looked up by a shuffled join instead of a broadcast one.
 MAX_BROADCAST_BOTS = 100_000
@@ -32,7 +33,7 @@ def edits_per_day(df: DataFrame, bots: DataFrame, day: str) -> DataFrame:
     kind = editor_class(F.col("is_ip"), F.col("is_bot"))
     dated = with_bot_flag(df.where(F.col(day).isNotNull()), bots).select(day_index(F.col(day)).alias("index"), kind.alias("_k"))
     n = lambda k: F.count_if(F.col("_k") == k)
-    counts = dated.groupBy("index").agg(n("bot").alias("bots"), n("human").alias("humans"), n("anon").alias("anons"))
+    counts = cut(dated.groupBy("index").agg(n("bot").alias("bots"), n("human").alias("humans"), n("anon").alias("anons")))  # a row a day
     spine = counts.agg(F.min("index").alias("a"), F.max("index").alias("b")).where("a is not null").select(F.explode(F.sequence("a", "b")).alias("index"))
     zero = lambda c: F.coalesce(c, F.lit(0).cast("bigint")).alias(c)
     filled = spine.join(counts, "index", "left").select("index", date_text(day_date(F.col("index"))).alias("date"), zero("bots"), zero("humans"), zero("anons"))

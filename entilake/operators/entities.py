@@ -27,26 +27,24 @@ def is_text(v: Column) -> Column:
 def terms(df: DataFrame, keys: list[str], kinds: tuple[str, ...] = ("label", "description", "aliases")) -> DataFrame:
     """One row per term: keys, term_kind, lang, text. A value that is no text, as the 1 that stands for a text that was
     left out, gives a row with a NULL text. Aliases are lists, or objects of which the values count; each gives a row. The
-    words of one language come in no order."""
-    parts = []
-    for kind in kinds:
-        each = df.select(*keys, F.explode(json_map(F.col(kind))).alias("lang", "_v"))
-        if kind == "aliases":
-            raw = F.to_json("_v")
-            values = F.coalesce(F.from_json(raw, "array<variant>", STRICT), F.map_values(F.from_json(raw, "map<string,variant>", STRICT)), F.array("_v"))
-            each = each.select(*keys, "lang", F.explode(values).alias("_v"))
-        text = F.when(is_text(F.col("_v")), F.col("_v").cast("string"))
-        parts.append(each.select(*keys, F.lit({"aliases": "alias"}.get(kind, kind)).alias("term_kind"), "lang", text.alias("text")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    words of one language come in no order. All kinds come from one pass over `df`."""
+
+    def found(kind: str) -> Column:
+        name = F.lit({"aliases": "alias"}.get(kind, kind))
+        term = lambda lang, v: F.struct(name.alias("term_kind"), lang.alias("lang"), F.when(is_text(v), v.cast("string")).alias("text"))
+        entries = F.map_entries(json_map(F.col(kind)))
+        if kind != "aliases":
+            return F.transform(entries, lambda e: term(e["key"], e["value"]))
+        values = lambda v: F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.map_values(F.try_variant_get(v, "$", "map<string,variant>")), F.array(v))
+        return F.flatten(F.transform(entries, lambda e: F.transform(values(e["value"]), lambda v: term(e["key"], v))))
+
+    return df.select(*keys, F.explode(F.concat(*[found(k) for k in kinds])).alias("_t")).select(*keys, "_t.*")
 
 
 def site_links(df: DataFrame, keys: list[str], links: str = "links") -> DataFrame:
     """One row per site link: keys, site, page. Both forms of a link are read, the name and the object with a name."""
     each = df.select(*keys, F.explode(json_map(F.col(links))).alias("site", "_v"))
-    page = F.when(is_text(F.col("_v")), F.col("_v").cast("string")).otherwise(F.get_json_object(F.to_json("_v"), "$.name"))
+    page = F.when(is_text(F.col("_v")), F.col("_v").cast("string")).otherwise(F.try_variant_get("_v", "$.name", "string"))
     return each.select(*keys, "site", page.alias("page")).where(F.col("page").isNotNull())
 
 
@@ -59,7 +57,7 @@ def counts_of(df: DataFrame, keys: list[str]) -> DataFrame:
     """keys, label_num, desc_num, link_num, alias_num: languages of labels and descriptions, links, and aliases summed over
     languages."""
     size = lambda c: F.size(json_map(F.col(c)))
-    lists = F.transform(F.map_values(json_map(F.col("aliases"))), lambda v: F.coalesce(F.size(F.from_json(F.to_json(v), "array<variant>", STRICT)), F.lit(0)))
+    lists = F.transform(F.map_values(json_map(F.col("aliases"))), lambda v: F.coalesce(F.size(F.try_variant_get(v, "$", "array<variant>")), F.lit(0)))
     alias = F.aggregate(lists, F.lit(0), lambda n, k: n + F.greatest(k, F.lit(0)))
     links = size("links") if "links" in df.columns else F.lit(0)
     return df.select(*keys, size("label").alias("label_num"), size("description").alias("desc_num"), links.alias("link_num"), alias.alias("alias_num"))

@@ -144,8 +144,18 @@ def language_tags(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("lang").agg(F.count("*").alias("n")).withColumn("tag", dims.language_tag(F.col("lang"))).where("tag is not null")
 
 
-def vocabulary(spark: SparkSession, d: str) -> DataFrame:
-    return dims.vocabulary(spark)
+def vocabulary_kinds(spark: SparkSession, d: str) -> DataFrame:
+    """Triples of the system vocabulary by predicate and, for types, by kind."""
+    rows = dims.vocabulary_triples(spark).select("p", F.when(F.col("p") == "a", F.col("o")).alias("kind"))
+    return rows.groupBy("p", "kind").agg(F.count("*").alias("n"))
+
+
+def used_datatypes(spark: SparkSession, d: str) -> DataFrame:
+    """The individuals of the vocabulary and the number of properties that declare them."""
+    individuals = spark.createDataFrame([(i, t) for t, i in dims.TYPE_INDIVIDUALS.items()], "individual string, datatype string")
+    declared = _types(spark, d).where("datatype is not null").groupBy("datatype").agg(F.count("*").alias("n"))
+    terms_ = dims.vocabulary(spark).where("kind = 'wo:Datatype'").select(F.col("term").alias("individual"))
+    return terms_.join(individuals, "individual", "left").join(declared, "datatype", "left").select("individual", F.coalesce("n", F.lit(0)).alias("n_properties"))
 
 
 def misfits_by_type(spark: SparkSession, d: str) -> DataFrame:
@@ -183,7 +193,9 @@ _DECODED = """decoded AS (SELECT *, json_extract_string(s, '$[0]') AS tag, try_c
 _SNAKS = f"""{claims_cte()}, {_TYPED}, {_DECODED}, full_snaks AS (SELECT decoded.*, datatype, CASE snak_place WHEN 'm' THEN 'v' ELSE snak_place END AS context,
  CASE WHEN tag NOT IN ('value', 'R', 'S', 'T') THEN datatype WHEN vtype = 'string' THEN coalesce(datatype, 'string') ELSE CASE vtype {" ".join(f"WHEN '{v}' THEN '{t}'" for v, t in dims.TYPE_OF_VALUE.items())} END END AS snak_type
  FROM decoded LEFT JOIN types USING (property_id))"""
-_TAG = "CASE lang {} ELSE CASE WHEN regexp_full_match(lang, '[a-z]{{2,3}}') AND NOT regexp_full_match(lang, 'q[a-t][a-z]') THEN lang END END".format(" ".join(f"WHEN '{c}' THEN '{t}'" for c, t in dims.LANGUAGE_TAGS.items()))
+_SITE_TAG = "CASE lang {} ELSE CASE WHEN regexp_full_match(lang, '[a-z]{{2,3}}') AND NOT regexp_full_match(lang, 'q[a-t][a-z]') THEN lang END END".format(" ".join(f"WHEN '{c}' THEN '{t}'" for c, t in dims.LANGUAGE_TAGS.items()))
+_OWN = f"(regexp_full_match(lang, '[a-z][a-z]') AND lang NOT IN ({', '.join(repr(x) for x in dims.NO_TAGS)})) OR lang IN ({', '.join(repr(x) for x in dims.OWN_TAGS)})"
+_TAG = "CASE lang {} ELSE CASE WHEN {own} THEN lang END END".format(" ".join(f"WHEN '{c}' THEN '{t}'" for c, t in dims.LANGUAGE_TAGS.items()), own=_OWN)
 _TERMS = f"""{_current('wb_items')}, lab AS (SELECT eid AS id, 'label' AS term_kind, j.key AS lang, j.type, j.value FROM (SELECT id AS eid, label AS x FROM cur WHERE json_valid(label) AND json_type(label) = 'OBJECT') , json_each(x) AS j
  UNION ALL SELECT eid, 'description', j.key, j.type, j.value FROM (SELECT id AS eid, description AS x FROM cur WHERE json_valid(description) AND json_type(description) = 'OBJECT'), json_each(x) AS j),
  al AS (SELECT eid AS id, j.key AS lang, unnest(json_extract(j.value, '$[*]')) AS value FROM (SELECT id AS eid, aliases AS x FROM cur WHERE json_valid(aliases) AND json_type(aliases) = 'OBJECT'), json_each(x) AS j),
@@ -274,7 +286,7 @@ def oracle_sql() -> dict[str, str]:
         "term_literals": f"WITH {_TERMS} SELECT id, term_kind, lang, {_LITERAL.format(x='text')} || '@' || {_TAG} AS literal FROM terms WHERE text IS NOT NULL AND {_TAG} IS NOT NULL",
         "language_filter": f"WITH {_TERMS} SELECT lang, term_kind, count(*) AS n_terms, count(text) AS n_texts FROM terms WHERE lang IN ({', '.join(repr(x) for x in LANGUAGES)}) GROUP BY ALL",
         "language_tags": f"WITH {_TERMS} SELECT lang, count(*) AS n, {_TAG} AS tag FROM terms WHERE term_kind <> 'alias' AND {_TAG} IS NOT NULL GROUP BY lang",
-        "site_links": f"WITH {_LINKS}, l AS (SELECT id, site, page, {prefix} || {_QUOTE.format(x=chr(114) + 'eplace(page, ' + repr(' ') + ', ' + repr('_') + ')')} AS url, replace(regexp_extract(site, '^(.+?)(wikivoyage|wiki)$', 1), '_', '-') AS lang FROM links) SELECT id, site, page, url, CASE WHEN site <> 'commonswiki' THEN CASE site {sites} ELSE {_TAG} END END AS language FROM l WHERE url IS NOT NULL",
+        "site_links": f"WITH {_LINKS}, l AS (SELECT id, site, page, {prefix} || {_QUOTE.format(x=chr(114) + 'eplace(page, ' + repr(' ') + ', ' + repr('_') + ')')} AS url, replace(regexp_extract(site, '^(.+?)(wikivoyage|wiki)$', 1), '_', '-') AS lang FROM links) SELECT id, site, page, url, CASE WHEN site <> 'commonswiki' THEN CASE site {sites} ELSE {_SITE_TAG} END END AS language FROM l WHERE url IS NOT NULL",
         "site_filter": f"WITH {_LINKS} SELECT site, count(*) AS n_links, count(DISTINCT id) AS n_items FROM links WHERE site IN ({', '.join(repr(x) for x in SITES)}) AND page IS NOT NULL GROUP BY site",
         "content_metrics": f"WITH {claims_cte()}, n AS (SELECT id, CAST(count(*) AS INT) AS a, CAST(count(*) FILTER (len(refs) > 0) AS INT) AS b, CAST(count(*) FILTER (len(q) > 0) AS INT) AS c FROM parts GROUP BY 1) SELECT id, coalesce(a, 0) AS stat_num, coalesce(b, 0) AS stat_ref_num, coalesce(c, 0) AS stat_q_num, {_SIZE.format(c='label')} AS label_num, {_SIZE.format(c='description')} AS desc_num, {_SIZE.format(c='links')} AS link_num, {_ALIAS} AS alias_num FROM cur LEFT JOIN n USING (id)",
         "property_metrics": f"WITH {_current('wb_properties')} SELECT id, {_SIZE.format(c='label')} AS label_num, {_SIZE.format(c='description')} AS desc_num, {_ALIAS} AS alias_num FROM cur",
@@ -290,7 +302,8 @@ def oracle_sql() -> dict[str, str]:
  WHEN p <= 9 THEN '"' || printf(CASE WHEN yy < 0 THEN '%05d' ELSE '%04d' END, yy) || '"^^x:gYear' ELSE '"' || time || '"^^x:dateTime' END AS literal FROM z""",
         "coordinate_literals": f"WITH {claims_cte()}, {_DECODED} SELECT DISTINCT id, latitude, CASE WHEN try_cast(latitude AS DOUBLE) IS NOT NULL THEN '\"' || CASE WHEN regexp_full_match(latitude, '[+-]?\\d+') THEN latitude WHEN try_cast(latitude AS DOUBLE) = 0 THEN '0.0' ELSE CAST(try_cast(latitude AS DOUBLE) AS VARCHAR) END || '\"^^x:float' END AS literal FROM {in_place} WHERE vtype = 'globecoordinate' AND latitude IS NOT NULL",
         "document_literals": f"SELECT doc_id, md5({_LITERAL.format(x='text')}) AS literal_md5, md5({_QUOTE.format(x=chr(114) + 'eplace(text, ' + repr(' ') + ', ' + repr('_') + ')')}) AS quoted_md5 FROM documents WHERE text IS NOT NULL",
-        "vocabulary": "SELECT * FROM (VALUES " + ", ".join([f"('wo:{t}', '{k}')" for k, ts in dims.VOCABULARY.items() for t in ts] + [f"('{i}', 'wo:Datatype')" for i in dims.TYPE_INDIVIDUALS.values()]) + ") v(term, kind)",
+        "vocabulary_kinds": "SELECT * FROM (VALUES ('a', 'o:Class', CAST(9 AS BIGINT)), ('a', 'o:ObjectProperty', 3), ('a', 'o:DatatypeProperty', 9), ('a', 'wo:Datatype', 7), ('rs:label', NULL, 28), ('rs:comment', NULL, 28), ('rs:subClassOf', NULL, 2)) v(p, kind, n)",
+        "used_datatypes": f"WITH {_TYPED}, i AS (SELECT * FROM (VALUES ('wikibase-item', 'Item'), ('string', 'String'), ('commonsMedia', 'CommonsMedia'), ('time', 'Time'), ('globe-coordinate', 'GlobeCoordinates'), ('url', 'Url'), ('quantity', 'Quantity')) v(datatype, n)) SELECT 'wo:propertyType' || n AS individual, count(property_id) AS n_properties FROM i LEFT JOIN types USING (datatype) GROUP BY 1",
     }
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from entilake.functions.days import bucket_end, date_of, date_text, day_date, day_index, parse_timestamp
@@ -18,8 +19,11 @@ def _deliveries(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _revisions(spark: SparkSession, d: str) -> DataFrame:
-    """Each revision once, as first delivered."""
-    return revisions.first_by(_deliveries(spark, d), ["rev_id"], [F.col("delivered_at")])
+    """Each revision once, as first delivered. What follows from the title and the delivery is made afterwards, so it is
+    neither compared nor shuffled."""
+    raw = table(spark, d, "revision", "rev_id", "page_id", "title", "rev_timestamp", "user_name", "is_ip", "n_bytes", "delivered_at")
+    kept = raw.where(F.col("title").rlike(revisions.ITEM_TITLE) | F.col("title").rlike(revisions.PROPERTY_TITLE))
+    return revisions.entity_pages(revisions.first_by(kept, ["rev_id"], [F.col("delivered_at")]))
 
 
 def _dated(spark: SparkSession, d: str) -> DataFrame:
@@ -47,20 +51,26 @@ def bot_lookup_join(spark: SparkSession, d: str) -> DataFrame:
 
 
 def general_counts(spark: SparkSession, d: str) -> DataFrame:
-    rows = _deliveries(spark, d)
-    n = lambda item, what: F.count_distinct(F.when(F.col("is_item") == item, what))
-    block, entity, rev = F.struct("title", "block"), F.col("title"), F.col("rev_id")
-    return rows.agg(n(True, block).alias("item_blocks"), n(False, block).alias("property_blocks"), n(True, entity).alias("new_items"), n(False, entity).alias("new_properties"), n(True, rev).alias("item_revisions"), n(False, rev).alias("property_revisions"))
+    """Blocks, entities and revisions of items and properties. Deliveries are first reduced to one row per revision, page and
+    block, and then to one per page and block, so no row is multiplied for the different counts."""
+    rows = _deliveries(spark, d).groupBy("is_item", "title", "block", "rev_id").agg(F.lit(1).alias("_one"))
+    revs = rows.groupBy("is_item", "rev_id").agg(F.lit(1).alias("_one")).groupBy("is_item").agg(F.count("*").alias("r"))
+    blocks = rows.groupBy("is_item", "title", "block").agg(F.lit(1).alias("_one")).groupBy("is_item", "title").agg(F.count("*").alias("b")).groupBy("is_item").agg(F.sum("b").alias("b"), F.count("*").alias("e"))
+    both = blocks.join(revs, "is_item")  # two rows each
+    n = lambda item, c: F.coalesce(F.sum(F.when(F.col("is_item") == item, F.col(c))), F.lit(0).cast("bigint"))
+    return both.agg(n(True, "b").alias("item_blocks"), n(False, "b").alias("property_blocks"), n(True, "e").alias("new_items"), n(False, "e").alias("new_properties"), n(True, "r").alias("item_revisions"), n(False, "r").alias("property_revisions"))
 
 
 def dump_counters(spark: SparkSession, d: str) -> DataFrame:
     """Deliveries, pages, and deliveries of a revision after its first one with content."""
     rows = table(spark, d, "revision", "rev_id", "title", "n_bytes", "delivered_at")
-    filled = F.col("n_bytes") > 0
-    per = rows.groupBy("rev_id").agg(F.count("*").alias("n"), F.min(F.when(filled, F.col("delivered_at"))).alias("first"))
-    late = rows.join(per, "rev_id").where(F.col("delivered_at") > F.col("first")).agg(F.count("*").alias("duplicates"))
-    totals = rows.agg(F.count("*").alias("revisions"), F.count_distinct("title").alias("pages"))
-    return totals.withColumn("k", F.lit(1)).join(late.withColumn("k", F.lit(1)), "k").drop("k")
+    per_time = rows.groupBy("rev_id", "delivered_at").agg(F.count("*").alias("n"), F.max(F.coalesce(F.col("n_bytes") > 0, F.lit(False))).alias("filled"))
+    w = W.partitionBy("rev_id")
+    # A revision has few different delivery times; the first with content is known to all of them in one shuffle.
+    first = F.min(F.when(F.col("filled"), F.col("delivered_at"))).over(w)
+    late = per_time.withColumn("_first", first).agg(F.sum("n").alias("revisions"), F.coalesce(F.sum(F.when(F.col("delivered_at") > F.col("_first"), F.col("n"))), F.lit(0).cast("bigint")).alias("duplicates")).first()
+    pages = rows.groupBy("title").agg(F.lit(1).alias("_one")).where("title is not null").agg(F.count("*").alias("pages"))
+    return pages.select(F.lit(late["revisions"] or 0).cast("bigint").alias("revisions"), "pages", F.lit(late["duplicates"]).cast("bigint").alias("duplicates"))
 
 
 def page_classes(spark: SparkSession, d: str) -> DataFrame:
@@ -80,7 +90,7 @@ def new_entities(spark: SparkSession, d: str) -> DataFrame:
 
 def block_ranks(spark: SparkSession, d: str) -> DataFrame:
     ranked = revisions.with_block_rank(_deliveries(spark, d).select("entity", "block", "rev_id"), "entity", "block")
-    return ranked.where("block_rank <= 2").groupBy("entity", "block_rank").agg(F.count("*").alias("n_rows"), F.max("rev_id").alias("max_rev"))
+    return ranked.groupBy("entity", "block_rank").agg(F.count("*").alias("n_rows"), F.max("rev_id").alias("max_rev"))
 
 
 def first_block_latest(spark: SparkSession, d: str) -> DataFrame:
@@ -143,8 +153,6 @@ def snapshot_days(spark: SparkSession, d: str) -> DataFrame:
 
 def previous_snapshot(spark: SparkSession, d: str) -> DataFrame:
     """Each snapshot with the day and statement count of the one before it."""
-    from pyspark.sql import Window as W
-
     w = W.partitionBy("id").orderBy("wd_day")
     return _snapshots(spark, d).select("id", "wd_day", "stat_num", F.lag("wd_day").over(w).alias("previous_day"), F.lag("stat_num").over(w).alias("previous_stat_num"))
 
@@ -207,7 +215,7 @@ def oracle_sql() -> dict[str, str]:
         "page_classes": "SELECT CASE WHEN regexp_full_match(title, 'Q[0-9]+') THEN 'item' WHEN regexp_full_match(title, 'Property:P[0-9]+') THEN 'property' ELSE 'other' END AS page_class, count(*) AS n_rows, count(DISTINCT title) AS n_pages FROM revision GROUP BY 1",
         "dedup_first_seen": f"WITH {_REV} SELECT rev_id, title, CAST(delivered_at AS VARCHAR) AS first_delivered FROM revs",
         "new_entities": f"WITH {_DEL} SELECT entity, is_item, strftime(min(block), '%Y-%m-%d') AS first_block FROM deliveries GROUP BY ALL",
-        "block_ranks": f"WITH {_DEL}, r AS (SELECT *, CAST(dense_rank() OVER (PARTITION BY entity ORDER BY block DESC) AS INT) AS block_rank FROM deliveries) SELECT entity, block_rank, count(*) AS n_rows, max(rev_id) AS max_rev FROM r WHERE block_rank <= 2 GROUP BY ALL",
+        "block_ranks": f"WITH {_DEL}, r AS (SELECT *, CAST(dense_rank() OVER (PARTITION BY entity ORDER BY block DESC) AS INT) AS block_rank FROM deliveries) SELECT entity, block_rank, count(*) AS n_rows, max(rev_id) AS max_rev FROM r GROUP BY ALL",
         "first_block_latest": f"WITH {_DEL}, m AS (SELECT entity, max(block) AS block FROM deliveries GROUP BY 1) SELECT entity, strftime(block, '%Y-%m-%d') AS block, max(rev_id) AS rev_id FROM deliveries JOIN m USING (entity, block) WHERE n_bytes > 0 GROUP BY ALL",
         "latest_revision_per_entity": f"WITH {_DEL} SELECT entity, max(rev_id) AS rev_id FROM deliveries WHERE n_bytes > 0 GROUP BY 1",
         "latest_before_date": f"WITH {_DEL} SELECT entity, max(rev_id) AS rev_id FROM deliveries WHERE '{MAX_DATE}' > rev_timestamp GROUP BY 1",

@@ -72,10 +72,12 @@ def test_time_literals(spark):
 
 def test_languages_and_sites(spark):
     assert values(spark, ["en", "pt-br", "simple", "qqx", "zh-yue", "x"], dims.language_tag) == ["en", "pt-BR", "en-x-simple", None, "yue", None]
+    assert values(spark, ["be-tarask", "xyz", "foo", "und", "xx", "aa", "sh", "bh", "mo", "nds", "als", None], dims.language_tag) == ["be-tarask", None, None, None, None, None, "sh", "bh", "mo", "nds", "gsw", None]
+    assert len(dims.own_tags()) + len(dims.LANGUAGE_TAGS) == 333
     assert values(spark, ["en", "fr"], lambda c: dims.language_tag(c, ["en"])) == ["en", None]
     assert values(spark, ["zh_yuewiki", "commonswiki", "dewikivoyage", "xqbooks"], dims.site_prefix) == ["http://zh-yue.wikipedia.org/wiki/", "http://commons.wikimedia.org/wiki/", "http://de.wikivoyage.org/wiki/", None]
-    assert values(spark, ["zh_yuewiki", "commonswiki", "nowiki", "simplewiki", "dewikivoyage", "xqbooks"], dims.site_language) == ["yue", None, "nb", "en", "de", None]
-    assert dims.vocabulary(spark).count() == 28
+    assert values(spark, ["zh_yuewiki", "commonswiki", "nowiki", "simplewiki", "dewikivoyage", "xqbooks", "aawiki"], dims.site_language) == ["yue", None, "nb", "en", "de", None, "aa"]
+    assert dims.vocabulary(spark).count() == 28 and dims.vocabulary_triples(spark).count() == 28 * 3 + 2
     assert values(spark, [" Wikibase-Item", "COMMONSMEDIA", "x"], dims.canonical_datatype) == ["wikibase-item", "commonsMedia", None]
 
 
@@ -237,7 +239,7 @@ def test_command_line(spark, data, tmp_path):
     lines = [r[0] for r in spark.read.text(kb_path).collect()]
     assert "Q1 label {en:five} ." in lines and "P1 type wikibase-item ." in lines and "Q1 P1 Q2 ." in lines
     whole = "\n".join(r[0] for r in spark.read.option("recursiveFileLookup", "true").text(ttl).collect())
-    assert "@prefix w:" in whole and "w:P1v\tw:Q2" in whole and "# entities: 2" in whole and "w:P1s\ta\to:ObjectProperty ." in whole
+    assert "@prefix w:" in whole and "w:P1v\tw:Q2" in whole and "# * 2 entities" in whole and "### Export completed successfully. The End. ###" in whole and "#,1,wikibase-item,1,0,0" in whole and "w:P1s\ta\to:ObjectProperty ." in whole
 
 
 def test_stream_equals_batch_and_resumes(spark, data, tmp_path):
