@@ -1,9 +1,10 @@
 """Incremental processing by Merkle trees over key ranges (problem 3).
 
 A state is one row (key, version) per record. Its tree is a table (level, node, n, digest): on level 0 a node is a range of
-2^LEAF_BITS keys with the digest of its records, on each level above a range of 2^FAN_BITS nodes with the digest of their
-digests. A run computes the nodes on the paths from the leaves its rows touch to the top, descends where they differ from the
-saved ones, reads row by row only the leaves that differ, and publishes its output and the changed nodes together.
+2^LEAF_BITS keys with the digest of its records, on each level above a range of 2^FAN_BITS nodes with the digest of the leaves
+below. Digests are sums of hashes, so a node's new digest is its old one plus the differences of its leaves, and siblings
+need not be read. A run computes the nodes on the paths from the leaves its rows touch to the top, descends where they differ
+from the saved ones, reads row by row only the leaves that differ, and publishes its output and the changed nodes together.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ LEAF_BITS, FAN_BITS, LEVELS = 6, 6, 5
 #: After so many runs that wrote changes only, a run writes the whole state and tree; the folders of so many published runs
 #: are kept for readers of their output.
 COMPACT_AFTER, KEEP_RUNS = 16, 8
-STATE, TREE = "key long, version long", "level int, node long, n long, digest string"
 
 
 def state(rows: DataFrame, key: str, version: str) -> DataFrame:
@@ -33,36 +33,49 @@ def _leaf() -> Column:
     return F.shiftright("key", LEAF_BITS)
 
 
-def _digest(hashes: Column) -> list[Column]:
-    """A sum of hashes, as a decimal, so that it neither wraps nor depends on order."""
-    return [F.sum(hashes.cast("decimal(20,0)")).cast("string").alias("digest")]
+def _hash(*columns: str) -> Column:
+    """A hash that sums of do not wrap."""
+    return F.xxhash64(*columns).cast("decimal(20,0)")
 
 
-def paths(records: DataFrame, saved: DataFrame) -> list[DataFrame]:
-    """The new nodes of a tree, by level, leaves first: the leaves that `records` fill (all records of such a leaf) and
-    the nodes above them, made of new nodes and of saved ones that nothing touched. Each level is computed once."""
-    leaves = records.groupBy(_leaf().alias("node")).agg(F.count("*").alias("n"), *_digest(F.xxhash64("key", "version")))
-    levels = [cut(leaves)]
-    up = F.shiftright("node", FAN_BITS)
-    for level in range(1, LEVELS):
-        new = levels[-1]
-        parents = new.select(up.alias("_up")).distinct()
-        rest = saved.where(F.col("level") == level - 1).select("node", "n", "digest").join(parents, up == F.col("_up"), "left_semi").join(new.select("node"), "node", "left_anti")
-        levels.append(cut(new.unionByName(rest).groupBy(up.alias("node")).agg(F.sum("n").alias("n"), *_digest(F.xxhash64("node", "n", "digest")))))
-    return levels
+def _sum(column: str | Column) -> Column:
+    return F.sum(column).cast("decimal(38,0)")
 
 
-def differing(levels: list[DataFrame], saved: DataFrame) -> list[DataFrame]:
-    """For each level, leaves first, the nodes that are not as saved. The descent starts at the top and looks only at the
+def tree(records: DataFrame, saved: DataFrame | None = None) -> DataFrame:
+    """(level, node, n, digest) of the leaves that `records` fill (all records of such a leaf) and of all nodes above them.
+    saved: the tree of all records before, None for a first one. One grouping for the leaves, one for all levels above."""
+    leaves = cut(records.groupBy(_leaf().alias("node")).agg(F.count("*").alias("n"), _sum(_hash("key", "version")).alias("digest")))
+    steps = leaves.select("node", "n", _hash("node", "n", "digest").alias("_h"))
+    if saved is not None:
+        before = saved.where("level = 0").select("node", F.col("n").alias("_n"), _hash("node", "n", "digest").alias("_b"))
+        zero = lambda c: F.coalesce(c, F.lit(0))
+        steps = steps.join(before, "node", "left").select("node", (F.col("n") - zero("_n")).alias("n"), (F.col("_h") - zero("_b")).alias("_h"))
+    each = steps.withColumn("level", F.explode(F.sequence(F.lit(1), F.lit(LEVELS - 1))))
+    above = each.groupBy("level", F.expr(f"shiftright(node, {FAN_BITS} * level)").alias("node")).agg(F.sum("n").alias("n"), _sum("_h").alias("digest"))
+    if saved is not None:
+        old = saved.where("level > 0").select("level", "node", F.col("n").alias("_n"), F.col("digest").alias("_d"))
+        above = above.join(old, ["level", "node"], "left").select("level", "node", (F.col("n") + zero("_n")).alias("n"), (F.col("digest") + zero("_d")).cast("decimal(38,0)").alias("digest"))
+    return leaves.withColumn("level", F.lit(0)).select("level", "node", "n", "digest").unionByName(cut(above))
+
+
+def _unlike(new: DataFrame, saved: DataFrame) -> DataFrame:
+    """Nodes of `new` that are not as saved."""
+    there = saved.select("level", "node", F.col("n").alias("_n"), F.col("digest").alias("_d"))
+    same = F.col("n").eqNullSafe(F.col("_n")) & F.col("digest").eqNullSafe(F.col("_d"))
+    return new.join(there, ["level", "node"], "left").where(~same).select("level", "node", "n", "digest")
+
+
+def differing_leaves(new: DataFrame, saved: DataFrame) -> DataFrame:
+    """Leaves (node) of the tree `new` that are not as in `saved`. The descent starts at the top and looks only at the
     children of nodes that differ."""
-    found: list[DataFrame] = []
+    found = None
     for level in reversed(range(LEVELS)):
-        here = levels[level]
-        if found:
-            here = here.join(found[0].select(F.col("node").alias("_up")), F.shiftright("node", FAN_BITS) == F.col("_up"), "left_semi")
-        there = saved.where(F.col("level") == level).select("node", F.col("n").alias("_n"), F.col("digest").alias("_digest"))
-        other = ~(F.col("n").eqNullSafe(F.col("_n")) & F.col("digest").eqNullSafe(F.col("_digest")))
-        found.insert(0, here.join(there, "node", "left").where(other).select("node", "n", "digest"))
+        at = lambda df: df.where(F.col("level") == level)  # noqa: B023, E731
+        here = at(new)
+        if found is not None:
+            here = here.join(found.select(F.col("node").alias("_up")), F.shiftright("node", FAN_BITS) == F.col("_up"), "left_semi")
+        found = _unlike(here, at(saved)).select("node")
     return found
 
 
@@ -108,11 +121,8 @@ class IncrementalStore:
         return f"{self.root}/runs/{run}/{what}"
 
     def saved(self) -> tuple[DataFrame, DataFrame, dict]:
-        """State and tree of the last published run, and its manifest; empty before the first."""
-        numbers = self.published()
-        if not numbers:
-            return self.spark.createDataFrame([], STATE), self.spark.createDataFrame([], TREE), {"base": None, "runs": []}
-        manifest = self._manifest(numbers[-1])
+        """State and tree of the last published run, and its manifest."""
+        manifest = self._manifest(self.published()[-1])
         read = self.spark.read
         records, nodes = read.parquet(self._folder(manifest["base"], "state")), read.parquet(self._folder(manifest["base"], "tree"))
         if manifest["runs"]:
@@ -131,20 +141,21 @@ class IncrementalStore:
         numbers = self.published()
         number = int(numbers[-1]) + 1 if numbers else 1
         run = f"{number:010d}-{uuid.uuid4().hex}"
-        old, old_tree, manifest = self.saved()
         incoming = cut(state(rows, key, version))
+        if not numbers:
+            incoming.write.parquet(self._folder(run, "state"))
+            tree(incoming).write.parquet(self._folder(run, "tree"))
+            self._publish(number, {"base": run, "runs": [], "run": run})
+            return self.spark.read.parquet(self._folder(run, "state"))
+        old, old_tree, manifest = self.saved()
         touched = incoming.select(_leaf().alias("_leaf")).distinct()
         near = old.join(touched, _leaf() == F.col("_leaf"), "left_semi")
         current = cut(incoming.unionByName(near).groupBy("key").agg(F.max("version").alias("version")))
-        found = differing(paths(current, old_tree), old_tree)
-        found[0] = cut(found[0])
-        changes(current, old, found[0]).write.parquet(self._folder(run, "output"))
-        changed = found[0].withColumn("level", F.lit(0))
-        for level, nodes in enumerate(found[1:], 1):
-            changed = changed.unionByName(nodes.withColumn("level", F.lit(level)))
-        changed.select("level", "node", "n", "digest").write.parquet(self._folder(run, "changed"))
+        nodes = tree(current, old_tree)
+        changes(current, old, cut(differing_leaves(nodes, old_tree))).write.parquet(self._folder(run, "output"))
+        _unlike(nodes, old_tree).write.parquet(self._folder(run, "changed"))
         out = self.spark.read.parquet(self._folder(run, "output"))
-        if manifest["base"] is None or len(manifest["runs"]) + 1 >= COMPACT_AFTER:
+        if len(manifest["runs"]) + 1 >= COMPACT_AFTER:
             new = self.spark.read.parquet(self._folder(run, "changed"))
             old.unionByName(out).groupBy("key").agg(F.max("version").alias("version")).write.parquet(self._folder(run, "state"))
             old_tree.join(new, ["level", "node"], "left_anti").unionByName(new).write.parquet(self._folder(run, "tree"))

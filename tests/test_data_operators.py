@@ -1,4 +1,3 @@
-import functools
 import json
 import random
 
@@ -204,17 +203,14 @@ def test_changes_by_tree(spark):
     new = dict(old) | {k: 10 for k in rng.sample(sorted(old), 20)} | {k: 1 for k in rng.sample(range(100_000, 2_000_000_000), 10)}
     make = lambda d: merkle.state(spark.createDataFrame([(k, v) for k, v in d.items()] * 2 + [(None, 1), (5_000_000, None)], "id long, rev long"), "id", "rev")
     a, b = cut(make(new)), cut(make(old))
-    nothing = spark.createDataFrame([], merkle.TREE)
-    whole = lambda levels: functools.reduce(lambda x, y: x.unionByName(y), [x.withColumn("level", F.lit(i)) for i, x in enumerate(levels)])
-    saved = cut(whole(merkle.paths(b, nothing)).select("level", "node", "n", "digest"))
-    found = merkle.differing(merkle.paths(a, saved), saved)
-    assert rows(merkle.changes(a, b, found[0])) == sorted(((k, v) for k, v in new.items() if old.get(k, -1) < v), key=repr)
-    assert [x.count() for x in found][0] <= 30 and found[-1].count() <= 3
-    assert merkle.differing(merkle.paths(b, saved), saved)[0].count() == 0
-    # A tree over some of the leaves and the saved others is that over all.
+    saved = cut(merkle.tree(b))
+    found = merkle.differing_leaves(merkle.tree(a, saved), saved)
+    assert rows(merkle.changes(a, b, found)) == sorted(((k, v) for k, v in new.items() if old.get(k, -1) < v), key=repr)
+    assert found.count() <= 30 and merkle.differing_leaves(merkle.tree(b, saved), saved).count() == 0
+    # The nodes above some of the leaves, made of the saved ones, are those of a whole new tree.
     touched = [k >> merkle.LEAF_BITS for k, v in new.items() if old.get(k) != v]
-    some = merkle.paths(a.where((F.shiftright("key", merkle.LEAF_BITS)).isin(touched)), saved)
-    assert set(rows(some[-1])) <= set(rows(merkle.paths(a, nothing)[-1]))
+    some = merkle.tree(a.where((F.shiftright("key", merkle.LEAF_BITS)).isin(touched)), saved)
+    assert set(rows(some)) <= set(rows(merkle.tree(a))) and some.where("level = 4").count() >= 1
 
 
 def test_store_survives_a_failed_run(spark, tmp_path, monkeypatch):
@@ -264,9 +260,7 @@ def test_store_writes_changes_and_is_compacted(spark, tmp_path, monkeypatch):
             assert spark.read.parquet(store._folder(last, "changed")).where("level = 0").count() <= len(want)
     records, nodes, manifest = store.saved()
     assert dict(map(tuple, records.collect())) == held and len(store._names("runs")) <= 6 and store._names("runs")[0].startswith("0000000004")
-    fresh = merkle.paths(records, spark.createDataFrame([], merkle.TREE))
-    for level, x in enumerate(fresh):
-        assert rows(x, "node", "n", "digest") == rows(nodes.where(F.col("level") == level), "node", "n", "digest")
+    assert rows(merkle.tree(records), "level", "node", "n", "digest") == rows(nodes, "level", "node", "n", "digest")
 
 
 # Orphans
