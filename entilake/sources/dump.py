@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from entilake.functions.text import unquote_entities
 from entilake.operators.revisions import entity_pages, union_sources
 
 #: Layout of a data folder (fixed values): folder and file of full dumps with history, of current dumps, and of dailies.
@@ -106,7 +107,9 @@ def latest_entities(revisions: DataFrame, mode: str = "first_block", max_date: s
 PARTS = "label string, description string, aliases string, links string, claims string, datatype string"
 
 
-def entity_contents(entities: DataFrame) -> DataFrame:
-    """Contents of latest entities as texts per part: label, description, aliases, links, claims, datatype."""
-    parsed = F.from_json("content", PARTS)
-    return entities.withColumn("_c", parsed).select("entity", "entity_id", "is_item", F.col("rev_id").alias("rev"), "ts", "_c.*")
+def entity_contents(entities: DataFrame, *more: str) -> DataFrame:
+    """Contents of entities as texts per part: label, description, aliases, links, claims, datatype; with columns `more`.
+    A content in which `&quot;` stands for all quotes is decoded first; one that is no JSON has only NULL parts."""
+    text = F.when(F.col("content").rlike(r"^\s*\{\s*&quot;"), unquote_entities(F.col("content"))).otherwise(F.col("content"))
+    parsed = F.from_json(text, PARTS)
+    return entities.withColumn("_c", parsed).select("entity", "entity_id", "is_item", F.col("rev_id").alias("rev"), "ts", *more, "_c.*")

@@ -1,5 +1,6 @@
 import bz2
 import datetime as dt
+import gzip
 import json
 
 import pytest
@@ -15,7 +16,7 @@ from entilake.operators.registry import Registry
 from entilake.session import cut
 from entilake.sources import dump
 from entilake.sources.claims import claim_list
-from entilake.sources.side_inputs import property_types, read_bots
+from entilake.sources.side_inputs import property_types, read_bots, read_max_revision, read_seed_types
 from entilake.streaming import ingest
 
 
@@ -242,6 +243,58 @@ def test_command_line(spark, data, tmp_path):
     assert "@prefix w:" in whole and "w:P1v\tw:Q2" in whole and "# * 2 entities" in whole and "### Export completed successfully. The End. ###" in whole and "#,1,wikibase-item,1,0,0" in whole and "w:P1s\ta\to:ObjectProperty ." in whole
 
 
+def test_edits_and_lines_in_one_pass(spark, data, tmp_path):
+    out = str(tmp_path / "out")
+    paths = cli.main(["--data", str(data), "--out", out, "edits", "--kb", "--debug"], spark)
+    assert [p.rsplit("/", 1)[1] for p in paths] == [f"{n}-20130202" for n in ("edits", "edits-by-user", "kb", "debug")]
+    lines = [r[0] for r in spark.read.text(paths[2]).collect()]
+    assert "Q1 label {en:five} ." in lines and not any(x.startswith("Q2") for x in lines)
+    assert [r[0] for r in spark.read.text(paths[2] + "-end").collect()] == ["# 20130202"]
+    assert "Q1 (seen before): rev 1 (2013-01-01T00:00:00Z) edited by Bot & Co (IP: false)" in [r[0] for r in spark.read.text(paths[3]).collect()]
+
+
+def test_history_from_dumps(spark, data, tmp_path):
+    out = str(tmp_path / "out")
+    args = ["--data", str(data), "--out", out, "history", "--info"]
+    stats, props, sums = cli.main(args, spark)
+    bucket = lambda day: (dt.date.fromisoformat(day) - dt.date(2012, 1, 1)).days // 14 * 14 + 13
+    first, second = bucket("2013-01-02"), bucket("2013-02-01")
+    items = spark.read.parquet(f"{stats}/v=1")
+    assert rows(items, "id", "rev", "day", "stat_num", "label_num", "link_num") == [(1, 2, first, 1, 1, 0), (1, 5, second, 1, 1, 0), (2, 3, first, 1, 1, 0)]
+    info = items.where("rev = 5").first()
+    assert json.loads(info["propinfo"]) == {"m": {"P1": 1}} and json.loads(info["langinfo"]) == {"label": ["en"], "description": [], "aliases": {}}
+    assert rows(spark.read.parquet(f"{props}/v=1"), "id", "rev", "day", "label_num") == [(1, 6, second, 0)]
+    day = lambda b: (dt.date(2012, 1, 1) + dt.timedelta(b)).isoformat()
+    text_ = [r[0] for r in spark.read.text(sums).collect()]
+    assert text_ == ["date,total items,changed items,statements,statements w refs,statements w qualifiers,labels,descriptions,links,aliases,items with statements", f"{day(first)},2,2,2,0,0,2,0,0,0,2", f"{day(second)},2,1,2,0,0,2,0,0,0,2"]
+    again = cli.main(args, spark)
+    assert rows(spark.read.parquet(f"{again[0]}/v=2")) == rows(items) and [r[0] for r in spark.read.text(again[2]).collect()] == text_
+    plain, _ = snapshots.content_snapshots(dump.first_seen(dump.read_dumps(spark, dump.plan_files(spark, str(data)))))
+    assert rows(plain.select("propinfo", "langinfo").distinct()) == [(None, None)]
+
+
+def test_entities_as_stored(spark, data, tmp_path):
+    out = str(tmp_path / "out")
+    args = ["--data", str(data), "--out", out, "store"]
+    items, properties = cli.main(args, spark)
+    got = rows(spark.read.parquet(f"{items}/v=1"))
+    assert got == [(1, 5, '[{"m":["R",1,2]}]', None, '{"en":"five"}', "{}", "{}")]
+    assert rows(spark.read.parquet(f"{properties}/v=1"), "id", "rev", "claims", "datatype") == [(1, 6, "[]", "wikibase-item")]
+    for _ in range(3):
+        cli.main(args, spark)
+    assert rows(spark.read.parquet(f"{items}/v=4")) == got and sorted(x.name for x in (tmp_path / "out" / "items").iterdir() if x.name.startswith("v=")) == ["v=3", "v=4"]
+
+
+def test_seed_types_and_site_statistics(spark, data, tmp_path):
+    seed, stats = tmp_path / "seed.csv", tmp_path / "site_stats.sql.gz"
+    seed.write_text("property_id,datatype\n1,Time\n3,commonsmedia\n4,other\n,url\n")
+    assert rows(read_seed_types(spark, str(seed))) == [(1, "time"), (3, "commonsMedia")] and read_seed_types(spark, None) is None
+    _, types = cli.entities_of(dump.read_dumps(spark, dump.plan_files(spark, str(data))), read_seed_types(spark, str(seed)))
+    assert rows(types) == [(1, "wikibase-item"), (3, "commonsMedia")]
+    stats.write_bytes(gzip.compress(b"-- dump\nINSERT INTO `site_stats` VALUES (1,77,250123456,3,4);\n"))
+    assert read_max_revision(spark, str(stats)) == 250123456 and read_max_revision(spark, str(seed)) is None
+
+
 def test_stream_equals_batch_and_resumes(spark, data, tmp_path):
     args = (str(data), str(tmp_path / "store"), str(tmp_path / "offsets"), 1)
     (data / "held").mkdir()
@@ -262,8 +315,10 @@ def test_consumers_share_a_scan(spark):
     registry.register("even", lambda df: df.where("id % 2 = 0"))
     with pytest.raises(ValueError):
         registry.register("n", lambda df: df)
+    told, closed = [], []
+    registry.register("seen", lambda df: df, lambda r: told.append(r.count()) or "five", lambda r: closed.append(rows(r)[0]))
     found = registry.run(spark.range(5))
-    assert rows(found["n"]) == [(5,)] and rows(found["even"]) == [(0,), (2,), (4,)]
+    assert rows(found["n"]) == [(5,)] and rows(found["even"]) == [(0,), (2,), (4,)] and told == [5] and closed == [(0,)]
 
 
 def test_checkpoints_cut_the_plan(spark):
