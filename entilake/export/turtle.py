@@ -55,22 +55,23 @@ def _field(name: str) -> Column:
 
 
 def value_key() -> Column:
-    """Local name of a value's node: prefix and hash of the value; the same value has the same name everywhere."""
+    """Local name of a value's node: prefix and hash of the value; the same value has the same name everywhere. NULL without
+    a value."""
     name = F.when(F.col("datatype") == "time", F.concat_ws("|", "time", "time_precision", F.coalesce(_field("calendarmodel"), F.lit("")))).otherwise(F.col("value"))
     prefix = F.try_element_at(dims.literal_map({t: p for t, (p, _) in VALUE_NODES.items()}), F.col("datatype"))
-    return F.concat(F.lit("w:"), prefix, text.local_hash(name))
+    return F.when(F.col("value").isNotNull(), F.concat(F.lit("w:"), prefix, text.local_hash(name)))
 
 
 def snak_object(spec: ExportSpec) -> Column:
     """STRUCT<p, o> of a snak in its context: a value, a restriction for some value, a complement for no value, or the mark
-    of an incomplete export where the snak is filtered out or not understood."""
+    of an incomplete export where the snak is filtered out or not understood, as a text for a property of quantities."""
     prop = F.concat(F.lit("w:P"), F.col("property_id").cast("string"), F.col("context"))
     value = (
         F.when(F.col("datatype") == "wikibase-item", F.concat(F.lit("w:Q"), F.trim("entity_id")))
         .when(F.col("datatype") == "commonsMedia", F.concat(F.lit("<http://commons.wikimedia.org/wiki/File:"), text.quote_path(text.page_name(F.col("value"))), F.lit(">")))
         .when(F.col("datatype") == "url", F.concat(F.lit("<"), text.quote_url(F.col("value")), F.lit(">")))
         .when(F.col("datatype") == "string", text.string_literal(F.col("value")))
-        .when(F.col("datatype").isin(*VALUE_NODES), value_key())
+        .when(F.try_element_at(dims.literal_map(dims.TYPE_OF_VALUE), F.col("vtype")) == F.col("datatype"), value_key())
     )
     some = F.concat(F.lit("[ a o:Restriction; o:onProperty "), prop, F.lit("; o:someValuesFrom "), F.col("property_range"), F.lit(" ]"))
     filler = F.when(F.col("property_range") == "o:Thing", "o:Thing").otherwise("rs:Literal")

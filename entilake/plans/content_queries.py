@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entilake.functions import dims, text, times
-from entilake.operators import entities, revisions
+from entilake.operators import entities, revisions, snapshots
 from entilake.operators.wide import VALUE_KIND, fits
+from entilake.sources import side_inputs
 from entilake.sources.claims import SNAK_PATHS, claim_labels, claim_list, claim_nodes
 from entilake.sources.tables import current_rows, table
 
@@ -112,6 +113,26 @@ def snak_sequence(spark: SparkSession, d: str) -> DataFrame:
     return revisions.consecutive_groups(rows, "id", ["claim_no"], "property_id")
 
 
+def property_roles(spark: SparkSession, d: str) -> DataFrame:
+    """Uses of each property in each item by role: main, qualifier or reference."""
+    return snapshots.property_roles(_items(spark, d, "claims"), ["id"])
+
+
+def compact_snaks(spark: SparkSession, d: str) -> DataFrame:
+    """The snaks of the claims in compact form, to be the same as those of the claims as they came."""
+    compact = entities.compact_claims(_items(spark, d, "claims"), ["id"], "claims", claim_list)
+    nodes = claim_nodes(compact, ["id"], "compact_claims", only=SNAK_PATHS)
+    at = F.array_join(F.transform("dewey", lambda x: x.cast("string")), ".")
+    return nodes.select("id", "path", at.alias("snak_label"), "kind", "property_id", "vtype", "entity_id", "amount", "time", "time_precision")
+
+
+def property_types_with_seed(spark: SparkSession, d: str) -> DataFrame:
+    """Types of properties: the declared ones, and for all others met in claims those of their values as a seed list, the
+    first by name where values differ."""
+    seed = _snaks(spark, d).where("kind = 'value' and property_id is not null and snak_type is not null").select("property_id", F.col("snak_type").alias("datatype")).distinct()
+    return side_inputs.property_types(_types(spark, d), seed)
+
+
 def reduced_terms(spark: SparkSession, d: str) -> DataFrame:
     rows = _items(spark, d, "label", "description")
     return rows.select("id", entities.reduced_map(F.col("label")).alias("label"), entities.reduced_map(F.col("description")).alias("description"))
@@ -123,13 +144,13 @@ def compact_claims(spark: SparkSession, d: str) -> DataFrame:
 
 
 def time_literals(spark: SparkSession, d: str) -> DataFrame:
-    rows = claim_nodes(_items(spark, d, "claims"), ["id"], only=["main"]).where("vtype = 'time' and time is not null")
+    rows = claim_nodes(_items(spark, d, "claims"), ["id"], only=SNAK_PATHS).where("vtype = 'time' and time is not null")
     literal = times.time_literal(F.col("time"), F.col("time_precision"))
     return rows.groupBy("time", "time_precision").agg(F.count("*").alias("n")).withColumn("literal", literal)
 
 
 def coordinate_literals(spark: SparkSession, d: str) -> DataFrame:
-    rows = claim_nodes(_items(spark, d, "claims"), ["id"], only=["main"]).where("vtype = 'globecoordinate' and latitude is not null")
+    rows = claim_nodes(_items(spark, d, "claims"), ["id"], only=SNAK_PATHS).where("vtype = 'globecoordinate' and latitude is not null")
     return rows.select("id", "latitude", text.float_literal(F.col("latitude")).alias("literal")).distinct()
 
 
@@ -190,16 +211,29 @@ _TYPED = """types AS (SELECT id AS property_id, CASE lower(trim(datatype)) {case
 )
 _DECODED = """decoded AS (SELECT *, json_extract_string(s, '$[0]') AS tag, try_cast(json_extract_string(s, '$[1]') AS INT) AS property_id,
  CASE json_extract_string(s, '$[0]') WHEN 'value' THEN json_extract_string(s, '$[2]') WHEN 'R' THEN 'wikibase-entityid' WHEN 'S' THEN 'string' WHEN 'T' THEN 'time' END AS vtype FROM snaks)"""
-_SNAKS = f"""{claims_cte()}, {_TYPED}, {_DECODED}, full_snaks AS (SELECT decoded.*, datatype, CASE snak_place WHEN 'm' THEN 'v' ELSE snak_place END AS context,
- CASE WHEN tag NOT IN ('value', 'R', 'S', 'T') THEN datatype WHEN vtype = 'string' THEN coalesce(datatype, 'string') ELSE CASE vtype {" ".join(f"WHEN '{v}' THEN '{t}'" for v, t in dims.TYPE_OF_VALUE.items())} END END AS snak_type
+def snaks_sql(name: str = "wb_items") -> str:
+    """Common table expressions up to full_snaks: decoded snaks with context, declared and own datatype."""
+    own = " ".join(f"WHEN '{v}' THEN '{t}'" for v, t in dims.TYPE_OF_VALUE.items())
+    return f"""{claims_cte(name)}, {_TYPED}, {_DECODED}, full_snaks AS (SELECT decoded.*, datatype, CASE snak_place WHEN 'm' THEN 'v' ELSE snak_place END AS context,
+ CASE WHEN tag NOT IN ('value', 'R', 'S', 'T') THEN datatype WHEN vtype = 'string' THEN coalesce(datatype, 'string') ELSE CASE vtype {own} END END AS snak_type
  FROM decoded LEFT JOIN types USING (property_id))"""
+
+
+_SNAKS = snaks_sql()
 _SITE_TAG = "CASE lang {} ELSE CASE WHEN regexp_full_match(lang, '[a-z]{{2,3}}') AND NOT regexp_full_match(lang, 'q[a-t][a-z]') THEN lang END END".format(" ".join(f"WHEN '{c}' THEN '{t}'" for c, t in dims.LANGUAGE_TAGS.items()))
 _OWN = f"(regexp_full_match(lang, '[a-z][a-z]') AND lang NOT IN ({', '.join(repr(x) for x in dims.NO_TAGS)})) OR lang IN ({', '.join(repr(x) for x in dims.OWN_TAGS)})"
 _TAG = "CASE lang {} ELSE CASE WHEN {own} THEN lang END END".format(" ".join(f"WHEN '{c}' THEN '{t}'" for c, t in dims.LANGUAGE_TAGS.items()), own=_OWN)
-_TERMS = f"""{_current('wb_items')}, lab AS (SELECT eid AS id, 'label' AS term_kind, j.key AS lang, j.type, j.value FROM (SELECT id AS eid, label AS x FROM cur WHERE json_valid(label) AND json_type(label) = 'OBJECT') , json_each(x) AS j
+
+
+def terms_sql(name: str = "wb_items") -> str:
+    """Common table expressions up to terms(id, term_kind, lang, text)."""
+    return f"""{_current(name)}, lab AS (SELECT eid AS id, 'label' AS term_kind, j.key AS lang, j.type, j.value FROM (SELECT id AS eid, label AS x FROM cur WHERE json_valid(label) AND json_type(label) = 'OBJECT') , json_each(x) AS j
  UNION ALL SELECT eid, 'description', j.key, j.type, j.value FROM (SELECT id AS eid, description AS x FROM cur WHERE json_valid(description) AND json_type(description) = 'OBJECT'), json_each(x) AS j),
  al AS (SELECT eid AS id, j.key AS lang, unnest(json_extract(j.value, '$[*]')) AS value FROM (SELECT id AS eid, aliases AS x FROM cur WHERE json_valid(aliases) AND json_type(aliases) = 'OBJECT'), json_each(x) AS j),
  terms AS (SELECT id, term_kind, lang, CASE WHEN type = 'VARCHAR' THEN json_extract_string(value, '$') END AS text FROM lab UNION ALL SELECT id, 'alias', lang, CASE WHEN json_type(value) = 'VARCHAR' THEN json_extract_string(value, '$') END FROM al)"""
+
+
+_TERMS = terms_sql()
 _LINKS = f"""{_current('wb_items')}, links AS (SELECT eid AS id, j.key AS site, CASE WHEN j.type = 'VARCHAR' THEN json_extract_string(j.value, '$') ELSE json_extract_string(j.value, '$.name') END AS page
  FROM (SELECT id AS eid, links AS x FROM cur WHERE json_valid(links) AND json_type(links) = 'OBJECT'), json_each(x) AS j)"""
 _QUOTE = "replace(replace(url_encode({x}), '%2F', '/'), '~', '%7E')"
@@ -254,10 +288,31 @@ _P1 = """o AS (SELECT id, wd_day, max(rev) AS rev FROM itemrevstats WHERE stat_n
  dim AS (SELECT id, stat_num, wd_day AS from_day, lead(wd_day) OVER (PARTITION BY id ORDER BY wd_day) - 1 AS to_day FROM s)"""
 
 
+_PATH = "CASE snak_place WHEN 'm' THEN 'main' WHEN 'q' THEN 'qualifier' ELSE 'reference_snak' END"
+_AT = "CASE snak_place WHEN 'm' THEN claim_no || '.0' WHEN 'q' THEN claim_no || '.1.' || snak_no ELSE claim_no || '.2.' || group_no || '.' || snak_no END"
+_UP = "CASE snak_place WHEN 'r' THEN claim_no || '.2.' || group_no ELSE CAST(claim_no AS VARCHAR) END"
+_KIND = "CASE WHEN tag IN ('value', 'R', 'S', 'T') THEN 'value' ELSE tag END"
+#: The parts of a snak's value as texts.
+_PARTS = ", ".join(
+    [
+        """CASE tag WHEN 'R' THEN 'item' WHEN 'value' THEN json_extract_string(s, '$[3]."entity-type"') END AS entity_kind""",
+        """CASE tag WHEN 'R' THEN json_extract_string(s, '$[2]') WHEN 'value' THEN json_extract_string(s, '$[3]."numeric-id"') END AS entity_id""",
+        *[f"CASE tag WHEN 'value' THEN json_extract_string(s, '$[3].{x}') END AS {x}" for x in ("amount", "latitude", "longitude")],
+        "CASE tag WHEN 'T' THEN json_extract_string(s, '$[3]') WHEN 'value' THEN json_extract_string(s, '$[3].time') END AS time",
+        "CASE tag WHEN 'T' THEN json_extract_string(s, '$[2]') WHEN 'value' THEN json_extract_string(s, '$[3].precision') END AS time_precision",
+    ]
+)
+
+
+def _reduced(column: str) -> str:
+    pairs = f"(SELECT string_agg(CAST(to_json(j.key) AS VARCHAR) || ':' || CASE WHEN j.key = 'en' THEN CAST(j.value AS VARCHAR) ELSE '1' END, ',' ORDER BY j.key) FROM json_each(cur.{column}) j)"
+    return f"CASE WHEN json_valid({column}) AND json_type({column}) = 'OBJECT' THEN '{{' || coalesce({pairs}, '') || '}}' ELSE '{{}}' END"
+
+
 def oracle_sql() -> dict[str, str]:
     year = "try_cast(regexp_extract(time, '^([+-]?\\d+)-(\\d\\d)-(\\d\\d)', 1) AS BIGINT)"
     part = lambda k: f"regexp_extract(time, '^([+-]?\\d+)-(\\d\\d)-(\\d\\d)', {k})"
-    in_place = "(SELECT id, tag, s, vtype, json_extract_string(s, '$[3].latitude') AS latitude FROM decoded WHERE snak_place = 'm')"
+    in_place = "(SELECT id, tag, s, vtype, json_extract_string(s, '$[3].latitude') AS latitude FROM decoded)"
     sites = " ".join(f"WHEN '{s}' THEN '{t}'" for s, t in dims.SITE_TAGS.items())
     prefix = "CASE WHEN site = 'commonswiki' THEN 'http://commons.wikimedia.org/wiki/' WHEN site LIKE '%wikivoyage' THEN 'http://' || replace(left(site, -10), '_', '-') || '.wikivoyage.org/wiki/' WHEN site LIKE '%wiki' THEN 'http://' || replace(left(site, -4), '_', '-') || '.wikipedia.org/wiki/' END"
     versions = f"WITH {_P1} SELECT id, stat_num, from_day, to_day, to_day IS NULL AS is_current FROM dim"
@@ -277,6 +332,11 @@ def oracle_sql() -> dict[str, str]:
         "p5_found": f"WITH {claims_cte()} SELECT id, claim_no, snak_place, group_no, snak_no FROM snaks",
         "p5_claims": f"WITH {claims_cte()} SELECT id, CAST(claim_no AS VARCHAR) AS claim_label, json_extract_string(c, '$.g') AS guid, json_extract_string(c, '$.rank') AS rank FROM claims",
         "p5_references": f"WITH {claims_cte()} SELECT id, claim_no || '.2.' || group_no AS reference_label, CAST(claim_no AS VARCHAR) AS claim_label FROM groups",
+        "p5_snaks_decoded": f"WITH {claims_cte()}, {_DECODED} SELECT id, {_PATH} AS path, {_AT} AS snak_label, {_UP} AS parent_label, {_KIND} AS kind, property_id, vtype, {_PARTS} FROM decoded",
+        "compact_snaks": f"WITH {claims_cte()}, {_DECODED}, x AS (SELECT id, {_PATH} AS path, {_AT} AS snak_label, {_KIND} AS kind, property_id, vtype, {_PARTS} FROM decoded) SELECT id, path, snak_label, kind, property_id, vtype, entity_id, amount, time, time_precision FROM x",
+        "property_roles": f"WITH {claims_cte()}, {_DECODED} SELECT id, property_id, snak_place AS role, count(*) AS n FROM decoded WHERE property_id IS NOT NULL GROUP BY ALL",
+        "property_types_with_seed": f"WITH {_SNAKS}, seed AS (SELECT property_id, min(snak_type) AS t FROM full_snaks WHERE tag IN ('value', 'R', 'S', 'T') AND property_id IS NOT NULL AND snak_type IS NOT NULL GROUP BY 1), known AS (SELECT * FROM types WHERE datatype IS NOT NULL) SELECT property_id, coalesce(datatype, t) AS datatype FROM known FULL JOIN seed USING (property_id)",
+        "reduced_terms": f"WITH {_current('wb_items')} SELECT id, {_reduced('label')} AS label, {_reduced('description')} AS description FROM cur",
         "p6_found": f"WITH {_MISSING} SELECT DISTINCT src_table, src_id, target_kind, missing_id FROM missing WHERE missing_id IS NOT NULL",
         "p6_impossible": f"WITH r AS ({_refs('wb_items')} UNION ALL {_refs('wb_properties')}) SELECT DISTINCT src_table, src_id, target_kind, digits AS missing_digits FROM r WHERE missing_id IS NULL",
         "p6_by_month": rf"""WITH {_MISSING}, stamps AS (SELECT rev_id, delivered_at, CASE WHEN regexp_full_match(rev_timestamp, '\d{{4}}-\d\d-\d\d[T ]\d\d:\d\d:\d\d(Z|\+00:00)?') THEN try_cast(replace(substr(rev_timestamp, 1, 19), 'T', ' ') AS TIMESTAMP) END AS ts FROM revision),
@@ -296,7 +356,7 @@ def oracle_sql() -> dict[str, str]:
         "property_types": f"WITH {_TYPED} SELECT property_id, datatype, CASE WHEN datatype = 'string' THEN 'x:string' ELSE 'o:Thing' END AS property_range FROM types",
         "size_totals": f"WITH {_current('wb_items')} SELECT count(*) AS entities, {', '.join(f'CAST(coalesce(sum(length({c})), 0) AS BIGINT) AS {c}_chars' for c in ('claims', 'links', 'label', 'aliases', 'description'))} FROM cur",
         "snak_sequence": f"WITH {claims_cte()}, {_DECODED}, m AS (SELECT id, claim_no, property_id, CASE WHEN row_number() OVER w > 1 AND property_id IS DISTINCT FROM lag(property_id) OVER w THEN 1 ELSE 0 END AS ch FROM decoded WHERE snak_place = 'm' WINDOW w AS (PARTITION BY id ORDER BY claim_no)) SELECT id, claim_no, property_id, CAST(sum(ch) OVER (PARTITION BY id ORDER BY claim_no) AS INT) AS group_no FROM m",
-        "time_literals": f"""WITH {claims_cte()}, {_DECODED}, x AS (SELECT CASE tag WHEN 'T' THEN json_extract_string(s, '$[3]') ELSE json_extract_string(s, '$[3].time') END AS time, CASE tag WHEN 'T' THEN json_extract_string(s, '$[2]') ELSE json_extract_string(s, '$[3].precision') END AS time_precision FROM decoded WHERE snak_place = 'm' AND vtype = 'time'),
+        "time_literals": f"""WITH {claims_cte()}, {_DECODED}, x AS (SELECT CASE tag WHEN 'T' THEN json_extract_string(s, '$[3]') ELSE json_extract_string(s, '$[3].time') END AS time, CASE tag WHEN 'T' THEN json_extract_string(s, '$[2]') ELSE json_extract_string(s, '$[3].precision') END AS time_precision FROM decoded WHERE vtype = 'time'),
  y AS (SELECT time, time_precision, count(*) AS n, {year} AS y, try_cast(time_precision AS INT) AS p FROM x WHERE time IS NOT NULL GROUP BY ALL), z AS (SELECT *, CASE WHEN y = 0 OR (y < 0 AND p >= 9) THEN -1 ELSE y END AS yy FROM y)
  SELECT time, time_precision, n, CASE WHEN y IS NULL THEN '{times.FALLBACK}' WHEN p = 11 THEN '"' || printf(CASE WHEN yy < 0 THEN '%05d' ELSE '%04d' END, yy) || '-' || {part(2)} || '-' || {part(3)} || '"^^x:date' WHEN p = 10 THEN '"' || printf(CASE WHEN yy < 0 THEN '%05d' ELSE '%04d' END, yy) || '-' || {part(2)} || '"^^x:gYearMonth'
  WHEN p <= 9 THEN '"' || printf(CASE WHEN yy < 0 THEN '%05d' ELSE '%04d' END, yy) || '"^^x:gYear' ELSE '"' || time || '"^^x:dateTime' END AS literal FROM z""",
@@ -309,4 +369,4 @@ def oracle_sql() -> dict[str, str]:
 
 def queries() -> dict:
     names = [n for n in oracle_sql() if n in globals()]
-    return {n: globals()[n] for n in [*names, "reduced_terms", "compact_claims"]}
+    return {n: globals()[n] for n in [*names, "compact_claims"]}

@@ -181,6 +181,14 @@ def p5_snaks(spark: SparkSession, d: str) -> DataFrame:
     return nodes.withColumn("_parent", parent).select("id", "path", _label("dewey").alias("snak_label"), _label("_parent").alias("parent_label"), "kind", "property_id", "vtype", "value")
 
 
+def p5_snaks_decoded(spark: SparkSession, d: str) -> DataFrame:
+    """The snaks with the parts of their values instead of the values as JSON."""
+    nodes = _nodes(spark, d, *SNAK_PATHS)
+    parent = F.when(F.col("path") == "reference_snak", F.slice("dewey", 1, 3)).otherwise(F.slice("dewey", 1, 1))
+    parts = ["kind", "property_id", "vtype", "entity_kind", "entity_id", "amount", "latitude", "longitude", "time", "time_precision"]
+    return nodes.withColumn("_parent", parent).select("id", "path", _label("dewey").alias("snak_label"), _label("_parent").alias("parent_label"), *parts)
+
+
 def _references(spark: SparkSession, d: str) -> DataFrame:
     """(is_property, src_id, src_rev, target_kind, missing_id, beyond): distinct references of the current claims by a whole
     numeric-id. beyond: the digits of an id that no BIGINT holds, missing_id is NULL then."""
@@ -239,5 +247,5 @@ def p6_by_month(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    names = ("p1_found", "p1_versions", "p1_merged_in_batches", "p2_found", "p2_wide", "p2_cells", "p2_set_apart", "p2_set_apart_places", "p2_balance", "p3_found", "p3_since_success", "p5_found", "p5_claims", "p5_references", "p5_snaks", "p6_found", "p6_impossible", "p6_by_month")
+    names = ("p1_found", "p1_versions", "p1_merged_in_batches", "p2_found", "p2_wide", "p2_cells", "p2_set_apart", "p2_set_apart_places", "p2_balance", "p3_found", "p3_since_success", "p5_found", "p5_claims", "p5_references", "p5_snaks", "p5_snaks_decoded", "p6_found", "p6_impossible", "p6_by_month")
     return {n: globals()[n] for n in names}

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from entilake.functions.days import bucket_end, date_of, date_text, day_date, day_index, parse_timestamp
-from entilake.operators import edits, revisions, snapshots, store
+from entilake.operators import edits, entities, revisions, snapshots, store
 from entilake.sources.tables import table
 
 MAX_DATE = "2013-09-01T00:00:00Z"
@@ -147,6 +147,22 @@ def historic_running_totals(spark: SparkSession, d: str) -> DataFrame:
     return snapshots.running_totals(snapshots.period_deltas(_snapshots(spark, d)))
 
 
+def historic_sums(spark: SparkSession, d: str) -> DataFrame:
+    """The report of historic sums with its own column names."""
+    return snapshots.historic_sums(_snapshots(spark, d))
+
+
+def term_snapshots(spark: SparkSession, d: str) -> DataFrame:
+    """Snapshot rows with the counts of terms: the stored contents whose revision has a day, the highest revision of each bucket,
+    upserted into those of even revisions."""
+    stored = table(spark, d, "wb_items", "id", "rev", "label", "aliases", "description").where("id is not null and rev is not null")
+    days = _dated(spark, d).where("edit_date is not null").select(F.col("rev_id").alias("rev"), bucket_end(day_index(F.col("edit_date"))).alias("day"))
+    dated = stored.withColumn("rev", F.col("rev").cast("bigint")).join(days, "rev")
+    counts = entities.counts_of(dated, ["id", "day", "rev"]).select("id", "day", "rev", "label_num", "desc_num", "alias_num").distinct()
+    one = lambda rows: revisions.latest(rows, ["id", "day"], "rev").select("id", "day", "rev", "label_num", "desc_num", "alias_num")
+    return store.upsert(one(counts.where("rev % 2 = 0")), one(counts.where("rev % 2 <> 0")), ["id", "day"], "rev")
+
+
 def snapshot_days(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "itemrevstats", "wd_day").where("wd_day is not null").distinct().orderBy("wd_day")
 
@@ -199,6 +215,13 @@ _DELTA = f"""{_SNAP}, steps AS (SELECT wd_day, CASE WHEN lag(1) OVER w IS NULL T
  deltas AS (SELECT wd_day, count(*) AS changed_items, CAST(sum(fresh) AS BIGINT) AS new_items, {", ".join(f"CAST(sum({m}) AS BIGINT) AS {m}" for m in snapshots.MEASURES)}, CAST(sum(has_some) AS BIGINT) AS with_statements FROM steps GROUP BY wd_day)"""
 
 
+def _size(c: str) -> str:
+    return f"CASE WHEN json_valid({c}) AND json_type({c}) = 'OBJECT' THEN CAST(len(json_keys({c})) AS INT) ELSE 0 END"
+
+
+_ALIASES = "CASE WHEN json_valid(aliases) AND json_type(aliases) = 'OBJECT' THEN CAST(coalesce(list_sum(list_transform(json_extract(aliases, '$.*'), lambda x: len(json_extract(x, '$[*]')))), 0) AS INT) ELSE 0 END"
+
+
 def oracle_sql() -> dict[str, str]:
     day = "CAST(date_diff('day', DATE '2012-01-01', edit_date) AS INT)"
     run = lambda c, n: f"CAST(sum({c}) OVER (ORDER BY wd_day) AS BIGINT) AS {n}"
@@ -225,6 +248,9 @@ def oracle_sql() -> dict[str, str]:
         "period_changes": f"WITH {_DELTA} SELECT wd_day, changed_items, new_items FROM deltas",
         "period_deltas": f"WITH {_DELTA} SELECT * FROM deltas",
         "historic_running_totals": f"WITH {_DELTA} SELECT strftime(DATE '2012-01-01' + wd_day, '%Y-%m-%d') AS date, {run('new_items', 'total_items')}, changed_items, {', '.join(run(c, n) for c, n in snapshots.MEASURES.items())}, {run('with_statements', 'items_with_statements')} FROM deltas",
+        "historic_sums": f"""WITH {_DELTA} SELECT strftime(DATE '2012-01-01' + wd_day, '%Y-%m-%d') AS date, {run('new_items', '"total items"')}, changed_items AS "changed items", {', '.join(run(c, '"' + n.replace('_', ' ') + '"') for c, n in snapshots.MEASURES.items())}, {run('with_statements', '"items with statements"')} FROM deltas""",
+        "term_snapshots": f"""WITH {_DATED}, days AS (SELECT rev_id AS rev, CAST(floor({day} / 14.0) * 14 + 13 AS INT) AS day FROM dated WHERE edit_date IS NOT NULL), p AS (SELECT id, day, w.rev, {_size('label')} AS label_num, {_size('description')} AS desc_num, {_ALIASES} AS alias_num FROM wb_items w JOIN days USING (rev)),
+ r AS (SELECT *, row_number() OVER (PARTITION BY id, day ORDER BY rev DESC, label_num DESC, desc_num DESC, alias_num DESC) AS k FROM p) SELECT id, day, CAST(rev AS BIGINT) AS rev, label_num, desc_num, alias_num FROM r WHERE k = 1""",
         "snapshot_days": "SELECT DISTINCT wd_day FROM itemrevstats WHERE wd_day IS NOT NULL ORDER BY 1",
         "previous_snapshot": f"WITH {_SNAP} SELECT id, wd_day, stat_num, lag(wd_day) OVER w AS previous_day, lag(stat_num) OVER w AS previous_stat_num FROM snaps WINDOW w AS (PARTITION BY id ORDER BY wd_day)",
         "replace_snapshots": f"WITH {_SNAP} SELECT id, wd_day, rev, {_MEASURES} FROM snaps",
