@@ -327,8 +327,8 @@ def scored_runs(docs: DataFrame, model: WordModel) -> DataFrame:
                     tokens.clear()
                 return pa.RecordBatch.from_arrays([*batch.slice(done, upto - done).columns[:4], found], schema=schema)
 
-            for i, text in enumerate(batch.column(4)):
-                clean = blanked(text.as_py() or "")
+            for i, text in enumerate(batch.column(4).to_pylist()):
+                clean = blanked(text or "")
                 found = sentence_ends(clean)
                 pieces = [clean[s:e].split() for s, e in zip([0, *found], found)]
                 met += tokens.numbers(list(chain.from_iterable(pieces)))
