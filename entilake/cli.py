@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from entilake.export.csv import write_csv, write_csv_parts
@@ -103,19 +103,27 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> li
     spark = spark or build_session()
     files = plan_files(spark, a.data, a.current, a.max_date)
     log.info("dump %s, %d dailies", files.dump_date, len(files.dailies))
-    revisions = read_dumps(spark, files)
+    rejected = Observation()
+    revisions = read_dumps(spark, files, rejected)
+    paths = run(spark, a, files.latest_date, revisions)
+    log.info("%d revisions could not be parsed", rejected.get["n_rejected"] if files.paths else 0)
+    return paths
+
+
+def run(spark: SparkSession, a: argparse.Namespace, date: str, revisions: DataFrame) -> list[str]:
+    """The command on revisions; returns the paths written."""
     if a.command == "edits":
-        return analyse_edits(revisions, a, files.latest_date, read_bots(spark, a.bots))
+        return analyse_edits(revisions, a, date, read_bots(spark, a.bots))
     if a.command == "store":
         return store_entities(spark, revisions, a.out)
     if a.command == "history":
-        return store_history(spark, revisions, a.out, files.latest_date, a.info)
+        return store_history(spark, revisions, a.out, date, a.info)
     asked = ExportSpec(_list(a.languages), _list(a.sites), _list(a.property_types), not a.no_statements, not a.no_references)
     contents, types = entities_of(revisions, read_seed_types(spark, a.seed_types))
     paths = []
     for name in a.format:
         spec = preset(name, asked)
-        paths.append(f"{a.out}/{result_name(name, files.latest_date, asked)}")
+        paths.append(f"{a.out}/{result_name(name, date, asked)}")
         if name == "kb":
             lines = cut(kb_lines(contents, F.col("title")))
             write_kb(lines, paths[-1])

@@ -15,6 +15,7 @@ def build_session(app: str = "entilake", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     } | conf
     builder = SparkSession.builder.appName(app).config(map=settings)
     return (builder.master(master) if master else builder).getOrCreate()

@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from entilake.functions.text import unquote_entities
@@ -16,8 +21,10 @@ LAYOUT = {"history": ("dump", "pages-meta-history.xml.bz2"), "current": ("curdum
 #: No dump yet, and no bound on dates (fixed values; both compare as texts).
 NO_DUMP, ANY_TIME = "00000000", "ANYTIME"
 
+REVISION = "id BIGINT, timestamp STRING, contributor STRUCT<username: STRING, ip: STRING>, text STRING"
 PAGE = "title STRING, id BIGINT, revision ARRAY<STRUCT<id: BIGINT, timestamp: STRING, contributor: STRUCT<username: STRING, ip: STRING>, text: STRING>>"
-_END = "</page>\n"
+_END, _REVISION_END = "</page>\n", "</revision>\n"
+_WANTED = r"^(Q[0-9]+|Property:P[0-9]+)$"
 
 
 @dataclass(frozen=True)
@@ -59,25 +66,81 @@ def _pages(text: DataFrame) -> DataFrame:
     return wanted.select(F.from_xml(F.concat(body, F.lit("</page>")), PAGE, {"mode": "PERMISSIVE"}).alias("page")).where("page.title is not null")
 
 
-def revisions_of(pages: DataFrame) -> DataFrame:
-    """Revisions as rows: title, entity, entity_id, is_item, rev_id, ts, user_name (empty where hidden), is_ip, content."""
-    each = pages.select(F.col("page.title").alias("title"), F.explode("page.revision").alias("r"))
+def _revision_columns(each: DataFrame) -> DataFrame:
+    """Rows of (title, r) with title, entity, entity_id, is_item, rev_id, ts, user_name (empty where hidden), is_ip, content."""
     flat = each.select("title", F.col("r.id").alias("rev_id"), F.col("r.timestamp").alias("ts"), F.coalesce("r.contributor.ip", "r.contributor.username", F.lit("")).alias("user_name"), F.col("r.contributor.ip").isNotNull().alias("is_ip"), F.col("r.text").alias("content"))
     return entity_pages(flat)
 
 
-def read_dump_file(spark: SparkSession, path: str) -> DataFrame:
-    """Revisions of one file. It is split at page ends, so a compressed file is read by many tasks. Pages cut off at the end
-    of a damaged file are left out; set spark.sql.files.ignoreCorruptFiles to go on after one."""
-    return revisions_of(_pages(spark.read.option("lineSep", _END).text(path)))
+def revisions_of(pages: DataFrame) -> DataFrame:
+    """Revisions of parsed pages as rows, see _revision_columns."""
+    return _revision_columns(pages.select(F.col("page.title").alias("title"), F.explode("page.revision").alias("r")))
+
+
+def _titled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records (path, start, value) with the title of their page: the last one seen in their split. Records before the first
+    title of a split have none; those of pages that are no entities are left out. Texts are not made Python objects."""
+    at, carried = None, pa.scalar(None, pa.string())
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        path, start = batch.column(0).dictionary_encode(), batch.column(1).to_numpy(zero_copy_only=False)
+        place, names = path.indices.to_numpy(), path.dictionary
+        found = pc.struct_field(pc.extract_regex(batch.column(2), r"<title>(?P<t>[^<]*)</title>"), "t")
+        turns = np.flatnonzero((np.diff(place) != 0) | (np.diff(start) != 0)) + 1
+        parts = []
+        for a, b in zip([0, *turns], [*turns, batch.num_rows]):
+            here = (names[place[a]].as_py(), int(start[a]))
+            head = carried if here == at else pa.scalar(None, pa.string())
+            filled = pc.fill_null_forward(pa.concat_arrays([pa.array([head.as_py()], pa.string()), found.slice(a, b - a).cast(pa.string())]))
+            at, carried = here, filled[len(filled) - 1]
+            parts.append(filled.slice(1))
+        title = pa.concat_arrays(parts)
+        kept = pc.fill_null(pc.match_substring_regex(title, _WANTED), True)
+        yield pa.RecordBatch.from_arrays([*batch.columns, title], names=["_path", "_start", "value", "title"]).filter(kept)
+
+
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    """A file as records that end with a revision, with their split; damaged files are read as far as they go."""
+    reader = spark.read.option("lineSep", _REVISION_END).option("ignoreCorruptFiles", "true")
+    return reader.text(path).select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"), "value")
+
+
+def _first_titles(records: DataFrame) -> DataFrame:
+    """(path, start, carried): for each split the last title in the splits before it. One row per split meets in a window."""
+    title = F.regexp_extract("value", r"<title>([^<]*)</title>", 1)
+    last = records.select("_path", "_start", title.alias("_t"), F.monotonically_increasing_id().alias("_i")).groupBy("_path", "_start").agg(F.max_by(F.when(F.col("_t") != "", F.col("_t")), F.when(F.col("_t") != "", F.col("_i"))).alias("_last"))
+    before = W.partitionBy("_path").orderBy("_start").rowsBetween(W.unboundedPreceding, -1)
+    return last.select("_path", "_start", F.last("_last", True).over(before).alias("_carried"))
 
 
-def read_dumps(spark: SparkSession, files: DumpFiles) -> DataFrame:
-    """Revisions of all files with file_rank, 0 for the newest file. Without files, an empty table."""
+def read_dump_file(spark: SparkSession, path: str) -> DataFrame:
+    """Revisions of one file, with rev_id NULL where one cannot be parsed. The file is split at the ends of revisions, so a
+    compressed file is read by many tasks and a page may be of any length. Where a file has more than one split, a first pass
+    finds the title at the start of each."""
+    records = _records(spark, path)
+    titled = records.mapInArrow(_titled, "_path string, _start bigint, value string, title string")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    size = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hadoop).getLen()
+    if size > int(spark._jsparkSession.sessionState().conf().filesOpenCostInBytes()):  # no smaller file is split
+        whole = titled.join(_first_titles(records), ["_path", "_start"], "left")
+        titled = whole.withColumn("title", F.coalesce("title", "_carried")).where(F.col("title").rlike(_WANTED))
+    body = F.regexp_extract("value", r"(?s)(<revision>.*)$", 1)
+    each = titled.where(F.col("title").isNotNull() & F.col("value").contains("<revision>"))
+    parsed = each.select("title", F.from_xml(F.concat(body, F.lit("</revision>")), REVISION, {"mode": "PERMISSIVE"}).alias("r"))
+    return _revision_columns(parsed)
+
+
+def read_dumps(spark: SparkSession, files: DumpFiles, rejected: Observation | None = None) -> DataFrame:
+    """Revisions of all files with file_rank, 0 for the newest file. Without files, an empty table. rejected: gets the number
+    of revisions that could not be parsed (n_rejected), when the result is computed."""
     if not files.paths:
         empty = spark.createDataFrame([], "value string")
         return revisions_of(_pages(empty)).withColumn("file_rank", F.lit(0))
-    return union_sources([read_dump_file(spark, p) for p in files.paths])
+    found = union_sources([read_dump_file(spark, p) for p in files.paths])
+    if rejected is not None:
+        found = found.observe(rejected, F.count_if(F.col("rev_id").isNull()).alias("n_rejected"))
+    return found.where("rev_id is not null")
 
 
 def first_seen(revisions: DataFrame) -> DataFrame:

@@ -2,9 +2,12 @@ import bz2
 import datetime as dt
 import gzip
 import json
+import os
+import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from entilake import cli
@@ -140,6 +143,7 @@ def test_terms_links_and_compact_forms(spark):
 
 def test_snak_texts():
     assert kb.snak_text(["somevalue", 42]) == "P42 +"
+    assert kb.snak_text(["value", 1, "time", {"time": "+1", "precision": 9}]) == 'P1 {"precision": 9, "time": "+1"}'
     assert [kb.snak_text(s) for s in (["novalue", 1], ["R", 1, 2], ["S", 1, "s"], ["value", 1, "quantity", {}], ["value", 1, "wikibase-entityid", {"entity-type": "item", "numeric-id": 2}], None)] == ["P1 -", "P1 Q2", "P1 {s}", "P1 *", "P1 Q2", "P? *"]
     assert kb.claim_text("Q1", {"m": ["R", 1, 2], "q": [["novalue", 3]], "refs": [[["S", 4, "t"]]]}) == "Q1 P1 Q2 (\n  P3 - ,\n  reference {\n    P4 {t} ,\n  },\n ) ."
 
@@ -227,6 +231,44 @@ def test_dump_plan_and_revisions(spark, data):
     assert dump.read_dumps(spark, dump.plan_files(spark, str(data / "nowhere"))).count() == 0
 
 
+@pytest.mark.parametrize("compressed", [False, True])
+def test_pages_of_many_revisions_over_many_splits(spark, tmp_path, compressed):
+    """A page that is longer than a split, and small ones before and after it."""
+    rng = random.Random(1)
+    body = lambda i: json.dumps({"label": {"en": f"r{i}"}, "description": {"en": "".join(chr(rng.randint(97, 122)) for _ in range(3000 if compressed else 300))}}).replace('"', "&quot;")
+    big = [(i, "2013-01-01T00:00:00Z", NAMED, body(i)) for i in range(1, 1201 if compressed else 401)]
+    text_ = page("Q5", (5001, "2013-01-01T00:00:00Z", IP, body(0))) + page("Talk:Q5", (6000, "2013-01-01T00:00:00Z", IP, "no")) + page("Q9", *big) + page("Other", (6001, "2013-01-01T00:00:00Z", IP, "no")) + page("Property:P3", (7000, "2013-01-01T00:00:00Z", IP, body(1)))
+    data = f"<mediawiki>\n{text_}</mediawiki>\n".encode()
+    at = tmp_path / ("x.xml.bz2" if compressed else "x.xml")
+    at.write_bytes(bz2.compress(data, 1) if compressed else data)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(len(at.read_bytes()) // 9))
+    spark.conf.set("spark.sql.files.openCostInBytes", "100")
+    try:
+        found = dump.read_dump_file(spark, str(at))
+        assert dump._records(spark, str(at)).rdd.getNumPartitions() > 5
+        got = rows(found, "entity", "rev_id", "is_ip")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == sorted([("Q5", 5001, True), ("P3", 7000, True), *[("Q9", i, False) for i, *_ in big]], key=repr)
+
+
+def test_damaged_files_and_rejected_revisions(spark, tmp_path):
+    good = page("Q1", (1, "2013-01-01T00:00:00Z", NAMED, content("one")), (2, "2013-01-02T00:00:00Z", "<username>a<b></username>", content("two")))
+    whole = bz2.compress(f"<mediawiki>\n{good}</mediawiki>\n".encode())
+    rng = random.Random(2)
+    large = bz2.compress(f"<mediawiki>\n{good}{page('Q2', *[(i, '2013-01-01T00:00:00Z', NAMED, str(rng.random()) * 3000) for i in range(10, 60)])}".encode(), 1)
+    for folder, name, data in (("daily20130202", "pages-meta-hist-incr.xml.bz2", whole), ("daily20130203", "pages-meta-hist-incr.xml.bz2", large[: len(large) // 2])):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / name).write_bytes(data)
+    rejected = Observation()
+    revisions_ = dump.read_dumps(spark, dump.plan_files(spark, str(tmp_path)), rejected)
+    got = rows(revisions_, "entity", "rev_id", "file_rank")
+    assert ("Q1", 1, 1) in got and ("Q1", 2, 1) not in got and not any(r[1] == 2 for r in got)
+    assert rejected.get["n_rejected"] >= 1
+
+
 def test_command_line(spark, data, tmp_path):
     bots = tmp_path / "bots.json"
     bots.write_text(json.dumps({"query": {"allusers": [{"name": "Bot & Co"}]}}))
@@ -309,6 +351,49 @@ def test_stream_equals_batch_and_resumes(spark, data, tmp_path):
     assert rows(ingest.latest_state(spark, args[1]), "entity", "rev_id") == rows(batch, "entity", "rev_id")
 
 
+def test_compacted_store_has_the_same_state(spark, data, tmp_path_factory):
+    other = tmp_path_factory.mktemp("store")
+    args = (str(data), str(other / "store"), str(other / "offsets"), 1)
+    (data / "daily20130201").rename(other / "later")
+    ingest.ingest_available(spark, *args)
+    before = rows(ingest.latest_state(spark, args[1]), "entity", "rev_id")
+    ingest.compact(spark, args[1])
+    ingest.compact(spark, args[1])
+    assert rows(ingest.latest_state(spark, args[1]), "entity", "rev_id") == before
+    (other / "later").rename(data / "daily20130201")
+    ingest.ingest_available(spark, *args)
+    assert rows(ingest.latest_state(spark, args[1]), "entity", "rev_id") == before
+    batches, states = ingest._folders(spark, args[1])
+    assert len(batches) == 1 and len(states) == 1
+    ingest.compact(spark, args[1])
+    assert rows(ingest.latest_state(spark, args[1]), "entity", "rev_id") == before and ingest._folders(spark, args[1])[0] == []
+
+
+def test_edits_of_a_stream_close_with_the_watermark(spark, tmp_path):
+    schema = "rev_id long, ts string, is_ip boolean"
+    folder = tmp_path / "in"
+    folder.mkdir()
+    batches = [
+        [(1, "2013-01-01T01:00:00Z", False), (1, "2013-01-01T01:00:00Z", False), (2, "2013-01-01T23:00:00Z", True), (9, "unknown", True)],
+        [(1, "2013-01-01T01:00:00Z", False), (3, "2013-01-02T00:00:00Z", False), (4, "2013-01-20T00:00:00Z", True)],
+        [(6, "2013-02-20T00:00:00Z", False)],
+        [(5, "2013-01-01T05:00:00Z", False), (7, "2013-02-21T00:00:00Z", False)],
+    ]
+    for i, b in enumerate(batches):
+        spark.createDataFrame(b, schema).coalesce(1).write.json(str(folder / f"b{i}"))
+    files = sorted(folder.rglob("*.json"), key=lambda f: f.parent.name)
+    stream_in = tmp_path / "stream"
+    stream_in.mkdir()
+    for i, f in enumerate(files):
+        f.rename(stream_in / f"{i}.json")
+        os.utime(stream_in / f"{i}.json", (1_400_000_000 + i, 1_400_000_000 + i))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(stream_in))
+    query = ingest.stream_edits_per_day(stream).writeStream.format("memory").queryName("edits_closed").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    # Each revision once; the late row of the last file came after its day was closed.
+    assert rows(spark.table("edits_closed"), "day", "edits", "anons") == [(dt.date(2013, 1, 1), 2, 1), (dt.date(2013, 1, 2), 1, 0), (dt.date(2013, 1, 20), 1, 1)]
+
+
 def test_consumers_share_a_scan(spark):
     registry = Registry()
     registry.register("n", lambda df: df.agg(F.count("*").alias("n")))
