@@ -7,14 +7,18 @@ of the order and running sums within the parts, so that neither a source nor the
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Most sources with a target; more are refused. The targets are broadcast.
 MAX_SOURCES = 10_000
-#: Parts (bits) of a source's order, and of the time or hashes that are searched for the end of the budget.
-PARTS_BITS, TIME_PARTS = 10, 1024
+#: Documents in a part of a source's order, on average over all, and the most parts (bits) an order has.
+PART_ROWS, MOST_BITS = 50_000, 20
+#: Parts of the time or hashes that are searched for the end of the budget.
+TIME_PARTS = 1024
 #: Uses that are summed row by row, in one task.
 MOST_ROWS = 50_000
 
@@ -36,23 +40,41 @@ def targets_of(mix: DataFrame, source: str, share: str, repeats: str) -> DataFra
     return one.select("_t.source", "_source", (F.col("_t._share") / whole).alias("_share"), "_t._repeats")
 
 
+def virtual_end(sources: list[tuple[float, float]], budget: float) -> float:
+    """The virtual time at which sources with (share, most tokens they can give) have given `budget` tokens together;
+    infinite if they cannot. Sources run out in the order of tokens over share."""
+    given, rate, now = 0.0, sum(w for w, _ in sources), 0.0
+    for w, most in sorted(sources, key=lambda x: x[1] / x[0]):
+        out = most / w
+        if given + rate * (out - now) >= budget:
+            return now + (budget - given) / rate
+        given, now = given + rate * (out - now), out
+        rate -= w
+    return float("inf")
+
+
 def finish_times(docs: DataFrame, targets: DataFrame, budget: int, seed: int = 7) -> DataFrame:
     """The uses a source may make: doc_id, source, replica, n_tokens, finish DOUBLE (virtual finish time).
 
     docs: doc_id, source, n_tokens. All documents of a source come once before any comes again; each pass is shuffled by
-    a seeded hash. A source is repeated max_repeats times at most, and not beyond the budget."""
-    listed = F.broadcast(targets)
-    own = docs.select("doc_id", clean_source("source").alias("_source"), F.col("n_tokens").cast("bigint").alias("n_tokens")).join(listed, "_source")
-    supply = own.groupBy("_source").agg(F.sum("n_tokens").alias("_supply"))
-    passes = F.least(F.col("_repeats").cast("bigint"), F.ceil(F.lit(float(budget)) / F.greatest(F.col("_supply"), F.lit(1))) + 1).cast("int")
-    # The supply has a row per target at most.
-    uses = own.join(F.broadcast(supply), "_source").where("_repeats > 0").withColumn("replica", F.explode(F.sequence(F.lit(0), passes - 1)))
-    uses = uses.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "replica")).withColumn("_part", F.shiftrightunsigned("_h", 64 - PARTS_BITS).cast("int"))
+    a seeded hash. A source is repeated max_repeats times at most, and not past the virtual time at which all sources
+    together have given the budget, which follows from their supplies; so there are no more uses than the budget needs
+    and one more pass of each source."""
+    own = docs.select("doc_id", clean_source("source").alias("_source"), F.col("n_tokens").cast("bigint").alias("n_tokens")).join(F.broadcast(targets), "_source")
+    supply = own.groupBy("_source", "_share", "_repeats").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("rows")).collect()  # MAX_SOURCES rows at most
+    end = virtual_end([(r["_share"], float((r["n"] or 0) * r["_repeats"])) for r in supply], float(budget))
+    needed = lambda r: r["_repeats"] if math.isinf(end) else min(r["_repeats"], math.ceil(end * r["_share"] / max(r["n"] or 0, 1)) + 1)
+    passes = docs.sparkSession.createDataFrame([(r["_source"], needed(r)) for r in supply], "_source string, _passes int")
+    bits = min(MOST_BITS, max(0, math.ceil(math.log2(max(1, sum(r["rows"] for r in supply) / PART_ROWS)))))
+    uses = own.join(F.broadcast(passes), "_source").where("_passes > 0").withColumn("replica", F.explode(F.sequence(F.lit(0), F.col("_passes") - 1)))
+    # A hash of no bits would be shifted by 64, which is a shift by none: the two shifts add up.
+    uses = uses.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "replica")).withColumn("_part", F.shiftrightunsigned(F.shiftrightunsigned("_h", 63 - bits), 1).cast("int"))
     at = ["_source", "replica", "_part"]
     sums = uses.groupBy(at).agg(F.sum("n_tokens").alias("_sum"))
     before = F.sum("_sum").over(W.partitionBy("_source").orderBy("replica", "_part").rowsBetween(W.unboundedPreceding, -1))
     offsets = sums.select(*at, F.coalesce(before, F.lit(0)).alias("_before"))
-    running = F.sum("n_tokens").over(W.partitionBy(at).orderBy("_h", "doc_id").rowsBetween(W.unboundedPreceding, 0))
+    order = [F.expr("_h < 0"), "_h", "doc_id"]  # as unsigned numbers, which the parts are cut from
+    running = F.sum("n_tokens").over(W.partitionBy(at).orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
     timed = uses.withColumn("_running", running).join(offsets, at)
     return timed.select("doc_id", "source", "replica", "n_tokens", ((F.col("_before") + F.col("_running")) / F.col("_share")).alias("finish"), "_h")
 

@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 
 #: More different sizes than this are refused: the driver keeps a count of each. Nothing is rounded.
 MAX_SIZES = 1 << 22
-#: Parts in which the documents of one size are ranked.
-RANK_PARTS = 1024
+#: The documents of one size are ranked in parts: enough that one with this many is no larger on average, if all were of
+#: one size.
+PART_ROWS, MOST_PARTS = 50_000, 1 << 20
 
 
 def sweep(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int]], int]:
@@ -77,7 +78,7 @@ def pack(sizes: DataFrame, key: str, size: str, capacity: int) -> DataFrame:
     the containers. Ties between documents of one size go by hash and key. No row is lost, whatever its size; an empty
     table gives an empty result. Other columns are ignored.
 
-    One shuffle by (size, part of the hash), so that one size with a third of all rows is RANK_PARTS groups; ranks are
+    One shuffle by (size, part of the hash), so that one size with a third of all rows is many groups; ranks are
     running counts, not collected. The driver gets one count per size that occurs, MAX_SIZES at most, and keeps the moves."""
     if capacity < 1:
         raise ValueError("capacity must be positive")
@@ -85,7 +86,8 @@ def pack(sizes: DataFrame, key: str, size: str, capacity: int) -> DataFrame:
     docs = sizes.select(F.col(key).alias("_key"), whole.alias("_n")).withColumn("_pieces", F.greatest(F.lit(1), F.ceil(F.col("_n") / capacity)))
     pieces = docs.select("_key", "_n", "_pieces", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_pieces") - 1)).alias("_piece"))
     tokens = F.least(F.lit(capacity).cast("bigint"), F.col("_n") - F.col("_piece") * capacity)
-    part = F.pmod(F.xxhash64("_key", "_piece"), F.lit(RANK_PARTS)).cast("int")
+    parts = min(MOST_PARTS, -(-docs.count() // PART_ROWS) or 1)
+    part = F.pmod(F.xxhash64("_key", "_piece"), F.lit(parts)).cast("int")
     items = pieces.withColumn("_tokens", tokens).withColumn("_size", F.col("_tokens")).withColumn("_part", part)
 
     counts = items.groupBy("_size", "_part").agg(F.count("*").alias("_c"))

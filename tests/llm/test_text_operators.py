@@ -47,7 +47,8 @@ def test_sweeps_equal_sequential_best_fit(seed):
 
 
 @pytest.mark.parametrize("hot", [0.0, 0.5])
-def test_pack_is_whole_and_never_overfull(spark, hot):
+def test_pack_is_whole_and_never_overfull(spark, monkeypatch, hot):
+    monkeypatch.setattr(packing, "PART_ROWS", 20)
     rng = random.Random(1)
     sizes = [(i, 40 if rng.random() < hot else rng.randint(0, 260)) for i in range(500)] + [(900, None), (901, 100), (902, 300)]
     df = spark.createDataFrame(sizes, "doc_id long, n_tokens int").withColumn("piece_no", F.lit("clash"))
@@ -111,6 +112,7 @@ def mixed(spark, docs, targets, budget=None):
 @pytest.mark.parametrize("most", [50_000, 1])
 def test_shares_repeats_and_budget(spark, monkeypatch, most):
     monkeypatch.setattr(mixing, "MOST_ROWS", most)
+    monkeypatch.setattr(mixing, "PART_ROWS", max(20, most))
     rng = random.Random(2)
     docs = [(i, rng.choice([" A", "a", "A "]) if i < 600 else "b" if i < 900 else "c" if i < 905 else None, rng.randint(1, 20)) for i in range(1000)]
     times, t, budget = mixed(spark, docs, [("a", 0.5, 2), ("B", 0.3, 3), ("c", 0.15, 4), ("d", 0.05, 9), (None, 0.1, 1)])
@@ -150,6 +152,21 @@ def test_uses_of_one_finish_time_are_cut_by_hash(spark, monkeypatch):
     assert mixing.cut_at_budget(spark.createDataFrame(data, schema), 0).count() == 0
 
 
+def test_virtual_end():
+    assert mixing.virtual_end([(0.5, 10.0), (0.5, 1000.0)], 100) == 180  # 10 from the one until 20, the rest at half speed
+    assert mixing.virtual_end([(0.5, 10.0), (0.5, 20.0)], 100) == float("inf") and mixing.virtual_end([], 1) == float("inf")
+    assert mixing.virtual_end([(0.25, 1e9), (0.75, 1e9)], 100) == 100
+
+
+def test_huge_repeats_make_no_more_uses_than_needed(spark):
+    docs = [(i, "a", 10) for i in range(50)] + [(100, "b", 1)]
+    times, t, budget = mixed(spark, docs, [("a", 0.5, 1), ("b", 0.5, 1_000_000_000)], budget=400)
+    assert times.count() <= 400 + 50
+    kept = mixing.cut_at_budget(times, budget)
+    got = {r["source"]: r["n_tokens"] for r in mixing.shares(kept, t).collect()}
+    assert abs(got["a"] - 200) <= 10 and abs(got["b"] - 200) <= 10
+
+
 def test_shares_above_one_are_scaled(spark):
     t = mixing.targets_of(spark.createDataFrame([("a", 1.0, 1), ("b", 3.0, None)], "s string, w double, k int"), "s", "w", "k")
     assert rows(t, "_source", "_share", "_repeats") == [("a", 0.25, 1), ("b", 0.75, 1)]
