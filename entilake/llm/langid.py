@@ -49,6 +49,8 @@ NAME_WORDS, NAME_LETTERS = 4, 20
 # Patterns begin with one set of characters, so that the search passes over all others; what follows looks back at it.
 _MARKUP = re.compile(r"[<{\[/h&QP](?:(?<=<)/?[A-Za-z!][^<>]*>|(?<=\{)\{[^{}]*\}\}|(?<=\[)\[[^\[\]]*\]\]|(?<=/)\*.*?\*/|(?<=h)ttps?://\S+|(?<=&)[#\w]{1,10};|(?<=[QP])(?<!\w[QP])\d+\b)", re.S)
 _SIGNATURE = re.compile(r"--+ ?[^\s.!?]+(?: [^\s.!?]+)? \d{1,2}:\d\d")
+#: Opening quotes beside the plain one.
+_OPENING = "\u201c\u201d\u201e\u00ab\u300c\u2039\u2018"
 _QUOTED = re.compile("[\"\u201c\u201d\u201e\u00ab\u300c\u2039\u2018]([^\"\u201c\u201d\u201e\u00ab\u00bb\u300c\u300d\u203a\u2019\\n.!?\u3002\uff01\uff1f]+)[\"\u201d\u201c\u00bb\u300d\u203a\u2019]")
 _CLOSING = "[\")'\u00bb\u201d\\]]*(?=\\s|$)"
 _END = re.compile(f"[.!?\u2026\u3002\uff01\uff1f\\n](?:(?<=[.!?\u2026])[.!?\u2026]*{_CLOSING}|(?<=[\u3002\uff01\uff1f])[\u3002\uff01\uff1f]*[\u300d\uff09]*|(?<=\\n)\\n*)")
@@ -68,8 +70,11 @@ def blanked(text: str) -> str:
     """The text with all that is no running text replaced by as many blanks; signatures end a sentence."""
     wide = lambda m: " " * len(m.group())
     text = _MARKUP.sub(wide, text)
-    text = _SIGNATURE.sub(lambda m: "\n" * len(m.group()), text)
-    return _QUOTED.sub(lambda m: wide(m) if _is_name(m.group(1)) else m.group(), text)
+    if "--" in text:
+        text = _SIGNATURE.sub(lambda m: "\n" * len(m.group()), text)
+    if '"' in text or not text.isascii() and any(q in text for q in _OPENING):
+        text = _QUOTED.sub(lambda m: wide(m) if _is_name(m.group(1)) else m.group(), text)
+    return text
 
 
 def sentence_ends(text: str) -> list[int]:
@@ -252,9 +257,9 @@ def label_index(languages: DataFrame) -> tuple[list[str], dict[str, int]]:
 def with_label(docs: DataFrame, lang: str, names: dict[str, int], label: str = "label") -> DataFrame:
     """`docs` with the position of the language its label names, with or without a region; NULL if it names none."""
     table = docs.sparkSession.createDataFrame(sorted(names.items()) or [("", None)], "_name string, _k int")
-    text = F.lower(F.trim(F.regexp_replace(lang, r"^\s+|\s+$", "")))
+    text = F.lower(F.btrim(lang, F.lit(" \t\n\r\f\v")))
     whole, part = (F.broadcast(table.select(F.col("_name").alias(f"_n{i}"), F.col("_k").alias(f"_k{i}"))) for i in (0, 1))
-    named = docs.withColumn("_whole", text).withColumn("_part", F.regexp_extract("_whole", r"^(\w+?)[-_]\w+$", 1))
+    named = docs.withColumn("_whole", text).withColumn("_part", F.when(F.col("_whole").contains("-") | F.col("_whole").contains("_"), F.regexp_extract("_whole", r"^(\w+?)[-_]\w+$", 1)))
     named = named.join(whole, F.col("_whole") == F.col("_n0"), "left").join(part, F.col("_part") == F.col("_n1"), "left")
     return named.withColumn(label, F.coalesce("_k0", "_k1")).drop("_whole", "_part", "_n0", "_n1", "_k0", "_k1")
 

@@ -25,7 +25,7 @@ MOST_ROWS = 50_000
 
 def clean_source(column: str) -> Column:
     """Source names compare without letter case and outer blanks."""
-    return F.lower(F.trim(F.regexp_replace(column, r"^\s+|\s+$", "")))
+    return F.lower(F.btrim(column, F.lit(" \t\n\r\f\v")))
 
 
 def targets_of(mix: DataFrame, source: str, share: str, repeats: str) -> DataFrame:
