@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from entilake.export.csv import write_csv, write_csv_parts
 from entilake.export.kb import entities_written, kb_lines, write_kb
 from entilake.export.spec import PRESETS, ExportSpec, preset, result_name
-from entilake.export.turtle import triples, write_turtle
+from entilake.export.turtle import triples, write_turtle, write_vocabulary
 from entilake.functions.days import date_of
 from entilake.functions.dims import canonical_datatype
 from entilake.operators import edits
@@ -43,6 +43,7 @@ def parser() -> argparse.ArgumentParser:
     kinds.add_parser("store", help="latest entities as stored tables of items and properties, merged into those of earlier runs")
     history = kinds.add_parser("history", help="fortnightly content statistics, merged into those of earlier runs, and their sums")
     history.add_argument("--info", action="store_true", help="also keep languages and properties of each revision")
+    kinds.add_parser("vocabulary", help="the system vocabulary as Turtle")
     export = kinds.add_parser("export", help="entities as Turtle or lines")
     export.add_argument("--format", choices=sorted(PRESETS), nargs="+", default=["turtle"])
     export.add_argument("--languages", help="codes, comma-separated; empty for none")
@@ -101,6 +102,9 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> li
     """Runs a command; returns the paths written."""
     a = parser().parse_args(args)
     spark = spark or build_session()
+    if a.command == "vocabulary":
+        write_vocabulary(spark, f"{a.out}/vocabulary")
+        return [f"{a.out}/vocabulary"]
     files = plan_files(spark, a.data, a.current, a.max_date)
     log.info("dump %s, %d dailies", files.dump_date, len(files.dailies))
     rejected = Observation()

@@ -206,7 +206,7 @@ def footer(found: DataFrame, types: DataFrame, spec: ExportSpec) -> DataFrame:
     declared = property_declarations(found, types).count()
     by_type = sorted(type_usage(used).collect(), key=lambda r: r["datatype"])
     of = lambda place: "{" + ", ".join(f"{r['datatype']}: {r[place]}" for r in by_type if r[place]) + "}"
-    lines = ["", "", "### Turtle serialization completed:", f"# * {total['triples_actual']} triples", f"# * {total['entities']} entities", f"# * {declared} additional OWL property declarations", f"# * {total['statements']} statements", f"# * {total['references']} references"]
+    lines = ["", "", "### Turtle serialization completed:", f"# * {total['triples_actual']} triples", f"# * {total['entities']} entities", f"# * {declared} additional OWL property declarations", f"# * {total['statements']} statements", f"# * {total['references']} references", f"# * {used.where('datatype is null').count()} properties whose datatype came from their values"]
     lines += [f"# * types of {name} properties: {of(place)}" for name, place in (("main", "main"), ("qualifier", "qualifiers"), ("reference", "references"))]
     if spec.statements:
         lines += ["###", "### The following is a CSV compatible list with property statistics; references count once per entity:", "###", "#,property id,type,use as main property,use in qualifiers,use in references"]
@@ -220,11 +220,6 @@ def footer(found: DataFrame, types: DataFrame, spec: ExportSpec) -> DataFrame:
     return head.unionByName(used.select((place + len(lines)).cast("long").alias("ord"), text_.alias("line"))).unionByName(tail)
 
 
-def lookups(found: DataFrame, types: DataFrame) -> DataFrame:
-    """(property_id) of the exported properties whose datatype had to come from their values, as none was declared."""
-    return usage(found, types).where("datatype is null").select("property_id")
-
-
 def usage(found: DataFrame, types: DataFrame) -> DataFrame:
     """property_id, datatype, main, qualifiers, references: uses in exported snaks, a reference counting once per entity;
     every property met has a row."""
@@ -252,3 +247,11 @@ def write_turtle(found: DataFrame, types: DataFrame, spec: ExportSpec, path: str
     declared = property_declarations(found, types)
     text_of(declared.coalesce(1).sortWithinPartitions("s").select(F.concat(F.lit("\n"), "s", F.lit("\t"), "p", F.lit("\t"), "o", F.lit(" ."))), "2-properties")
     text_of(footer(found, types, spec).coalesce(1).sortWithinPartitions("ord").select("line"), "3-statistics")
+
+
+def write_vocabulary(spark: SparkSession, path: str) -> None:
+    """The system vocabulary as one Turtle file with the prefixes of the export."""
+    found = dims.vocabulary_triples(spark)
+    head = spark.createDataFrame([(f"@prefix {p}: <{iri}> .",) for p, iri in PREFIXES.items()], "line string").withColumn("part", F.lit(0))
+    body = found.select(F.concat_ws("\t", "s", "p", F.concat("o", F.lit(" ."))).alias("line"), F.lit(1).alias("part"))
+    head.unionByName(body).coalesce(1).sortWithinPartitions("part", "line").select("line").write.mode("overwrite").text(path)

@@ -304,14 +304,23 @@ _PARTS = ", ".join(
 )
 
 
+def time_sql(time: str, precision: str) -> str:
+    """The literal of a time in SQL."""
+    pattern = r"^([+-]?\d+)-(\d\d)-(\d\d)"
+    part = lambda k: f"regexp_extract({time}, '{pattern}', {k})"
+    year, p = f"try_cast({part(1)} AS BIGINT)", f"try_cast({precision} AS INT)"
+    shifted = f"CASE WHEN {year} = 0 OR ({year} < 0 AND {p} >= 9) THEN -1 ELSE {year} END"
+    text = f"printf(CASE WHEN {shifted} < 0 THEN '%05d' ELSE '%04d' END, {shifted})"
+    return f"""CASE WHEN {time} IS NULL THEN NULL WHEN {year} IS NULL THEN '{times.FALLBACK}' WHEN {p} = 11 THEN '"' || {text} || '-' || {part(2)} || '-' || {part(3)} || '"^^x:date' WHEN {p} = 10 THEN '"' || {text} || '-' || {part(2)} || '"^^x:gYearMonth'
+ WHEN {p} <= 9 THEN '"' || {text} || '"^^x:gYear' ELSE '"' || {time} || '"^^x:dateTime' END"""
+
+
 def _reduced(column: str) -> str:
     pairs = f"(SELECT string_agg(CAST(to_json(j.key) AS VARCHAR) || ':' || CASE WHEN j.key = 'en' THEN CAST(j.value AS VARCHAR) ELSE '1' END, ',' ORDER BY j.key) FROM json_each(cur.{column}) j)"
     return f"CASE WHEN json_valid({column}) AND json_type({column}) = 'OBJECT' THEN '{{' || coalesce({pairs}, '') || '}}' ELSE '{{}}' END"
 
 
 def oracle_sql() -> dict[str, str]:
-    year = "try_cast(regexp_extract(time, '^([+-]?\\d+)-(\\d\\d)-(\\d\\d)', 1) AS BIGINT)"
-    part = lambda k: f"regexp_extract(time, '^([+-]?\\d+)-(\\d\\d)-(\\d\\d)', {k})"
     in_place = "(SELECT id, tag, s, vtype, json_extract_string(s, '$[3].latitude') AS latitude FROM decoded)"
     sites = " ".join(f"WHEN '{s}' THEN '{t}'" for s, t in dims.SITE_TAGS.items())
     prefix = "CASE WHEN site = 'commonswiki' THEN 'http://commons.wikimedia.org/wiki/' WHEN site LIKE '%wikivoyage' THEN 'http://' || replace(left(site, -10), '_', '-') || '.wikivoyage.org/wiki/' WHEN site LIKE '%wiki' THEN 'http://' || replace(left(site, -4), '_', '-') || '.wikipedia.org/wiki/' END"
@@ -356,10 +365,8 @@ def oracle_sql() -> dict[str, str]:
         "property_types": f"WITH {_TYPED} SELECT property_id, datatype, CASE WHEN datatype = 'string' THEN 'x:string' ELSE 'o:Thing' END AS property_range FROM types",
         "size_totals": f"WITH {_current('wb_items')} SELECT count(*) AS entities, {', '.join(f'CAST(coalesce(sum(length({c})), 0) AS BIGINT) AS {c}_chars' for c in ('claims', 'links', 'label', 'aliases', 'description'))} FROM cur",
         "snak_sequence": f"WITH {claims_cte()}, {_DECODED}, m AS (SELECT id, claim_no, property_id, CASE WHEN row_number() OVER w > 1 AND property_id IS DISTINCT FROM lag(property_id) OVER w THEN 1 ELSE 0 END AS ch FROM decoded WHERE snak_place = 'm' WINDOW w AS (PARTITION BY id ORDER BY claim_no)) SELECT id, claim_no, property_id, CAST(sum(ch) OVER (PARTITION BY id ORDER BY claim_no) AS INT) AS group_no FROM m",
-        "time_literals": f"""WITH {claims_cte()}, {_DECODED}, x AS (SELECT CASE tag WHEN 'T' THEN json_extract_string(s, '$[3]') ELSE json_extract_string(s, '$[3].time') END AS time, CASE tag WHEN 'T' THEN json_extract_string(s, '$[2]') ELSE json_extract_string(s, '$[3].precision') END AS time_precision FROM decoded WHERE vtype = 'time'),
- y AS (SELECT time, time_precision, count(*) AS n, {year} AS y, try_cast(time_precision AS INT) AS p FROM x WHERE time IS NOT NULL GROUP BY ALL), z AS (SELECT *, CASE WHEN y = 0 OR (y < 0 AND p >= 9) THEN -1 ELSE y END AS yy FROM y)
- SELECT time, time_precision, n, CASE WHEN y IS NULL THEN '{times.FALLBACK}' WHEN p = 11 THEN '"' || printf(CASE WHEN yy < 0 THEN '%05d' ELSE '%04d' END, yy) || '-' || {part(2)} || '-' || {part(3)} || '"^^x:date' WHEN p = 10 THEN '"' || printf(CASE WHEN yy < 0 THEN '%05d' ELSE '%04d' END, yy) || '-' || {part(2)} || '"^^x:gYearMonth'
- WHEN p <= 9 THEN '"' || printf(CASE WHEN yy < 0 THEN '%05d' ELSE '%04d' END, yy) || '"^^x:gYear' ELSE '"' || time || '"^^x:dateTime' END AS literal FROM z""",
+        "time_literals": f"""WITH {claims_cte()}, {_DECODED}, x AS (SELECT CASE tag WHEN 'T' THEN json_extract_string(s, '$[3]') ELSE json_extract_string(s, '$[3].time') END AS time, CASE tag WHEN 'T' THEN json_extract_string(s, '$[2]') ELSE json_extract_string(s, '$[3].precision') END AS time_precision FROM decoded WHERE vtype = 'time')
+ SELECT time, time_precision, count(*) AS n, {time_sql('time', 'time_precision')} AS literal FROM x WHERE time IS NOT NULL GROUP BY ALL""",
         "coordinate_literals": f"WITH {claims_cte()}, {_DECODED} SELECT DISTINCT id, latitude, CASE WHEN try_cast(latitude AS DOUBLE) IS NOT NULL THEN '\"' || CASE WHEN regexp_full_match(latitude, '[+-]?\\d+') THEN latitude WHEN try_cast(latitude AS DOUBLE) = 0 THEN '0.0' ELSE CAST(try_cast(latitude AS DOUBLE) AS VARCHAR) END || '\"^^x:float' END AS literal FROM {in_place} WHERE vtype = 'globecoordinate' AND latitude IS NOT NULL",
         "document_literals": f"SELECT doc_id, md5({_LITERAL.format(x='text')}) AS literal_md5, md5({_QUOTE.format(x=chr(114) + 'eplace(text, ' + repr(' ') + ', ' + repr('_') + ')')}) AS quoted_md5 FROM documents WHERE text IS NOT NULL",
         "vocabulary_kinds": "SELECT * FROM (VALUES ('a', 'o:Class', CAST(9 AS BIGINT)), ('a', 'o:ObjectProperty', 3), ('a', 'o:DatatypeProperty', 9), ('a', 'wo:Datatype', 7), ('rs:label', NULL, 28), ('rs:comment', NULL, 28), ('rs:subClassOf', NULL, 2)) v(p, kind, n)",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from entilake.export import kb, turtle
 from entilake.export.spec import ExportSpec, preset
+from entilake.operators.store import stored_entities
 from entilake.plans import content_queries as c
 from entilake.sources.tables import current_rows, table
 
@@ -74,6 +75,62 @@ def export_type_usage(spark: SparkSession, d: str) -> DataFrame:
     return turtle.type_usage(export_property_usage(spark, d))
 
 
+def statement_links(spark: SparkSession, d: str) -> DataFrame:
+    """Entities and their statements by name."""
+    return _statements(spark, d).where("p rlike '^w:P[0-9]+s$'").select("s", "p", "o")
+
+
+def _statements(spark: SparkSession, d: str) -> DataFrame:
+    return _triples(spark, d, ExportSpec(languages=(), sites=()))
+
+
+def restriction_triples(spark: SparkSession, d: str) -> DataFrame:
+    """Restrictions for some value, complements for no value, and marks of incomplete export, with their number."""
+    return _statements(spark, d).where("p = 'a' and (o like '[ a o:%' or o = 'wo:IncompletelyExported')").groupBy("o").agg(F.count("*").alias("n"))
+
+
+def property_type_triples(spark: SparkSession, d: str) -> DataFrame:
+    return _triples(spark, d, ExportSpec(languages=(), sites=(), statements=False)).where("p = 'wo:propertyType'").select("s", "p", "o")
+
+
+def value_facts(spark: SparkSession, d: str) -> DataFrame:
+    """Facts about the nodes of times, places and quantities by entity, without the names of the nodes."""
+    facts = _statements(spark, d).where((F.col("section") == turtle.VALUE) & (F.col("p") != "a"))
+    return facts.groupBy("title", "p", "o").agg(F.count("*").alias("n"))
+
+
+def typed_statements(spark: SparkSession, d: str) -> DataFrame:
+    """Statements by property in an export of items and times only, without references."""
+    found = _triples(spark, d, ExportSpec(languages=(), sites=(), property_types=("wikibase-item", "time"), references=False))
+    return found.where("p rlike '^w:P[0-9]+s$'").groupBy("p").agg(F.count("*").alias("n_statements"))
+
+
+def preset_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """Entities, statements, articles, references and triples of terms in the export of each format."""
+    parts = []
+    for name in ("turtle", "turtle-stats", "turtle-links", "turtle-labels"):
+        found = _triples(spark, d, preset(name)).where("section <> 2")
+        terms = F.count_if(F.col("p").isin("rs:label", "so:description", "sk:altLabel")).alias("n_terms")
+        opening = lambda k: F.count_if((F.col("section") == k) & (F.col("ord") == 0) & (F.col("p") == "a"))
+        parts.append(found.agg(F.lit(name).alias("preset"), opening(turtle.ENTITY).alias("entities"), opening(turtle.STATEMENT).alias("statements"), opening(turtle.ARTICLE).alias("articles"), F.count_if(F.col("p") == "pv:wasDerivedFrom").alias("n_references"), terms))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def stored_items(spark: SparkSession, d: str) -> DataFrame:
+    """Items as they are stored: the texts of one language kept; their claims are those of compact_snaks."""
+    rows = current_rows(table(spark, d, "wb_items", "id", "rev", "claims", "links", "label", "aliases", "description"), "id", "rev", "claims", "links", "label", "aliases", "description")
+    contents = rows.withColumnRenamed("id", "entity_id").withColumn("is_item", F.lit(True)).withColumn("datatype", F.lit(None).cast("string"))
+    return stored_entities(contents)[0].select("id", "rev", "links", "label", "aliases", "description")
+
+
+def kb_entities(spark: SparkSession, d: str) -> DataFrame:
+    """Entities with a line in the line format."""
+    return kb_lines(spark, d).agg(F.count_distinct("title").alias("entities"))
+
+
 def known_types(spark: SparkSession, d: str) -> DataFrame:
     """Properties with a known datatype, in the order of their titles."""
     rows = c.property_types(spark, d).where("datatype is not null")
@@ -151,7 +208,30 @@ def oracle_sql() -> dict[str, str]:
     kind = "CASE WHEN datatype = 'string' AND k <> 's' THEN 'o:DatatypeProperty' ELSE 'o:ObjectProperty' END"
     plain = "CASE WHEN tag = 'R' THEN 'Q' || json_extract_string(s, '$[2]') WHEN tag = 'value' AND vtype = 'wikibase-entityid' AND json_extract_string(s, '$[3].\"entity-type\"') <> 'property' THEN 'Q' || json_extract_string(s, '$[3].\"numeric-id\"') WHEN vtype = 'string' THEN '{' || json_extract_string(s, CASE tag WHEN 'S' THEN '$[2]' ELSE '$[3]' END) || '}' WHEN tag = 'somevalue' THEN '+' WHEN tag = 'novalue' THEN '-' END"
     bare = "JOIN (SELECT id AS i, claim_no AS n FROM parts WHERE coalesce(len(q), 0) = 0 AND coalesce(len(refs), 0) = 0) ON i = id AND n = claim_no WHERE snak_place = 'm'"
+    written = "CASE WHEN object IS NULL THEN 'wo:IncompletelyExported' WHEN tag = 'somevalue' THEN '[ a o:Restriction; o:onProperty w:P' || property_id || context || '; o:someValuesFrom ' || CASE WHEN coalesce(datatype, snak_type) = 'string' THEN 'x:string' ELSE 'o:Thing' END || ' ]' WHEN tag = 'novalue' THEN '[ a o:Class; o:complementOf [ a o:Restriction; o:onProperty w:P' || property_id || context || '; o:someValuesFrom ' || CASE WHEN coalesce(datatype, snak_type) = 'string' THEN 'rs:Literal' ELSE 'o:Thing' END || ' ] ]' END"
+    whole = lambda x: f"'\"' || coalesce(CAST(try_cast(regexp_extract(trim({x}), '^([+-]?[0-9]+)$', 1) AS BIGINT) AS VARCHAR), '+42') || '\"^^x:int'"
+    real = lambda x: f"CASE WHEN try_cast({x} AS DOUBLE) IS NOT NULL THEN '\"' || CASE WHEN regexp_full_match({x}, '[+-]?[0-9]+') THEN {x} WHEN try_cast({x} AS DOUBLE) = 0 THEN '0.0' ELSE CAST(try_cast({x} AS DOUBLE) AS VARCHAR) END || '\"^^x:float' END"
+    field = lambda f: f"json_extract_string(s, '$[3].{f}')"
+    node_item = lambda f: f"CASE WHEN regexp_matches({field(f)}, '/Q[0-9]+$') THEN 'w:Q' || CAST(regexp_extract({field(f)}, '/Q([0-9]+)$', 1) AS BIGINT) END"
+    decimal = lambda f: f"'\"' || {field(f)} || '\"^^x:decimal'"
+    each = [
+        *[("time", p, o) for p, o in (("wo:time", c.time_sql("tm", "tp")), ("wo:timePrecision", whole("tp")), ("wo:preferredCalendar", f"CASE WHEN tag = 'value' THEN {node_item('calendarmodel')} END"))],
+        *[("globe-coordinate", p, o) for p, o in (("wo:latitude", real(field("latitude"))), ("wo:longitude", real(field("longitude"))), ("wo:altitude", real(field("altitude"))), ("wo:gcPrecision", real(field("precision"))), ("wo:globe", node_item("globe")))],
+        *[("quantity", p, decimal(f)) for p, f in (("wo:numericValue", "amount"), ("wo:lowerBound", "lowerBound"), ("wo:upperBound", "upperBound"))],
+    ]
+    facts = " UNION ALL ".join(f"SELECT title, '{p}' AS p, {o} AS o FROM nodes WHERE snak_type = '{t}'" for t, p, o in each)
+    node_rows = nodes.replace("any_value(facts) AS facts", "any_value(snak_type) AS snak_type, any_value(tag) AS tag, any_value(s) AS s, any_value(tm) AS tm, any_value(tp) AS tp")
+    main_rows = number("sn WHERE context = 'v'")
+    linked = _both("SELECT '{t}' || id AS title FROM terms WHERE text IS NOT NULL", c.terms_sql) + " UNION ALL " + _both("SELECT '{t}' || id AS title FROM parts", c.claims_cte)
     return {
+        "statement_links": _both("SELECT 'w:{t}' || id AS s, 'w:P' || property_id || 's' AS p, 'w:{t}' || id || 'S' || CASE WHEN contains(g, '$') THEN regexp_extract(g, '^[^$]*[$](.*)$', 1, 's') ELSE CAST(claim_no AS VARCHAR) END AS o FROM (SELECT d.id, d.claim_no, property_id, json_extract_string(c, '$.g') AS g FROM decoded d JOIN claims USING (id, claim_no) WHERE snak_place = 'm' AND property_id IS NOT NULL)", lambda name: f"{c.claims_cte(name)}, {c._DECODED}"),
+        "restriction_triples": f"WITH {export} SELECT {written} AS o, count(*) AS n FROM used WHERE {written} IS NOT NULL GROUP BY 1",
+        "property_type_triples": f"WITH {types} SELECT 'w:P' || property_id AS s, 'wo:propertyType' AS p, 'wo:propertyType' || CASE datatype WHEN 'wikibase-item' THEN 'Item' WHEN 'string' THEN 'String' WHEN 'commonsMedia' THEN 'CommonsMedia' WHEN 'time' THEN 'Time' WHEN 'globe-coordinate' THEN 'GlobeCoordinates' WHEN 'quantity' THEN 'Quantity' ELSE 'Url' END AS o FROM types_ WHERE datatype IS NOT NULL",
+        "value_facts": f"WITH {export}, nodes AS {node_rows}, f AS ({facts}) SELECT title, p, o, count(*) AS n FROM f WHERE o IS NOT NULL GROUP BY ALL",
+        "typed_statements": f"WITH {export} SELECT 'w:P' || property_id || 's' AS p, count(*) AS n_statements FROM sn WHERE context = 'v' AND snak_type IN ('wikibase-item', 'time') AND property_id IS NOT NULL GROUP BY 1",
+        "preset_statistics": f"WITH {export}, l AS ({links}), n AS (SELECT {current} AS e, {main_rows} AS st, {number('l')} AS a, {number('refs')} AS r, {number(f'({labels})')} AS t) SELECT 'turtle' AS preset, e AS entities, st AS statements, a AS articles, r AS n_references, t AS n_terms FROM n UNION ALL SELECT 'turtle-stats', e, st, 0, r, 0 FROM n UNION ALL SELECT 'turtle-links', e, 0, a, 0, 0 FROM n UNION ALL SELECT 'turtle-labels', e, 0, 0, 0, t FROM n",
+        "stored_items": f"WITH {c._current('wb_items')} SELECT id, rev, links, {c._reduced('label')} AS label, {c._reduced('aliases')} AS aliases, {c._reduced('description')} AS description FROM cur",
+        "kb_entities": f"SELECT count(DISTINCT title) AS entities FROM ({linked} UNION ALL SELECT 'P' || id FROM (WITH {c._current('wb_properties')} SELECT id FROM cur WHERE datatype IS NOT NULL) UNION ALL SELECT 'Q' || id FROM (WITH {c._LINKS} SELECT id FROM links WHERE page IS NOT NULL))",
         "label_triples": labels,
         "link_triples": f"WITH l AS ({links}) SELECT '<' || url || '>' AS s, 'a' AS p, 'so:Article' AS o FROM l UNION ALL SELECT '<' || url || '>', 'so:about', 'w:Q' || id FROM l UNION ALL SELECT '<' || url || '>', 'so:inLanguage', '\"' || language || '\"' FROM l WHERE language IS NOT NULL",
         "item_triples": f"WITH {export} SELECT 'w:P' || property_id || context AS p, count(*) AS n_triples, count(DISTINCT object) AS n_objects FROM used WHERE snak_type = 'wikibase-item' AND tag IN ('R', 'value') AND regexp_full_match(object, 'Q[0-9]+') AND property_id IS NOT NULL GROUP BY 1",
@@ -170,5 +250,5 @@ def oracle_sql() -> dict[str, str]:
 
 
 def queries() -> dict:
-    names = ("triples", "label_triples", "link_triples", "item_triples", "turtle_blocks", "block_counts", "property_declarations", "export_statistics", "export_property_usage", "export_type_usage", "known_types", "kb_lines", "kb_term_lines", "kb_other_lines", "kb_claim_counts")
+    names = ("triples", "label_triples", "link_triples", "item_triples", "turtle_blocks", "block_counts", "property_declarations", "export_statistics", "export_property_usage", "export_type_usage", "known_types", "kb_lines", "kb_term_lines", "kb_other_lines", "kb_claim_counts", "kb_entities", "statement_links", "restriction_triples", "property_type_triples", "value_facts", "typed_statements", "preset_statistics", "stored_items")
     return {n: globals()[n] for n in names}

@@ -327,6 +327,20 @@ def test_entities_as_stored(spark, data, tmp_path):
     assert rows(spark.read.parquet(f"{items}/v=4")) == got and sorted(x.name for x in (tmp_path / "out" / "items").iterdir() if x.name.startswith("v=")) == ["v=3", "v=4"]
 
 
+def test_vocabulary_file(spark, data, tmp_path):
+    (path,) = cli.main(["--data", str(data), "--out", str(tmp_path / "out"), "vocabulary"], spark)
+    lines = [r[0] for r in spark.read.text(path).collect()]
+    assert len(lines) == 9 + 86 and "wo:Item\trs:subClassOf\two:Entity ." in lines and 'wo:globe\trs:label\t"globe" .' in lines
+
+
+def test_dumps_of_current_revisions(spark, data):
+    (data / "dump20130115").rename(data / "curdump20130115")
+    (data / "curdump20130115" / "pages-meta-history.xml.bz2").rename(data / "curdump20130115" / "pages-meta-current.xml.bz2")
+    files = dump.plan_files(spark, str(data), current=True)
+    assert files.dump_date == "20130115" and len(files.paths) == 3 and dump.plan_files(spark, str(data)).dump_date == dump.NO_DUMP
+    assert rows(dump.latest_entities(dump.read_dumps(spark, files), "global"), "entity", "rev_id") == [("P1", 6), ("Q1", 5), ("Q2", 3)]
+
+
 def test_seed_types_and_site_statistics(spark, data, tmp_path):
     seed, stats = tmp_path / "seed.csv", tmp_path / "site_stats.sql.gz"
     seed.write_text("property_id,datatype\n1,Time\n3,commonsmedia\n4,other\n,url\n")
