@@ -270,7 +270,7 @@ def training_sample(docs: DataFrame, n_labelled: int) -> list[tuple[str, int]]:
     usable = docs.where(F.col("label").isNotNull() & (F.length("text") <= TRAIN_CHARS)).select("doc_id", "text", "label")
     part = F.shiftrightunsigned(F.xxhash64(F.lit(11), "doc_id"), 1) < min(2**63 - 1, int(2**63 * (TRAIN_DOCUMENTS / max(n_labelled, 1))))
     rows = (usable.where(part) if n_labelled > TRAIN_DOCUMENTS else usable).limit(2 * TRAIN_DOCUMENTS).collect()
-    return [(r["text"], r["label"]) for r in sorted(rows, key=lambda r: r["doc_id"])]
+    return [(r["text"], r["label"]) for r in sorted(rows, key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"]))]
 
 
 #: A run of sentences: neighbours that only one language can have (one candidate), or one sentence with the languages that

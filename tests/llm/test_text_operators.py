@@ -272,6 +272,19 @@ def test_languages_without_documents_or_labels(spark):
     assert rows(langid.identify(one, languages.where("false"))) == [(1, None, None, [], None)]
 
 
+def test_nulls_repeats_and_clashing_columns(spark):
+    docs, _ = language_corpus(60)
+    odd = [(None, docs[0][1], "de", "s1", "P1"), (None, None, None, None, None), (7, None, "en", None, None), (8, docs[1][1], None, None, None), (8, docs[1][1], None, None, None)]
+    schema = "doc_id long, text string, lang string, source string, page_title string"
+    df = spark.createDataFrame(docs + odd + odd, schema)
+    for clash in ("page", "runs", "k", "n", "_salt", "page_labels", "label_code", "_whole", "confidence"):
+        df = df.withColumn(clash, F.lit("clash"))
+    languages = spark.createDataFrame([*NAMES, *NAMES, (None, "x", "y", "z"), ("de", None, None, None)], "code string, tag string, iso3 string, english_title string")
+    got = langid.identify(df, languages).collect()
+    assert len(got) == len(docs) + 2 * len(odd) and all(r["lang_code"] is not None for r in got)
+    assert sum(r["doc_id"] is None for r in got) == 4
+
+
 def test_too_many_languages_and_too_large_models_are_refused(spark, monkeypatch):
     monkeypatch.setattr(langid, "MAX_LANGUAGES", 3)
     with pytest.raises(ValueError):
