@@ -19,10 +19,10 @@ def entity_pages(df: DataFrame, title: str = "title") -> DataFrame:
 
 
 def first_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each key in `order`, by an arg-min that combines before the shuffle. The remaining columns break
-    ties, so the result does not depend on the order of rows."""
+    """The first row of each key in `order`, NULLs last, by an arg-min that combines before the shuffle. The remaining columns
+    break ties, so the result does not depend on the order of rows."""
     rest = [c for c in df.columns if c not in keys]
-    ranks = [o.alias(f"_o{i}") for i, o in enumerate(order)]
+    ranks = [x.alias(f"_o{i}{j}") for i, o in enumerate(order) for j, x in enumerate((o.isNull(), o))]
     best = F.min(F.struct(*ranks, *rest)).alias("_b")
     return df.groupBy(*keys).agg(best).select(*keys, *[f"_b.{c}" for c in rest])
 

@@ -206,7 +206,7 @@ def claims_cte(name: str = "wb_items") -> str:
   UNION ALL SELECT id, rev, claim_no, 'r', group_no, CAST(unnest(range(len(g))) AS INT), unnest(g) FROM groups)"""
 
 
-_TYPED = """types AS (SELECT id AS property_id, CASE lower(trim(datatype)) {cases} END AS datatype FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY rev DESC, datatype DESC NULLS LAST) AS k FROM wb_properties) WHERE k = 1)""".format(
+_TYPED = """types AS (SELECT id AS property_id, CASE lower(trim(datatype)) {cases} END AS datatype FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY rev DESC, datatype DESC NULLS LAST) AS k FROM wb_properties WHERE id IS NOT NULL) WHERE k = 1)""".format(
     cases=" ".join(f"WHEN '{t.lower()}' THEN '{t}'" for t in dims.TYPE_INDIVIDUALS)
 )
 _DECODED = """decoded AS (SELECT *, json_extract_string(s, '$[0]') AS tag, try_cast(json_extract_string(s, '$[1]') AS INT) AS property_id,
@@ -281,7 +281,7 @@ def _refs(name: str) -> str:
 
 _GONE = "gone AS (SELECT entity_id FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY logged_at DESC, log_id DESC) AS k FROM deletion_log) WHERE k = 1 AND lower(trim(log_action)) = 'delete')"
 _MISSING = f"""{_GONE}, r AS ({_refs('wb_items')} UNION ALL {_refs('wb_properties')}), missing AS (SELECT * FROM r
- WHERE missing_id IS NULL OR NOT CASE target_kind WHEN 'item' THEN missing_id IN (SELECT id FROM wb_items) AND missing_id NOT IN (SELECT entity_id FROM gone) ELSE missing_id IN (SELECT id FROM wb_properties) END)"""
+ WHERE missing_id IS NULL OR NOT CASE target_kind WHEN 'item' THEN missing_id IN (SELECT id FROM wb_items WHERE id IS NOT NULL) AND missing_id NOT IN (SELECT entity_id FROM gone WHERE entity_id IS NOT NULL) ELSE missing_id IN (SELECT id FROM wb_properties WHERE id IS NOT NULL) END)"""
 _P1 = """o AS (SELECT id, wd_day, max(rev) AS rev FROM itemrevstats WHERE stat_num IS NOT NULL AND id IS NOT NULL AND wd_day IS NOT NULL GROUP BY ALL),
  v AS (SELECT id, wd_day, max(stat_num) AS stat_num FROM o JOIN itemrevstats USING (id, wd_day, rev) GROUP BY ALL),
  s AS (SELECT id, wd_day, stat_num FROM (SELECT *, lag(stat_num) OVER (PARTITION BY id ORDER BY wd_day) AS p FROM v) WHERE p IS DISTINCT FROM stat_num),

@@ -54,7 +54,7 @@ def general_counts(spark: SparkSession, d: str) -> DataFrame:
     """Blocks, entities and revisions of items and properties. Deliveries are first reduced to one row per revision, page and
     block, and then to one per page and block, so no row is multiplied for the different counts."""
     rows = _deliveries(spark, d).groupBy("is_item", "title", "block", "rev_id").agg(F.lit(1).alias("_one"))
-    revs = rows.groupBy("is_item", "rev_id").agg(F.lit(1).alias("_one")).groupBy("is_item").agg(F.count("*").alias("r"))
+    revs = rows.where("rev_id is not null").groupBy("is_item", "rev_id").agg(F.lit(1).alias("_one")).groupBy("is_item").agg(F.count("*").alias("r"))
     blocks = rows.groupBy("is_item", "title", "block").agg(F.lit(1).alias("_one")).groupBy("is_item", "title").agg(F.count("*").alias("b")).groupBy("is_item").agg(F.sum("b").alias("b"), F.count("*").alias("e"))
     both = blocks.join(revs, "is_item")  # two rows each
     n = lambda item, c: F.coalesce(F.sum(F.when(F.col("is_item") == item, F.col(c))), F.lit(0).cast("bigint"))
@@ -68,7 +68,8 @@ def dump_counters(spark: SparkSession, d: str) -> DataFrame:
     w = W.partitionBy("rev_id")
     # A revision has few different delivery times; the first with content is known to all of them in one shuffle.
     first = F.min(F.when(F.col("filled"), F.col("delivered_at"))).over(w)
-    late = per_time.withColumn("_first", first).agg(F.sum("n").alias("revisions"), F.coalesce(F.sum(F.when(F.col("delivered_at") > F.col("_first"), F.col("n"))), F.lit(0).cast("bigint")).alias("duplicates")).first()
+    again = (F.col("delivered_at") > F.col("_first")) & F.col("rev_id").isNotNull()
+    late = per_time.withColumn("_first", first).agg(F.sum("n").alias("revisions"), F.coalesce(F.sum(F.when(again, F.col("n"))), F.lit(0).cast("bigint")).alias("duplicates")).first()
     pages = rows.groupBy("title").agg(F.lit(1).alias("_one")).where("title is not null").agg(F.count("*").alias("pages"))
     return pages.select(F.lit(late["revisions"] or 0).cast("bigint").alias("revisions"), "pages", F.lit(late["duplicates"]).cast("bigint").alias("duplicates"))
 
@@ -120,13 +121,13 @@ def day_index_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 
 def union_sources(spark: SparkSession, d: str) -> DataFrame:
-    """The deliveries of each quarter as sources of their own, the newest first."""
+    """The deliveries of each quarter as sources of their own, the newest first; those without a time are with the oldest."""
     rows = table(spark, d, "revision", "rev_id", "delivered_at")
     bounds = ["2013-10-01", "2013-07-01", "2013-04-01", "2013-01-01"]
     parts, upper = [], None
     for b in [*bounds, None]:
         part = rows.where(F.col("delivered_at") >= b) if b else rows
-        parts.append(part.where(F.col("delivered_at") < upper) if upper else part)
+        parts.append(part.where(F.coalesce(F.col("delivered_at") < upper, F.lit(b is None))) if upper else part)
         upper = b
     return revisions.union_sources(parts).groupBy("file_rank").agg(F.count("*").alias("n_rows"), F.count_distinct("rev_id").alias("n_revisions"))
 
@@ -200,7 +201,7 @@ def stored_revision_lookup(spark: SparkSession, d: str) -> DataFrame:
 
 _DEL = r"""deliveries AS (SELECT *, replace(title, 'Property:', '') AS entity, regexp_full_match(title, 'Q[0-9]+') AS is_item, CAST(delivered_at AS DATE) AS block
  FROM revision WHERE regexp_full_match(title, 'Q[0-9]+') OR regexp_full_match(title, 'Property:P[0-9]+'))"""
-_REV = _DEL + r""", revs AS (SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (PARTITION BY rev_id ORDER BY delivered_at, page_id, title, rev_timestamp NULLS FIRST, user_name NULLS FIRST, is_ip, n_bytes NULLS FIRST) AS k FROM deliveries) WHERE k = 1)"""
+_REV = _DEL + r""", revs AS (SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (PARTITION BY rev_id ORDER BY delivered_at NULLS LAST, page_id NULLS FIRST, title, rev_timestamp NULLS FIRST, user_name NULLS FIRST, is_ip NULLS FIRST, n_bytes NULLS FIRST) AS k FROM deliveries) WHERE k = 1)"""
 _DATED = _REV + r""", dated AS (SELECT *, CASE WHEN regexp_full_match(rev_timestamp, '\d{4}-\d\d-\d\d[T ]\d\d:\d\d:\d\d(Z|\+00:00)?')
  AND try_cast(replace(substr(rev_timestamp, 1, 19), 'T', ' ') AS TIMESTAMP) <= delivered_at THEN try_cast(substr(rev_timestamp, 1, 10) AS DATE) END AS edit_date FROM revs)"""
 _BOT = "names AS (SELECT DISTINCT bot_name FROM bots WHERE bot_name IS NOT NULL)"
