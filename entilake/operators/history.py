@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from entilake.session import cut
 
@@ -19,28 +20,40 @@ def attribute_hash(attributes: list[str]) -> Column:
 RANK, HASH = "obs_rank", "attr_hash"
 
 
-def observations(df: DataFrame, key: str, day: str, rank: str, attributes: list[str]) -> DataFrame:
-    """What counts of a snapshot table: one row (key, day, obs_rank, attributes, attr_hash) per key and day, that of the
-    highest `rank`, ties by the greatest attributes. Rows without key or day, and rows in which every attribute is NULL, say
-    nothing and are left out; an empty table gives an empty one.
-
-    The maximum over a struct combines before the shuffle, so repeats of a hot key cost one row per task and day, and a
-    key has at most one row per calendar day after it."""
-    known = df.where(F.col(key).isNotNull() & F.col(day).isNotNull() & F.coalesce(*[F.col(a).cast("string") for a in attributes]).isNotNull())
-    best = F.max(F.struct(F.col(rank).alias(RANK), *attributes)).alias("_best")
-    out = known.groupBy(key, day).agg(best).select(key, day, f"_best.{RANK}", *[f"_best.{a}" for a in attributes])
+def _counting(df: DataFrame, key: str, day: str, rank: str, attributes: list[str]) -> DataFrame:
+    """key, day, obs_rank, attributes, attr_hash: of the rows of one key and day the one with the highest rank (NULL is the
+    lowest), ties by the greatest attributes.
+
+    The maximum combines before the shuffle, so repeats of a hot key cost one row per task and day. One attribute of at most
+    32 bits is packed with its rank into one number, whose maximum is kept in a hash table; a maximum over a struct would
+    sort the rows of each task first."""
+    kinds = {f.name: f.dataType for f in df.schema}
+    small = all(isinstance(kinds[c], (T.ByteType, T.ShortType, T.IntegerType)) for c in (rank, *attributes))
+    if small and len(attributes) == 1:
+        (a,) = attributes
+        lowest, half = -(1 << 31), 1 << 31
+        one = F.shiftleft(F.coalesce(F.col(rank).cast("bigint"), F.lit(lowest).cast("bigint")), 32) + F.col(a).cast("bigint") + F.lit(half)
+        best = df.groupBy(key, day).agg(F.max(one).alias("_best"))
+        back = F.nullif(F.shiftright("_best", 32), F.lit(lowest).cast("bigint")).cast(kinds[rank])
+        value = (F.col("_best").bitwiseAND(F.lit((1 << 32) - 1)) - F.lit(half)).cast(kinds[a])
+        out = best.select(key, day, back.alias(RANK), value.alias(a))
+    else:
+        best = F.max(F.struct(F.col(rank).alias(RANK), *attributes)).alias("_best")
+        out = df.groupBy(key, day).agg(best).select(key, day, f"_best.{RANK}", *[f"_best.{a}" for a in attributes])
     return out.withColumn(HASH, attribute_hash(attributes))
 
 
-def _counting(obs: DataFrame, key: str, day: str, attributes: list[str]) -> DataFrame:
-    """Of observations of one key and day the one that counts, by rank and attributes."""
-    best = F.max(F.struct(RANK, *attributes, HASH)).alias("_o")
-    return obs.groupBy(key, day).agg(best).select(key, day, *[f"_o.{c}" for c in (RANK, *attributes, HASH)])
+def observations(df: DataFrame, key: str, day: str, rank: str, attributes: list[str]) -> DataFrame:
+    """What counts of a snapshot table: one row (key, day, obs_rank, attributes, attr_hash) per key and day, see _counting.
+    Rows without key or day, and rows in which every attribute is NULL, say nothing and are left out; an empty table gives
+    an empty one. A key has at most one row per calendar day."""
+    known = df.where(F.col(key).isNotNull() & F.col(day).isNotNull() & F.coalesce(*[F.col(a).cast("string") for a in attributes]).isNotNull())
+    return _counting(known, key, day, rank, attributes)
 
 
 def seen_after(seen: DataFrame, updates: DataFrame, key: str, day: str, attributes: list[str]) -> DataFrame:
     """The observations merged so far, after `updates` were merged too."""
-    return _counting(seen.unionByName(updates), key, day, attributes)
+    return _counting(seen.unionByName(updates), key, day, RANK, attributes)
 
 
 def versions(obs: DataFrame, key: str, day: str, attributes: list[str]) -> DataFrame:
@@ -82,4 +95,4 @@ def merge_versions(dimension: DataFrame | None, seen: DataFrame | None, updates:
     opened = flagged.where("not _late and is_current").select(key, days.alias(day), rank.alias(RANK), *attributes, HASH)
     again = seen.join(touched.where("_late"), key, "left_semi")
     pool = opened.unionByName(updates).unionByName(again).repartition(key)  # one shuffle for both steps below
-    return kept.unionByName(versions(_counting(pool, key, day, attributes), key, day, attributes))
+    return kept.unionByName(versions(_counting(pool, key, day, RANK, attributes), key, day, attributes))

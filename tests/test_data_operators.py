@@ -79,6 +79,19 @@ def test_history_of_nothing_and_clashing_columns(spark):
     assert rows(dim, "id", "v", "from_day", "to_day", "is_current") == [(1, 7, 5, None, True), (2, 7, 5, None, True)]
 
 
+@pytest.mark.parametrize("kind", ["int", "long", "string"])
+def test_ranks_and_ends_of_the_value_range(spark, kind):
+    top, low = 2**31 - 1, -(2**31)
+    data = [(1, 1, 5, low), (1, 1, 5, top), (1, 1, None, 3), (1, 2, None, 0), (1, 2, -1, -7), (1, 3, top, -1), (1, 3, low, top), (1, 4, None, 9)]
+    make = (lambda v: str(v)) if kind == "string" else (lambda v: v)
+    df = spark.createDataFrame([(k, d, r, make(v)) for k, d, r, v in data], f"id int, day int, rev int, v {kind}")
+    want = {1: make(top), 2: make(-7), 3: make(-1), 4: make(9)}
+    obs = history.observations(df, "id", "day", "rev", ["v"])
+    assert {r["day"]: r["v"] for r in obs.collect()} == want | ({1: max(make(low), make(top))} if kind == "string" else {})
+    assert obs.schema["v"].dataType == df.schema["v"].dataType and obs.where("day = 4").first()[history.RANK] is None
+    assert ("HashAggregate" in obs._jdf.queryExecution().toString()) == (kind == "int")
+
+
 def test_nulls_that_change_places(spark):
     schema = "id int, day int, rev int, a int, b int"
     moved = spark.createDataFrame([(1, 1, 1, None, 5), (1, 2, 1, 5, None), (1, 3, 1, 5, None)], schema)
