@@ -98,7 +98,7 @@ def p2_balance(spark: SparkSession, d: str) -> DataFrame:
     table_, attributes = _wide(spark, d)
     table_ = cut(table_)
     values = wide.long_table(table_, "id", attributes).select("id").unionByName(p2_set_apart(spark, d).select("id"))
-    return values.agg(F.count("*").alias("n_values")).withColumn("n_items", F.lit(table_.count()))
+    return values.agg(F.count("*").alias("n_values")).withColumn("n_items", F.lit(table_.count()).cast("bigint"))
 
 
 def _item_revisions(spark: SparkSession, d: str, *more: str) -> DataFrame:

@@ -39,8 +39,8 @@ def test_query(spark, duck, name):
     df = q(spark, DATA)
     columns = sorted(df.columns)
     got = sorted((tuple(plain(v) for v in r) for r in df.select(columns).collect()), key=repr)
-    if name not in SQL:
-        assert columns
+    if name not in SQL:  # checked piece by piece by queries that have SQL
+        assert got
         return
     relation = duck.execute(SQL[name])
     names = [d[0] for d in relation.description]
